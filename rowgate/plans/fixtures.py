@@ -29,8 +29,9 @@ def _every(k: Column, n: int) -> Column:
     return (k % n) == 0
 
 
-def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_orders(spark: SparkSession, sf_dir: str, *, with_year: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
+    extra = [F.year("o_orderdate").alias("order_year")] if with_year else []
     k = F.col("o_orderkey")
     day = F.to_date("o_orderdate")
     day_text = day.cast("string")
@@ -60,6 +61,7 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_every(k, 37), F.lit(" "))
         .otherwise(F.lit("US")).alias("country_code"),
         F.when((F.col("o_custkey") % 2) == 0, F.lit("f0")).otherwise(F.lit("f1")).alias("source_file"),
+        *extra,
     )
 
 
@@ -117,3 +119,58 @@ def feed_subset(*, columns=None, rules=None, unique=False, within_file=False) ->
         schema.append(c)
     brules = [r for r in FEED_CONTRACT["business_rules"] if rules and r["name"] in rules]
     return Contract.from_dict({**FEED_CONTRACT, "schema": schema, "business_rules": brules})
+
+
+# ------------------------------------------------------------ text feed files
+# Which separator / defect a feed line gets, by key residue.
+PIPE_RESIDUE, SEMI_RESIDUE, SEP_MODULUS = 3, 5, 7
+EXTRA_FIELD_MODULUS = 29
+# Header of the 1997 folder in the drift fixture: two columns swapped, one renamed.
+DRIFT_YEAR = 1997
+
+
+def _field(c: Column, sep: Column) -> Column:
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    needs_quotes = (text.contains('"')
+                    | ((F.instr(text, ",") > 0) & (sep == ","))
+                    | ((F.instr(text, "|") > 0) & (sep == "|"))
+                    | ((F.instr(text, ";") > 0) & (sep == ";")))
+    quoted = F.concat(F.lit('"'), F.regexp_replace(text, '"', '""'), F.lit('"'))
+    return F.when(needs_quotes, quoted).otherwise(text)
+
+
+def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feed row as one delimited line, with the folder it belongs to."""
+    d = dirty_orders(spark, sf_dir, with_year=True)
+    k = F.col("order_key")
+    sep = (F.when(k % SEP_MODULUS == PIPE_RESIDUE, F.lit("|"))
+           .when(k % SEP_MODULUS == SEMI_RESIDUE, F.lit(";")).otherwise(F.lit(",")))
+    d = d.withColumn("__sep", sep)
+    fields = [_field(F.col(c), F.col("__sep")) for c in FEED_COLUMNS]
+    line = F.concat_ws("", *[x for i, f in enumerate(fields) for x in ((F.col("__sep"), f) if i else (f,))])
+    line = F.when(k % EXTRA_FIELD_MODULUS == 0, F.concat(line, F.col("__sep"), F.lit("EXTRA"))).otherwise(line)
+    return d.select(F.concat(F.lit("orders_"), F.col("order_year").cast("string"), F.lit("-01-01")).alias("folder"),
+                    F.lit(0).alias("__h"), k.alias("__k"), line.alias("value"))
+
+
+def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: bool = False) -> str:
+    """Write the feed as text, one folder per order year (``orders_<yyyy>-01-01``),
+    each file starting with a header line.  Returns ``out_dir``."""
+    lines = feed_lines(spark, sf_dir)
+    folders = lines.select("folder").distinct()
+    header = F.lit(",".join(FEED_COLUMNS))
+    if drift:
+        swapped = list(FEED_COLUMNS)
+        i, j = swapped.index("source_system"), swapped.index("status")
+        swapped[i], swapped[j] = swapped[j], swapped[i]
+        swapped[swapped.index("amount")] = "amt"
+        header = F.when(F.col("folder") == f"orders_{DRIFT_YEAR}-01-01",
+                        F.lit(",".join(swapped))).otherwise(header)
+    heads = folders.select("folder", F.lit(1).alias("__h"), F.lit(-1).cast("long").alias("__k"),
+                           header.alias("value"))
+    (lines.unionByName(heads)
+     .repartition("folder")
+     .sortWithinPartitions("folder", F.desc("__h"), "__k")
+     .select("folder", "value")
+     .write.mode("overwrite").partitionBy("folder").text(out_dir))
+    return out_dir

@@ -32,7 +32,8 @@ feed AS (
          WHEN o_orderkey % 47 = 0 THEN '0.00' WHEN o_orderkey % 43 = 0 THEN NULL
          ELSE CAST(CAST(o_totalprice AS decimal(18,2)) AS varchar) END AS amount,
     CASE WHEN o_orderkey % 41 = 0 THEN 'USA' WHEN o_orderkey % 37 = 0 THEN ' ' ELSE 'US' END AS country_code,
-    CASE WHEN o_custkey % 2 = 0 THEN 'f0' ELSE 'f1' END AS source_file
+    CASE WHEN o_custkey % 2 = 0 THEN 'f0' ELSE 'f1' END AS source_file,
+    year(o_orderdate) AS order_year
   FROM orders
 )"""
 
@@ -244,6 +245,64 @@ def _feed_rows(where: str = "", extra: str = "") -> str:
     return f"WITH {FEED}\nSELECT {FEED_COLS}{extra} FROM feed {where}"
 
 
+def _silver(typed: bool) -> str:
+    if not typed:
+        cols = FEED_COLS
+    else:
+        cols = ("order_key, record_id, CAST(event_ts AS TIMESTAMP) AS event_ts, "
+                "CAST(business_date AS DATE) AS business_date, source_system, status, "
+                "CAST(amount AS DECIMAL(18,2)) AS amount, country_code, source_file")
+    return feed_checked(ALL_FEED_RULES) + f"\nSELECT {cols} FROM checked WHERE len(vs) = 0"
+
+
+def _quarantine() -> str:
+    return (feed_checked(ALL_FEED_RULES) + f"\nSELECT {FEED_COLS}, "
+            "array_to_string(list_transform(vs, lambda x: x.message), '|') AS rejection_reasons "
+            "FROM checked WHERE len(vs) > 0")
+
+
+TEXT_COLS = ("CAST(order_key AS VARCHAR) AS order_key, record_id, event_ts, business_date, "
+             "source_system, status, amount, country_code, source_file")
+
+
+def _backfill(dynamic: bool) -> str:
+    subset_rules = [r.replace("count(*) OVER (PARTITION BY trim(record_id))",
+                              "count(*) OVER (PARTITION BY trim(record_id))") for r in ALL_FEED_RULES]
+    arr1 = ",\n      ".join(ALL_FEED_RULES)
+    arr2 = ",\n      ".join(subset_rules)
+    head = (f"WITH {FEED},\n"
+            f"run1 AS (SELECT *, list_filter([{arr1}], lambda x: x IS NOT NULL) AS vs FROM feed),\n"
+            f"sub AS (SELECT * FROM feed WHERE order_year = 1996),\n"
+            f"run2 AS (SELECT *, list_filter([{arr2}], lambda x: x IS NOT NULL) AS vs FROM sub)\n")
+    second = f"SELECT {TEXT_COLS} FROM run2 WHERE len(vs) = 0"
+    if not dynamic:
+        return head + second
+    return (head + f"SELECT {TEXT_COLS} FROM run1 WHERE len(vs) = 0 AND business_date NOT IN "
+            "(SELECT business_date FROM run2 WHERE len(vs) = 0)\nUNION ALL\n" + second)
+
+
+DELIMITER_REPAIR = (f"WITH {FEED}\nSELECT {TEXT_COLS}, order_key % 7 IN (3, 5) AS _delimiter_issue, "
+                    "order_key % 29 = 0 AS _malformed FROM feed")
+
+LINEAGE = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_key, make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS file_date,
+       TRUE AS named_by_writer
+FROM orders
+"""
+
+DATE_RANGE = (f"WITH {FEED}\nSELECT CAST(order_key AS VARCHAR) AS order_key, record_id, "
+              "make_date(CAST(order_year AS INTEGER), 1, 1) AS file_date FROM feed "
+              "WHERE order_year BETWEEN 1996 AND 1997")
+
+HEADER_DRIFT = """
+SELECT DISTINCT make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS file_date, CAST(1 AS BIGINT) AS header_lines,
+       CASE WHEN year(o_orderdate) = 1997 THEN 'amount' ELSE '' END AS missing,
+       CASE WHEN year(o_orderdate) = 1997 THEN 'amt' ELSE '' END AS unexpected,
+       year(o_orderdate) = 1997 AS reordered
+FROM orders
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rule_required": feed_report(R_REQ),
@@ -274,4 +333,13 @@ def oracle_sql() -> dict[str, str]:
         "summary_by_rule": _summary_rule(ALL_FEED_RULES),
         "summary_by_file": _summary_file(ALL_FEED_RULES),
         "stage_counts": _stage_counts(ALL_FEED_RULES),
+        "silver": _silver(False),
+        "silver_typed": _silver(True),
+        "quarantine": _quarantine(),
+        "delimiter_repair": DELIMITER_REPAIR,
+        "lineage": LINEAGE,
+        "date_range": DATE_RANGE,
+        "backfill_dynamic": _backfill(True),
+        "backfill_static": _backfill(False),
+        "header_drift": HEADER_DRIFT,
     }

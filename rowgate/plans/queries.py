@@ -11,11 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import Contract
 from ..operators import route
 from ..operators.evaluate import evaluate
+from ..session import fresh_dir
+from ..sources.delimited import header_drift as _header_drift
+from ..sources.delimited import path_date, read_delimited
 from . import fixtures as fx
+from .job import run
 
 REPORT_COLS = ["kind", "column", "rule", "violation"]
 
@@ -197,6 +202,89 @@ def stage_counts(spark, sf_dir):
     return route.stage_counts(_feed_verdict(spark, sf_dir))
 
 
+# ------------------------------------------------- sinks, written and re-read
+def _read_back(spark, path: str, like: DataFrame, columns: list[str]) -> DataFrame:
+    """Read an output with the schema it was written with (partition columns
+    keep their type instead of being re-inferred)."""
+    schema = T.StructType([like.schema[c] for c in columns])
+    return spark.read.schema(schema).parquet(path)
+
+
+def silver(spark, sf_dir):
+    feed = fx.dirty_orders(spark, sf_dir)
+    out = fresh_dir(spark, "silver")
+    run(spark, feed, out, fx.feed_contract(), as_of=fx.AS_OF)
+    return _read_back(spark, f"{out}/silver", feed, fx.FEED_COLUMNS)
+
+
+def silver_typed(spark, sf_dir):
+    feed = fx.dirty_orders(spark, sf_dir)
+    schema = [dict(c) for c in fx.FEED_CONTRACT["schema"]]
+    for c in schema:
+        if c["name"] == "event_ts":
+            c["type"] = "timestamp_ntz"
+    contract = fx.feed_contract(schema=schema)
+    out = fresh_dir(spark, "silver-typed")
+    run(spark, feed, out, contract, as_of=fx.AS_OF, typed_silver=True)
+    return spark.read.parquet(f"{out}/silver").select(*fx.FEED_COLUMNS)
+
+
+def quarantine(spark, sf_dir):
+    feed = fx.dirty_orders(spark, sf_dir)
+    out = fresh_dir(spark, "quarantine")
+    run(spark, feed, out, fx.feed_contract(), as_of=fx.AS_OF)
+    q = spark.read.parquet(f"{out}/quarantine")
+    return q.select(*[F.col(c).cast(feed.schema[c].dataType) for c in fx.FEED_COLUMNS], "rejection_reasons")
+
+
+# ------------------------------------------------------------ ingest queries
+def _feed_files(spark, sf_dir, label: str, drift: bool = False) -> str:
+    return fx.write_feed_files(spark, sf_dir, fresh_dir(spark, label), drift=drift)
+
+
+def delimiter_repair(spark, sf_dir):
+    root = _feed_files(spark, sf_dir, "feed-text")
+    bronze = read_delimited(spark, root, fx.feed_contract())
+    return bronze.select(*fx.FEED_COLUMNS, "_delimiter_issue", "_malformed")
+
+
+def lineage(spark, sf_dir):
+    root = _feed_files(spark, sf_dir, "feed-text")
+    bronze = read_delimited(spark, root, fx.feed_contract())
+    return bronze.select("order_key", path_date(F.col("_source_path")).alias("file_date"),
+                         F.col("_source_file").startswith("part-").alias("named_by_writer"))
+
+
+def date_range(spark, sf_dir):
+    root = _feed_files(spark, sf_dir, "feed-text")
+    bronze = read_delimited(spark, root, fx.feed_contract(), start="1996-01-01", end="1997-12-31")
+    return bronze.select("order_key", "record_id", path_date(F.col("_source_path")).alias("file_date"))
+
+
+def _backfill(mode: str):
+    def query(spark, sf_dir):
+        root = _feed_files(spark, sf_dir, "feed-text")
+        out = fresh_dir(spark, f"backfill-{mode}")
+        contract = fx.feed_contract()
+        run(spark, root, out, contract, as_of=fx.AS_OF)
+        run(spark, root, out, contract, as_of=fx.AS_OF, start="1996-01-01", end="1996-12-31",
+            overwrite=mode)
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in fx.FEED_COLUMNS])
+        return spark.read.schema(schema).parquet(f"{out}/silver")
+    query.__name__ = f"backfill_{mode}"
+    return query
+
+
+backfill_dynamic = _backfill("dynamic")
+backfill_static = _backfill("static")
+
+
+def header_drift(spark, sf_dir):
+    root = _feed_files(spark, sf_dir, "feed-drift", drift=True)
+    return _header_drift(spark, root, fx.feed_contract()).select(
+        "file_date", "header_lines", "missing", "unexpected", "reordered")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_required": rule_required,
     "rule_allowed_values": rule_allowed_values,
@@ -226,6 +314,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_by_rule": summary_by_rule,
     "summary_by_file": summary_by_file,
     "stage_counts": stage_counts,
+    "silver": silver,
+    "silver_typed": silver_typed,
+    "quarantine": quarantine,
+    "delimiter_repair": delimiter_repair,
+    "lineage": lineage,
+    "date_range": date_range,
+    "backfill_dynamic": backfill_dynamic,
+    "backfill_static": backfill_static,
+    "header_drift": header_drift,
 }
 
 
