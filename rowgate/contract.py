@@ -30,10 +30,10 @@ SCOPE_FILE = "file"
 
 _COLUMN_KEYS = {
     "name", "type", "required", "allowed_values", "regex", "min_value",
-    "max_value", "unique", "unique_within_file", "description",
+    "max_value", "unique", "unique_within_file", "strict_scale", "description",
 }
 _RULE_KEYS = {"name", "assert", "condition", "message", "description"}
-_KEY_KEYS = {"columns", "scope", "hashed", "name"}
+_KEY_KEYS = {"columns", "scope", "hashed", "name", "null_keys"}
 _TOP_KEYS = {
     "dataset", "version", "schema", "business_rules", "unique_keys",
     "file_column", "on_bad_rule", "description",
@@ -49,6 +49,7 @@ class ColumnSpec:
     regex: str | None = None
     min_value: Any = None
     max_value: Any = None
+    strict_scale: bool = False
 
     @property
     def allowed_text(self) -> str:
@@ -70,6 +71,7 @@ class UniqueKey:
     scope: str = SCOPE_DATASET
     hashed: bool = False
     name: str | None = None
+    null_keys: str = "group"  # "group": null keys are one group; "ignore": never duplicates
 
     @property
     def label(self) -> str:
@@ -142,6 +144,7 @@ class Contract:
                 regex=str(regex) if regex else None,
                 min_value=item.get("min_value"),
                 max_value=item.get("max_value"),
+                strict_scale=bool(item.get("strict_scale", False)),
             ))
             if item.get("unique"):
                 keys.append(UniqueKey((name,), SCOPE_DATASET))
@@ -157,7 +160,11 @@ class Contract:
             scope = item.get("scope", SCOPE_DATASET)
             if scope not in (SCOPE_DATASET, SCOPE_FILE):
                 raise ContractError(f"unique key scope must be dataset or file, got {scope!r}")
-            keys.append(UniqueKey(tuple(cols), scope, bool(item.get("hashed", False)), item.get("name")))
+            null_keys = item.get("null_keys", "group")
+            if null_keys not in ("group", "ignore"):
+                raise ContractError(f"null_keys must be group or ignore, got {null_keys!r}")
+            keys.append(UniqueKey(tuple(cols), scope, bool(item.get("hashed", False)), item.get("name"),
+                                  null_keys))
         rules: list[BusinessRule] = []
         for item in doc.get("business_rules") or []:
             _check_keys("business rule", item, _RULE_KEYS)

@@ -80,6 +80,30 @@ def type_check(spec: ColumnSpec, raw: Column, raw_type: T.DataType, typed: Colum
     return when_violated(bad, "type", spec.name, f"type:{ty.canonical(spec.type)}", msg)
 
 
+def scale_check(spec: ColumnSpec, raw: Column, raw_type: T.DataType, typed: Column) -> Column | None:
+    """Opt-in ``strict_scale``: a decimal with more fractional digits than the
+    declared scale is rejected instead of rounded."""
+    name = ty.canonical(spec.type) or ""
+    if not spec.strict_scale or not name.startswith("decimal") or not ty.is_string(raw_type):
+        return None
+    exact = raw.try_cast("decimal(38,18)")
+    bad = typed.isNotNull() & exact.isNotNull() & (exact != typed)
+    msg = F.concat(F.lit(f"{spec.name}: '"), raw, F.lit(f"' has more decimals than {name}"))
+    return when_violated(bad, "type", spec.name, "strict_scale", msg)
+
+
+def check_pattern(pattern: str, name: str, spark=None) -> None:
+    """Reject a pattern the engine's (Java) regex cannot compile."""
+    jvm = getattr(spark, "_jvm", None) if spark is not None else None
+    try:
+        if jvm is not None:
+            jvm.java.util.regex.Pattern.compile(pattern)
+        else:
+            re.compile(pattern)
+    except Exception as exc:
+        raise ContractError(f"invalid regex for column {name!r}: {pattern}") from exc
+
+
 # --------------------------------------------------------------------------- R6
 def regex(spec: ColumnSpec, raw: Column, raw_type: T.DataType) -> Column | None:
     if not spec.regex:

@@ -42,6 +42,7 @@ from ..functions import types as ty
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
 DEFAULT_SALT_BUCKETS = 256
+MAX_HOT_KEY_BYTES = 1024
 
 
 def _normalised(df: DataFrame, name: str, hashed: bool) -> Column:
@@ -72,24 +73,40 @@ def flag_duplicates(
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    null_keys: str = "group",
 ) -> DataFrame:
-    """``df`` plus boolean column ``flag``: the row's key occurs more than once."""
+    """``df`` plus boolean column ``flag``: the row's key occurs more than once.
+
+    ``null_keys="ignore"`` never flags a row with a null key column; those
+    rows are left out of the counting entirely.
+    """
     names = [f"__uk{i}" for i in range(len(columns))]
     base = df.select("*", *[_normalised(df, c, hashed).alias(n) for c, n in zip(columns, names)])
+    # "ignore": rows with a null key column are never duplicates; they skip
+    # the count and enter the join salted (spread out, never matching).
+    any_null = (reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
+                if null_keys == "ignore" else F.lit(False))
 
     if strategy == "window":
         w = Window.partitionBy(*names)
-        return base.withColumn(flag, F.count(F.lit(1)).over(w) > 1).drop(*names)
+        return base.withColumn(flag, (F.count(F.lit(1)).over(w) > 1) & ~any_null).drop(*names)
     if strategy != "aggregate":
         raise ValueError(f"unknown uniqueness strategy {strategy!r}")
 
-    counts = base.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
+    counted = base.where(~any_null) if null_keys == "ignore" else base
+    counts = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
     dups = counts.where(F.col("__n") > 1)
 
     # Hot keys: bounded top-k, deterministic (total order on count, then key).
+    # Only keys of at most MAX_HOT_KEY_BYTES take part, so the broadcast is
+    # bounded by max_hot_keys * MAX_HOT_KEY_BYTES; longer hot keys stay exact
+    # in the shuffle join (use hashed=True for long text keys).
     hot_names = [f"__hk{i}" for i in range(len(names))]
+    width = [F.coalesce(F.octet_length(F.col(n)), F.lit(0))
+             for n, c in zip(names, columns) if hashed or ty.is_string(df.schema[c].dataType)]
+    short = reduce(lambda a, b: a + b, width) <= MAX_HOT_KEY_BYTES if width else F.lit(True)
     hot = (
-        dups.where(F.col("__n") >= hot_key_rows)
+        dups.where((F.col("__n") >= hot_key_rows) & short)
         .orderBy(F.desc("__n"), *[F.asc_nulls_first(n) for n in names])
         .limit(max_hot_keys)
         .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.lit(True).alias("__hot"))
@@ -97,7 +114,7 @@ def flag_duplicates(
     on_hot = _null_safe(base, hot, names, hot_names)
     marked = base.join(F.broadcast(hot), on_hot, "left").drop(*hot_names)
     salt = (F.lit(1) + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salt_buckets))).cast("int")
-    marked = marked.withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0)))
+    marked = marked.withColumn("__salt", F.when(F.col("__hot") | any_null, salt).otherwise(F.lit(0)))
 
     dup_names = [f"__dk{i}" for i in range(len(names))]
     dup_side = dups.select(*[F.col(n).alias(d) for n, d in zip(names, dup_names)],

@@ -48,3 +48,11 @@ def test_hot_key_plan_broadcasts_bounded_set(spark):
         .executedPlan().toString()
     assert "TakeOrderedAndProject(limit=7" in plan.replace(" ", "") or "limit=7" in plan
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_null_keys_ignored(spark):
+    rows = [("f0", None, None), ("f0", None, None), ("f1", "a", None), ("f1", "a ", None), ("f1", "", None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, f string, k string, j string")
+    for kw in ({}, {"strategy": "window"}, {"hot_key_rows": 2}):
+        got = [r.dup for r in flag_duplicates(df, ["k"], "dup", null_keys="ignore", **kw).orderBy("id").collect()]
+        assert got == [False, False, True, True, False]

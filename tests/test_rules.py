@@ -197,3 +197,15 @@ def test_input_columns_and_types_preserved(spark, contract):
     out = evaluate(df, contract, as_of=AS_OF)
     assert out.columns == df.columns + ["violations", "rejection_reasons", "is_valid"]
     assert [f.dataType for f in out.schema.fields[:len(SCHEMA)]] == [f.dataType for f in SCHEMA]
+
+
+def test_strict_scale_and_bad_pattern(spark):
+    from rowgate import ContractError
+
+    c = Contract.from_dict({"schema": [{"name": "amount", "type": "decimal(10,2)", "strict_scale": True}]})
+    df = spark.createDataFrame([("1.25",), ("1.239",), ("1e3",)], "amount string")
+    got = {r.amount: r.rejection_reasons for r in evaluate(df, c).collect()}
+    assert got == {"1.25": "", "1.239": "amount: '1.239' has more decimals than decimal(10,2)", "1e3": ""}
+    bad = Contract.from_dict({"schema": [{"name": "amount", "regex": "([a-z"}]})
+    with pytest.raises(ContractError):
+        evaluate(df, bad)
