@@ -3,8 +3,8 @@
 Plan shape: ``[uniqueness joins] -> Project(typed scope) -> Project(verdict)``.
 Rules see *typed* columns under the contract's names (so ``amount > 0`` in a
 business rule compares decimals, not strings), messages print the raw text.
-The raw values ride along in a struct ``__raw`` and are unpacked at the end,
-so the output keeps the input's columns and types unchanged plus
+The raw values ride along as hidden columns ``__raw_<i>`` and are renamed back
+at the end, so the output keeps the input's columns and types unchanged plus
 
 * ``violations``        array<struct<kind, column, rule, message>>
 * ``rejection_reasons`` the messages joined by ``|`` ('' when clean)
@@ -24,7 +24,7 @@ from ..functions import rules as R
 from ..functions import types as ty
 from . import keys as K
 
-RAW = "__raw"
+RAW = "__raw_"
 
 
 @dataclass(frozen=True)
@@ -44,20 +44,32 @@ def _as_of_literal(as_of) -> Column:
     return F.lit(as_of)
 
 
+class _Scope:
+    """The typed rule scope plus where each contract column's raw value lives."""
+
+    def __init__(self, df: DataFrame, contract: Contract, as_of):
+        declared = {c.name: c for c in contract.columns}
+        self.present = [c for c in contract.column_names if c in df.columns]
+        self.raw_name = {c: f"{RAW}{i}" for i, c in enumerate(self.present)}
+        self.raw_type = {c: df.schema[c].dataType for c in self.present}
+        cols = []
+        for name in df.columns:
+            if name in declared:
+                cols.append(ty.typed(F.col(name), df.schema[name].dataType, declared[name].type).alias(name))
+            else:
+                cols.append(F.col(name))
+        cols += [F.col(c).alias(self.raw_name[c]) for c in self.present]
+        if "as_of" not in df.columns:
+            cols.append(_as_of_literal(as_of).alias("as_of"))
+        self.df = df.select(*cols)
+
+    def raw(self, name: str) -> Column:
+        return F.col(self.raw_name[name])
+
+
 def _scope(df: DataFrame, contract: Contract, as_of) -> DataFrame:
-    """Typed columns at top level under their own names, raw ones in ``__raw``."""
-    declared = {c.name: c for c in contract.columns}
-    present = [c for c in contract.column_names if c in df.columns]
-    cols = []
-    for name in df.columns:
-        if name in declared:
-            cols.append(ty.typed(F.col(name), df.schema[name].dataType, declared[name].type).alias(name))
-        else:
-            cols.append(F.col(name))
-    cols.append(F.struct(*[F.col(n) for n in present]).alias(RAW))
-    if "as_of" not in df.columns:
-        cols.append(_as_of_literal(as_of).alias("as_of"))
-    return df.select(*cols)
+    """Typed columns at top level under their own names (raw ones hidden)."""
+    return _Scope(df, contract, as_of).df
 
 
 def check_rules(scope: DataFrame, contract: Contract) -> tuple[list[BusinessRule], list[RuleStatus]]:
@@ -102,39 +114,40 @@ def check_rules(scope: DataFrame, contract: Contract) -> tuple[list[BusinessRule
     return good, report
 
 
-def _value_of(scope: DataFrame, contract: Contract):
-    present = set(contract.column_names) & set(scope.columns)
+def _sql_of(sc: _Scope):
+    """SQL text of a message placeholder's raw value."""
+    columns = set(sc.df.columns)
 
-    def value_of(name: str) -> Column:
-        if name in present:
-            return R.as_text(F.col(RAW)[name], scope.schema[RAW].dataType[name].dataType)
-        if name in scope.columns:
-            return F.col(name).cast("string")
+    def sql_of(name: str) -> str:
+        if name in sc.raw_name:
+            ref = f"`{sc.raw_name[name]}`"
+            return ref if ty.is_string(sc.raw_type[name]) else f"CAST({ref} AS STRING)"
+        if name in columns:
+            return f"CAST(`{name}` AS STRING)"
         raise ContractError(f"message placeholder {{{name}}} names no column")
 
-    return value_of
+    return sql_of
 
 
-def row_checks(scope: DataFrame, contract: Contract, rules: list[BusinessRule]) -> list[Column]:
+def row_checks(sc: _Scope, contract: Contract, rules: list[BusinessRule]) -> list[R.Check]:
     """R1-R13 in the fixed order: required, allowed, type, regex, range, business."""
-    raw_schema = scope.schema[RAW].dataType
-    specs = [c for c in contract.columns if c.name in raw_schema.names]
+    specs = [c for c in contract.columns if c.name in sc.raw_name]
     parts = {k: [] for k in ("required", "allowed", "type", "regex", "range")}
     for spec in specs:
-        raw = F.col(RAW)[spec.name]
-        raw_type = raw_schema[spec.name].dataType
+        raw = sc.raw(spec.name)
+        raw_type = sc.raw_type[spec.name]
         typed = F.col(spec.name)
         parts["required"].append(R.required(spec, raw, raw_type))
         parts["allowed"].append(R.allowed_values(spec, raw, raw_type))
         parts["type"].append(R.type_check(spec, raw, raw_type, typed))
         parts["type"].append(R.scale_check(spec, raw, raw_type, typed))
         if spec.regex:
-            R.check_pattern(spec.regex, spec.name, scope.sparkSession)
+            R.check_pattern(spec.regex, spec.name, sc.df.sparkSession)
         parts["regex"].append(R.regex(spec, raw, raw_type))
         parts["range"].extend(R.ranges(spec, raw, raw_type, typed))
     checks = [c for k in ("required", "allowed", "type", "regex", "range") for c in parts[k] if c is not None]
-    value_of = _value_of(scope, contract)
-    checks.extend(R.business(rule, value_of) for rule in rules)
+    sql_of = _sql_of(sc)
+    checks.extend(R.business(rule, sql_of) for rule in rules)
     return checks
 
 
@@ -180,16 +193,16 @@ def evaluate(
                                    salt_buckets=salt_buckets, null_keys=key.null_keys)
             flags.append((key, flag))
 
-    scope = _scope(df, contract, as_of)
+    sc = _Scope(df, contract, as_of)
+    scope = sc.df
     rules, _ = check_rules(scope, contract)
-    checks = row_checks(scope, contract, rules)
+    checks = row_checks(sc, contract, rules)
     checks.extend(R.duplicate(key, F.col(flag)) for key, flag in flags)
     if reject_malformed and "_malformed" in scope.columns:
         checks.append(R.when_violated(F.col("_malformed"), "malformed", None, "malformed",
                                       F.lit("row: wrong number of fields or unclosed quote")))
 
-    raw_names = set(scope.schema[RAW].dataType.names)
-    out = [F.col(RAW)[c].alias(c) if c in raw_names else F.col(c) for c in original]
+    out = [sc.raw(c).alias(c) if c in sc.raw_name else F.col(c) for c in original]
     verdict = scope.select(*out, R.collect(checks).alias("violations"))
     return verdict.select(
         "*",
