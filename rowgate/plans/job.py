@@ -19,7 +19,7 @@ from ..contract import Contract, ContractError
 from ..operators import route
 from ..operators.evaluate import evaluate
 from ..sinks.writers import write_csv_report, write_table
-from ..sources.delimited import read_delimited, schema_drift
+from ..sources.delimited import drift_rows, read_delimited
 
 
 class EmptyInput(RuntimeError):
@@ -69,7 +69,7 @@ def run(
         bronze = read_delimited(spark, source, contract, start=start, end=end)
     if bronze.isEmpty():
         raise EmptyInput(f"no rows to validate in {source!r} (range {start}..{end})")
-    drift = [tuple(r) for r in schema_drift(bronze, contract).collect()]
+    drift = drift_rows(bronze.columns, contract)
     if any(kind == "missing" for _, kind in drift) and on_missing == "fail":
         raise ContractError(f"columns missing from input: {[c for c, k in drift if k == 'missing']}")
     timings["bronze"] = time.perf_counter() - t0

@@ -18,6 +18,7 @@ One text scan; every line is parsed exactly once:
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,12 +108,63 @@ def parse_lines(lines: DataFrame, columns: list[str], *, ingested_at=None, keep_
     return staged.where(~is_header).select(*out)
 
 
+def _split_header(line: str) -> list[str]:
+    m = re.match(_FIRST_SEPARATOR.replace("*+", "*"), line)
+    sep = m.group(1) if m else ","
+    return [t.strip().strip('"').strip() for t in line.split(sep)]
+
+
+def header_columns(spark: SparkSession, paths, contract, *, start=None, end=None) -> list[str] | None:
+    """Column order from the header of the first input file (in path order,
+    within the date range), as a CSV reader with ``header=true`` takes it.
+    Reads one line on the driver; ``None`` when that line is not a header."""
+    names = Contract.load(contract).column_names
+    files = sorted(spark.read.text(paths).inputFiles())
+    lo, hi = _date(start), _date(end)
+    for f in files:
+        if lo is not None or hi is not None:
+            m = re.match(_PATH_DATE, f)
+            try:
+                d = _dt.date.fromisoformat(m.group(1)) if m else None
+            except ValueError:
+                d = None
+            if d is None or (lo is not None and d < lo) or (hi is not None and d > hi):
+                continue
+        first = spark.read.text(f).first()
+        if first is None:
+            continue
+        tokens = _split_header(first[0])
+        if 2 * len(set(tokens) & set(names)) >= len(names) and len(set(tokens)) == len(tokens):
+            return tokens
+        return None
+    return None
+
+
 def read_delimited(spark: SparkSession, paths, contract, *, start=None, end=None,
-                   ingested_at=None, keep_line: bool = False) -> DataFrame:
-    """Bronze: contract columns as strings plus lineage and repair flags."""
-    columns = Contract.load(contract).column_names
+                   ingested_at=None, keep_line: bool = False, header: str | list = "auto") -> DataFrame:
+    """Bronze: contract columns as strings plus lineage and repair flags.
+
+    ``header="auto"`` labels fields by the first file's header (so a feed
+    whose column order differs from the contract is read correctly; header
+    columns the contract does not know are kept as extra columns, contract
+    columns the header lacks are null).  ``header="contract"`` parses in
+    contract order; a list gives the order explicitly.  Files whose own header
+    differs from the one used are reported by :func:`header_drift`.
+    """
+    names = Contract.load(contract).column_names
+    if isinstance(header, (list, tuple)):
+        order = list(header)
+    elif header == "auto":
+        order = header_columns(spark, paths, contract, start=start, end=end) or names
+    else:
+        order = names
     lines = read_lines(spark, paths, start=start, end=end)
-    return parse_lines(lines, columns, ingested_at=ingested_at, keep_line=keep_line)
+    parsed = parse_lines(lines, order, ingested_at=ingested_at, keep_line=keep_line)
+    if order == names:
+        return parsed
+    extra = [c for c in order if c not in names]
+    cols = [F.col(c) if c in order else F.lit(None).cast("string").alias(c) for c in names]
+    return parsed.select(*cols, *extra, *[c for c in parsed.columns if c.startswith("_")])
 
 
 def header_drift(spark: SparkSession, paths, contract, *, start=None, end=None) -> DataFrame:
@@ -121,11 +173,10 @@ def header_drift(spark: SparkSession, paths, contract, *, start=None, end=None)
     per file; the per-file result is small (one row per file)."""
     columns = Contract.load(contract).column_names
     lines = read_lines(spark, paths, start=start, end=end)
-    sep = F.regexp_extract("value", _FIRST_SEPARATOR, 1)
     tokens = F.transform(F.split("value", r"[,|;]"), lambda t: F.trim(F.regexp_replace(t, '"', "")))
     names = F.array(*[F.lit(c) for c in columns])
     is_header = F.size(F.array_intersect(tokens, names)) * 2 >= len(columns)
-    per_file = (lines.select("_source_file", "_source_path", sep.alias("sep"),
+    per_file = (lines.select("_source_file", "_source_path",
                              F.when(is_header, F.array_join(tokens, ",")).alias("header"))
                 .groupBy("_source_path", "_source_file")
                 .agg(F.count("header").alias("header_lines"),
@@ -145,12 +196,16 @@ def header_drift(spark: SparkSession, paths, contract, *, start=None, end=None)
     )
 
 
-def schema_drift(df: DataFrame, contract) -> DataFrame:
-    """Columns missing from / unexpected in a DataFrame (names that
-    start with ``_`` are metadata and ignored).  Driver-side set difference on
-    the schema; no job runs."""
+def drift_rows(columns: list[str], contract) -> list[tuple[str, str]]:
+    """D1-D3 on the driver: ``(column, "missing" | "unexpected")`` pairs.
+    Names that start with ``_`` are metadata and ignored."""
     expected = Contract.load(contract).column_names
-    actual = [c for c in df.columns if not c.startswith("_")]
+    actual = [c for c in columns if not c.startswith("_")]
     rows = [(c, "missing") for c in expected if c not in actual]
     rows += [(c, "unexpected") for c in actual if c not in expected]
-    return df.sparkSession.createDataFrame(rows, "column string, drift string")
+    return rows
+
+
+def schema_drift(df: DataFrame, contract) -> DataFrame:
+    """D1-D3 as a small DataFrame (schema comparison only; no job reads data)."""
+    return df.sparkSession.createDataFrame(drift_rows(df.columns, contract), "column string, drift string")

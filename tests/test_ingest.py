@@ -76,10 +76,15 @@ def test_date_in_folder_name(spark, scratch):
     assert sorted(r.record_id for r in b.collect()) == ["C1", "C2", "C3", "C4", "C5"]
 
 
-def test_date_range_prunes_files_in_scan(spark, scratch):
-    b = _bronze(spark, scratch, start="2026-03-02", end="2026-03-02")
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan text" in plan or "Scan text" in plan
+def test_date_range_prunes_files_at_listing(spark, scratch):
+    from rowgate.sources.delimited import read_lines
+
+    folder = feed_files.write(os.path.join(scratch, "in"))
+    for kw, files in (({}, 3), ({"start": "2026-03-02", "end": "2026-03-02"}, 1)):
+        lines = read_lines(spark, folder, **kw)
+        lines.collect()
+        scan = lines._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        assert scan.metrics().get("numFiles").get().value() == files
 
 
 def test_header_drift(spark, scratch):
@@ -101,3 +106,21 @@ def test_schema_drift(spark):
     got = {tuple(r) for r in schema_drift(df, CONTRACT).collect()}
     assert ("extra", "unexpected") in got and ("amount", "missing") in got
     assert not any(c == "_meta" for c, _ in got)
+
+
+def test_header_order_labels_fields(spark, scratch):
+    order = ["event_ts", "record_id", "business_date", "source_system", "currency", "amount", "status",
+             "country_code", "merchant_category", "notes"]
+    lines = ["2026-03-05T08:00:00Z,D1,2026-03-05,CARD_PROC,USD,3.00,POSTED,US,FOOD,hello",
+             "2026-03-05T08:01:00Z|D2|2026-03-05|CARD_PROC|USD|4.00|POSTED|FR|FOOD|x"]
+    folder = feed_files.write(os.path.join(scratch, "hdr"), {"payments_2026-03-05.csv": lines},
+                              header=",".join(order))
+    b = read_delimited(spark, folder, CONTRACT)
+    rows = {r.record_id: r for r in b.collect()}
+    assert set(rows) == {"D1", "D2"}
+    assert rows["D2"].country_code == "FR" and rows["D1"].merchant_category == "FOOD"
+    assert rows["D1"].notes == "hello" and b.columns[:9] == Contract.load(CONTRACT).column_names
+    v = evaluate(b, CONTRACT, as_of=AS_OF, on_missing="null_fill")
+    assert v.where("is_valid").count() == 2
+    positional = read_delimited(spark, folder, CONTRACT, header="contract").collect()
+    assert {r.record_id for r in positional} == {"2026-03-05T08:00:00Z", "2026-03-05T08:01:00Z"}
