@@ -30,7 +30,17 @@ def _every(k: Column, n: int) -> Column:
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str, *, with_year: bool = False) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return dirty_orders_from(table(spark, sf_dir, "orders"), with_year=with_year)
+
+
+def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``orders`` table as a file stream (a glob, since the table is one file)."""
+    schema = table(spark, sf_dir, "orders").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parque[t]")
+
+
+def dirty_orders_from(o: DataFrame, *, with_year: bool = False) -> DataFrame:
+    """The feed projection over an ``orders`` frame (batch or streaming)."""
     extra = [F.year("o_orderdate").alias("order_year")] if with_year else []
     k = F.col("o_orderkey")
     day = F.to_date("o_orderdate")

@@ -342,4 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "backfill_dynamic": _backfill(True),
         "backfill_static": _backfill(False),
         "header_drift": HEADER_DRIFT,
+        "stream_verdict": (feed_checked([r for r in ALL_FEED_RULES if r is not R_DUP])
+                           + "\nSELECT order_key, array_to_string(list_transform(vs, lambda x: x.message), '|') "
+                           "AS rejection_reasons FROM checked"),
     }

@@ -285,6 +285,23 @@ def header_drift(spark, sf_dir):
         "file_date", "header_lines", "missing", "unexpected", "reordered")
 
 
+# ------------------------------------------------------------------ streaming
+def stream_verdict(spark, sf_dir):
+    """Row rules on ``orders`` read as a stream, routed per micro-batch, re-read."""
+    from ..streaming.stream import route_stream
+
+    feed = fx.dirty_orders_from(fx.orders_stream(spark, sf_dir))
+    out = fresh_dir(spark, "stream")
+    query = route_stream(feed, fx.feed_contract(), out, f"{out}/_checkpoint", as_of=fx.AS_OF,
+                         trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    good = spark.read.parquet(f"{out}/silver").select("order_key", F.lit("").alias("rejection_reasons"))
+    bad = spark.read.parquet(f"{out}/quarantine").select("order_key", "rejection_reasons")
+    return good.unionByName(bad)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_required": rule_required,
     "rule_allowed_values": rule_allowed_values,
@@ -323,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_dynamic": backfill_dynamic,
     "backfill_static": backfill_static,
     "header_drift": header_drift,
+    "stream_verdict": stream_verdict,
 }
 
 
