@@ -13,7 +13,9 @@ at the end, so the output keeps the input's columns and types unchanged plus
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -72,7 +74,28 @@ def _scope(df: DataFrame, contract: Contract, as_of) -> DataFrame:
     return _Scope(df, contract, as_of).df
 
 
+@contextlib.contextmanager
+def _quiet_analysis():
+    """PySpark logs every analysis error it raises, even when caught; rule
+    checking expects some and reports them itself."""
+    names = ("SQLQueryContextLogger", "DataFrameQueryContextLogger")
+    loggers = [logging.getLogger(n) for n in names]
+    before = [lg.disabled for lg in loggers]
+    for lg in loggers:
+        lg.disabled = True
+    try:
+        yield
+    finally:
+        for lg, was in zip(loggers, before):
+            lg.disabled = was
+
+
 def check_rules(scope: DataFrame, contract: Contract) -> tuple[list[BusinessRule], list[RuleStatus]]:
+    with _quiet_analysis():
+        return _check_rules(scope, contract)
+
+
+def _check_rules(scope: DataFrame, contract: Contract) -> tuple[list[BusinessRule], list[RuleStatus]]:
     """Analyse each business rule alone against the typed scope.
 
     Analysis only - no job runs.  A rule that does not parse, names an
@@ -219,18 +242,19 @@ def evaluate_rows(df: DataFrame, contract, *, as_of=None, reject_malformed: bool
 
 
 def rule_catalog(df: DataFrame, contract) -> DataFrame:
-    """One row per rule of the contract with its check status."""
+    """One row per rule the contract applies to ``df``, in verdict
+    order, with its check status (``ok`` / ``skipped``).  Built on the driver
+    from the contract and the schema only; no job reads data."""
     contract = Contract.load(contract)
-    scope = _scope(_missing(df, contract, "null_fill"), contract, None)
+    filled = _missing(df, contract, "null_fill")
+    scope = _scope(filled, contract, None)
     _, statuses = check_rules(scope, Contract.from_dict({**contract.raw, "on_bad_rule": "skip"}))
     by_name = {s.name: s for s in statuses}
+    raw_type = {c: filled.schema[c].dataType for c in contract.column_names}
     rows = []
-    pos = 0
 
     def add(kind, column, rule, detail, status="ok", note=""):
-        nonlocal pos
-        pos += 1
-        rows.append((pos, kind, column, rule, detail, status, note))
+        rows.append((len(rows) + 1, kind, column, rule, detail, status, note))
 
     for c in contract.columns:
         if c.required:
@@ -239,8 +263,10 @@ def rule_catalog(df: DataFrame, contract) -> DataFrame:
         if c.allowed_values:
             add("allowed_values", c.name, "allowed_values", c.allowed_text)
     for c in contract.columns:
-        if c.type and c.type != "string":
+        if ty.needs_cast(raw_type[c.name], c.type):
             add("type", c.name, f"type:{ty.canonical(c.type)}", c.type)
+        if c.strict_scale and (ty.canonical(c.type) or "").startswith("decimal"):
+            add("type", c.name, "strict_scale", c.type)
     for c in contract.columns:
         if c.regex:
             add("regex", c.name, "regex", c.regex)
@@ -255,6 +281,22 @@ def rule_catalog(df: DataFrame, contract) -> DataFrame:
         add("business_rule", None, r.name, text, s.status, s.detail)
     for k in contract.unique_keys:
         add("unique", ",".join(k.columns), k.rule, k.scope)
-    spark = df.sparkSession
-    return spark.createDataFrame(
+    return df.sparkSession.createDataFrame(
         rows, "position int, kind string, column string, rule string, detail string, status string, note string")
+
+
+def rule_hits(catalog: DataFrame, verdict: DataFrame) -> DataFrame:
+    """The catalog with each rule's violation count over a verdict frame.
+
+    The counts are one aggregation over the data (map-side partial); both
+    sides of the join hold at most one row per contract rule, so the
+    broadcast is bounded by the contract's size."""
+    from .route import summary_by_rule
+
+    hits = summary_by_rule(verdict).select(
+        F.col("kind").alias("h_kind"), F.col("column").alias("h_column"), F.col("rule").alias("h_rule"),
+        "violations")
+    on = ((catalog["kind"] == hits["h_kind"]) & catalog["column"].eqNullSafe(hits["h_column"])
+          & (catalog["rule"] == hits["h_rule"]))
+    return (catalog.join(F.broadcast(hits), on, "left")
+            .select(*catalog.columns, F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))

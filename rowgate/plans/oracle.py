@@ -303,6 +303,45 @@ FROM orders
 """
 
 
+CATALOG_ROWS = [
+    # position, kind, column, rule, detail, status
+    (1, "required", "record_id", "required", None, "ok"),
+    (2, "required", "event_ts", "required", None, "ok"),
+    (3, "required", "business_date", "required", None, "ok"),
+    (4, "required", "source_system", "required", None, "ok"),
+    (5, "required", "status", "required", None, "ok"),
+    (6, "required", "amount", "required", None, "ok"),
+    (7, "required", "country_code", "required", None, "ok"),
+    (8, "allowed_values", "source_system", "allowed_values", PRIORITY_LIST, "ok"),
+    (9, "allowed_values", "status", "allowed_values", STATUS_LIST, "ok"),
+    (10, "type", "event_ts", "type:timestamp", "timestamp", "ok"),
+    (11, "type", "business_date", "type:date", "date", "ok"),
+    (12, "type", "amount", "type:decimal(18,2)", "decimal(18,2)", "ok"),
+    (13, "regex", "country_code", "regex", "^[A-Z]{2}$", "ok"),
+    (14, "range", "amount", "min_value", "0", "ok"),
+    (15, "business_rule", None, "final_amount_positive", "upper(trim(status)) = 'F' => amount > 0", "ok"),
+    (16, "business_rule", None, "event_ts_near_business_date",
+     "abs(datediff(to_date(event_ts), business_date)) <= 7", "ok"),
+    (17, "business_rule", None, "business_date_not_far_future", "business_date <= date_add(as_of, 1)", "ok"),
+    (18, "business_rule", None, "uses_unknown_column", "no_such_column > 0", "skipped"),
+    (19, "unique", "record_id", "unique", "dataset", "ok"),
+]
+
+
+def _catalog() -> str:
+    def cell(x):
+        return "NULL::varchar" if x is None else (str(x) if isinstance(x, int) else lit(x))
+    values = ",\n  ".join("(" + ", ".join(cell(x) for x in row) + ")" for row in CATALOG_ROWS)
+    return (feed_checked(ALL_FEED_RULES)
+            + ",\nhits AS (SELECT r.v.kind AS kind, r.v.column AS col, r.v.rule AS rule, count(*) AS n "
+            "FROM (SELECT unnest(vs) AS v FROM checked) r GROUP BY ALL),\n"
+            f"cat(position, kind, \"column\", rule, detail, status) AS (VALUES\n  {values})\n"
+            "SELECT CAST(cat.position AS INTEGER) AS position, cat.kind, cat.\"column\", cat.rule, cat.detail, "
+            "cat.status, CAST(coalesce(hits.n, 0) AS BIGINT) AS violations\n"
+            "FROM cat LEFT JOIN hits ON cat.kind = hits.kind AND cat.\"column\" IS NOT DISTINCT FROM hits.col "
+            "AND cat.rule = hits.rule")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rule_required": feed_report(R_REQ),
@@ -342,6 +381,7 @@ def oracle_sql() -> dict[str, str]:
         "backfill_dynamic": _backfill(True),
         "backfill_static": _backfill(False),
         "header_drift": HEADER_DRIFT,
+        "rule_catalog": _catalog(),
         "stream_verdict": (feed_checked([r for r in ALL_FEED_RULES if r is not R_DUP])
                            + "\nSELECT order_key, array_to_string(list_transform(vs, lambda x: x.message), '|') "
                            "AS rejection_reasons FROM checked"),

@@ -285,6 +285,21 @@ def header_drift(spark, sf_dir):
         "file_date", "header_lines", "missing", "unexpected", "reordered")
 
 
+def rule_catalog(spark, sf_dir):
+    """Every rule of the feed contract (one deliberately broken, skipped) with
+    its status and its violation count over the whole feed."""
+    from ..operators.evaluate import rule_catalog as catalog_of, rule_hits
+
+    doc = dict(fx.FEED_CONTRACT)
+    doc["on_bad_rule"] = "skip"
+    doc["business_rules"] = list(doc["business_rules"]) + [
+        {"name": "uses_unknown_column", "assert": "no_such_column > 0"}]
+    contract = Contract.from_dict(doc)
+    feed = fx.dirty_orders(spark, sf_dir)
+    v = evaluate(feed, contract, as_of=fx.AS_OF)
+    return rule_hits(catalog_of(feed, contract), v).drop("note")
+
+
 # ------------------------------------------------------------------ streaming
 def stream_verdict(spark, sf_dir):
     """Row rules on ``orders`` read as a stream, routed per micro-batch, re-read."""
@@ -341,6 +356,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_static": backfill_static,
     "header_drift": header_drift,
     "stream_verdict": stream_verdict,
+    "rule_catalog": rule_catalog,
 }
 
 
