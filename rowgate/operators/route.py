@@ -53,8 +53,9 @@ def report(v: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """one row per violation (struct explode, so a ``|`` inside a message
     never splits it).  ``keep`` lists identifying columns to carry along."""
     keep = [c for c in (keep or []) if c in v.columns]
-    return (v.where(~F.col("is_valid"))
-            .select(*keep, F.posexplode("violations").alias("violation_index", "v"))
+    # No is_valid filter: a clean row's empty array explodes to nothing, and a
+    # filter would be pushed below the verdict projection, evaluating it twice.
+    return (v.select(*keep, F.posexplode("violations").alias("violation_index", "v"))
             .select(*keep, "violation_index",
                     F.col("v.kind").alias("kind"), F.col("v.column").alias("column"),
                     F.col("v.rule").alias("rule"), F.col("v.message").alias("violation")))
@@ -62,7 +63,7 @@ def report(v: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def summary_by_rule(v: DataFrame) -> DataFrame:
     """violations per (kind, column, rule)."""
-    return (v.where(~F.col("is_valid")).select(F.explode("violations").alias("v"))
+    return (v.select(F.explode("violations").alias("v"))
             .groupBy(F.col("v.kind").alias("kind"), F.col("v.column").alias("column"),
                      F.col("v.rule").alias("rule"))
             .agg(F.count(F.lit(1)).alias("violations")))
