@@ -51,6 +51,7 @@ def run(
     silver_partition: str | None = "business_date",
     single_report_file: bool = False,
     typed_silver: bool = False,
+    keep_line: bool = False,
     **evaluate_kw,
 ) -> RunResult:
     """Validate ``source`` (path(s) of delimited text, or a DataFrame) and write
@@ -58,7 +59,9 @@ def run(
 
     ``overwrite`` is ``"dynamic"`` (replace only partitions present in this
     run - the default when a date range is given, so a backfill keeps other
-    dates) or ``"static"`` (replace whole outputs).
+    dates) or ``"static"`` (replace whole outputs).  ``keep_line`` carries each
+    input line as ``_line`` into the quarantine (costs a copy of the text in
+    the staged verdict).
     """
     contract = Contract.load(contract)
     timings: dict[str, float] = {}
@@ -66,7 +69,7 @@ def run(
     if isinstance(source, DataFrame):
         bronze = source
     else:
-        bronze = read_delimited(spark, source, contract, start=start, end=end)
+        bronze = read_delimited(spark, source, contract, start=start, end=end, keep_line=keep_line)
     if bronze.isEmpty():
         raise EmptyInput(f"no rows to validate in {source!r} (range {start}..{end})")
     drift = drift_rows(bronze.columns, contract)

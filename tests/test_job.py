@@ -41,6 +41,15 @@ def test_backfill_dynamic_keeps_other_dates(spark, scratch):
     assert dates == {"2026-03-03", "2026-03-04"}
 
 
+def test_quarantine_keeps_raw_line(spark, scratch):
+    src = feed_files.write(os.path.join(scratch, "in"))
+    out = os.path.join(scratch, "out")
+    run(spark, src, out, CONTRACT, as_of=AS_OF, keep_line=True)
+    q = spark.read.parquet(f"{out}/quarantine").where("record_id = 'B4'").first()
+    assert q._line == "B4,2026-03-02T09:15:00Z,2026-03-02,WALLET_X,GBP,8.00,POSTED,FOOD" and q._malformed
+    assert "_line" not in spark.read.parquet(f"{out}/silver").columns
+
+
 def test_empty_range_raises(spark, scratch):
     src = feed_files.write(os.path.join(scratch, "in"))
     with pytest.raises(EmptyInput):
