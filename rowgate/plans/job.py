@@ -48,6 +48,7 @@ def run(
     as_of=None,
     overwrite: str | None = None,
     on_missing: str = "fail",
+    on_unexpected: str = "keep",
     silver_partition: str | None = "business_date",
     single_report_file: bool = False,
     typed_silver: bool = False,
@@ -59,7 +60,9 @@ def run(
 
     ``overwrite`` is ``"dynamic"`` (replace only partitions present in this
     run - the default when a date range is given, so a backfill keeps other
-    dates) or ``"static"`` (replace whole outputs).  ``keep_line`` carries each
+    dates) or ``"static"`` (replace whole outputs).  Drift policies:
+    ``on_missing`` ``"fail"`` / ``"null_fill"``, ``on_unexpected`` ``"keep"`` /
+    ``"drop"`` (columns the contract does not declare).  ``keep_line`` carries each
     input line as ``_line`` into the quarantine (costs a copy of the text in
     the staged verdict).
     """
@@ -75,6 +78,9 @@ def run(
     drift = drift_rows(bronze.columns, contract)
     if any(kind == "missing" for _, kind in drift) and on_missing == "fail":
         raise ContractError(f"columns missing from input: {[c for c, k in drift if k == 'missing']}")
+    unexpected = [c for c, kind in drift if kind == "unexpected"]
+    if unexpected and on_unexpected == "drop":
+        bronze = bronze.drop(*unexpected)
     timings["bronze"] = time.perf_counter() - t0
 
     dynamic = (overwrite or ("dynamic" if (start or end) else "static")) == "dynamic"

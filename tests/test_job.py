@@ -50,6 +50,16 @@ def test_quarantine_keeps_raw_line(spark, scratch):
     assert "_line" not in spark.read.parquet(f"{out}/silver").columns
 
 
+def test_drift_policies(spark, scratch):
+    df = spark.createDataFrame([("X1", "2026-03-01", "extra")], "record_id string, business_date string, notes string")
+    res = run(spark, df, os.path.join(scratch, "o1"), CONTRACT, as_of=AS_OF, on_missing="null_fill",
+              on_unexpected="drop")
+    assert ("notes", "unexpected") in res.drift and ("amount", "missing") in res.drift
+    assert "notes" not in spark.read.parquet(os.path.join(scratch, "o1", "verdict")).columns
+    with pytest.raises(Exception):
+        run(spark, df, os.path.join(scratch, "o2"), CONTRACT, as_of=AS_OF)
+
+
 def test_empty_range_raises(spark, scratch):
     src = feed_files.write(os.path.join(scratch, "in"))
     with pytest.raises(EmptyInput):
