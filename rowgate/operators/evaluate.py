@@ -194,7 +194,6 @@ def evaluate(
     on_missing: str = "fail",
     hot_key_rows: int = K.DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = K.DEFAULT_MAX_HOT_KEYS,
-    salt_buckets: int = K.DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
     """Judge every row of ``df`` against ``contract``.
 
@@ -213,7 +212,7 @@ def evaluate(
             cols = K.key_columns(key, contract.file_column)
             df = K.flag_duplicates(df, cols, flag, strategy=unique_strategy, hashed=key.hashed,
                                    hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys,
-                                   salt_buckets=salt_buckets, null_keys=key.null_keys)
+                                   null_keys=key.null_keys)
             flags.append((key, flag))
 
     sc = _Scope(df, contract, as_of)

@@ -14,15 +14,20 @@ all rows:
    bound proven by construction - and broadcast-joined to the rows: no
    shuffle of the big side for them.
 3. Every other row is flagged by a null-safe equi-join against the duplicate
-   keys.  Hot rows enter that join with a salt in ``1..salt_buckets`` that
-   the duplicate side never carries (it has salt 0), so they spread over
-   many tasks and match nothing; hot keys beyond the top-k bound are still
-   matched exactly there (AQE skew-join splits what remains).  When the
+   keys.  Hot rows enter that join with a row-unique salt (``1 +
+   monotonically_increasing_id()``, deterministic for a given input split)
+   that the duplicate side never carries (it has salt 0), so they spread over
+   all shuffle partitions and match nothing; hot keys beyond the top-k bound
+   are still matched exactly there (AQE skew-join splits what remains).  When the
    duplicate set is small AQE turns the join into a broadcast at run time,
    after measuring it.
 
-Strategy ``window`` is the plain ``count(*) OVER (PARTITION BY key)`` form;
-it is kept for comparison only (all rows of one key meet in one task).
+Strategy ``window`` flags with ``count(*) OVER (PARTITION BY key, salt)``
+instead of the join: hot keys come from the same bounded top-k and are
+flagged by broadcast and their rows each form a group of one, so a window
+group holds fewer than ``hot_key_rows`` rows (unless there are more than
+``max_hot_keys`` hot keys, or hot keys longer than ``MAX_HOT_KEY_BYTES`` -
+use ``aggregate``, whose join AQE can split, for such data).
 
 ``hashed=True`` groups by SHA-256 digests of the keys instead of the values,
 so long texts are not shuffled during counting (exact up to a SHA-256
@@ -41,7 +46,6 @@ from ..functions import types as ty
 
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 10_000
-DEFAULT_SALT_BUCKETS = 256
 MAX_HOT_KEY_BYTES = 1024
 
 
@@ -72,7 +76,6 @@ def flag_duplicates(
     hashed: bool = False,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
     null_keys: str = "group",
 ) -> DataFrame:
     """``df`` plus boolean column ``flag``: the row's key occurs more than once.
@@ -87,10 +90,7 @@ def flag_duplicates(
     any_null = (reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
                 if null_keys == "ignore" else F.lit(False))
 
-    if strategy == "window":
-        w = Window.partitionBy(*names)
-        return base.withColumn(flag, (F.count(F.lit(1)).over(w) > 1) & ~any_null).drop(*names)
-    if strategy != "aggregate":
+    if strategy not in ("aggregate", "window"):
         raise ValueError(f"unknown uniqueness strategy {strategy!r}")
 
     counted = base.where(~any_null) if null_keys == "ignore" else base
@@ -113,12 +113,19 @@ def flag_duplicates(
     )
     on_hot = _null_safe(base, hot, names, hot_names)
     marked = base.join(F.broadcast(hot), on_hot, "left").drop(*hot_names)
-    salt = (F.lit(1) + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salt_buckets))).cast("int")
+    salt = F.monotonically_increasing_id() + F.lit(1)
     marked = marked.withColumn("__salt", F.when(F.col("__hot") | any_null, salt).otherwise(F.lit(0)))
 
+    if strategy == "window":
+        # count(*) OVER (PARTITION BY key, salt): hot and null-ignored rows
+        # are groups of one; hot rows are duplicates through the broadcast flag.
+        w = Window.partitionBy(*names, "__salt")
+        is_dup = F.coalesce(F.col("__hot"), F.lit(False)) | ((F.count(F.lit(1)).over(w) > 1) & ~any_null)
+        return marked.withColumn(flag, is_dup).drop(*names, "__hot", "__salt")
+
     dup_names = [f"__dk{i}" for i in range(len(names))]
     dup_side = dups.select(*[F.col(n).alias(d) for n, d in zip(names, dup_names)],
-                           F.lit(0).alias("__dsalt"), F.lit(True).alias("__dup"))
+                           F.lit(0).cast("long").alias("__dsalt"), F.lit(True).alias("__dup"))
     on_dup = _null_safe(marked, dup_side, names, dup_names) & (marked["__salt"] == dup_side["__dsalt"])
     joined = marked.join(dup_side, on_dup, "left")
     is_dup = F.coalesce(F.col("__hot"), F.lit(False)) | F.coalesce(F.col("__dup"), F.lit(False))

@@ -155,7 +155,7 @@ unique_dataset = _unique_feed()
 unique_dataset_window = _unique_feed(unique_strategy="window")
 # Hot-key path on real data: null and blank ids (about 1% of rows each) pass
 # the hot threshold, so they take the broadcast + salted branch.
-unique_dataset_skew = _unique_feed(hot_key_rows=20, salt_buckets=16)
+unique_dataset_skew = _unique_feed(hot_key_rows=20)
 
 
 def unique_within_file(spark, sf_dir):

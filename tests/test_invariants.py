@@ -44,5 +44,6 @@ def test_partitioning_and_order_do_not_matter(feed, baseline, parts):
 
 def test_strategies_and_repeats_agree(feed, baseline):
     assert _verdict(feed, unique_strategy="window") == baseline
-    assert _verdict(feed, hot_key_rows=2, salt_buckets=5) == baseline
+    assert _verdict(feed, hot_key_rows=2) == baseline
+    assert _verdict(feed, hot_key_rows=2, unique_strategy="window") == baseline
     assert _verdict(feed) == baseline

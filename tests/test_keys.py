@@ -29,7 +29,8 @@ def test_strategies_match_brute_force(spark, rows):
     want_k = brute(rows, [1])
     assert flags(spark, rows, ["k"]) == want_k
     assert flags(spark, rows, ["k"], strategy="window") == want_k
-    assert flags(spark, rows, ["k"], hot_key_rows=3, salt_buckets=4) == want_k
+    assert flags(spark, rows, ["k"], hot_key_rows=3) == want_k
+    assert flags(spark, rows, ["k"], strategy="window", hot_key_rows=2) == want_k
     assert flags(spark, rows, ["k"], hot_key_rows=2, max_hot_keys=1) == want_k
     assert flags(spark, rows, ["f", "k", "j"], hot_key_rows=2) == brute(rows, [0, 1, 2])
     assert flags(spark, rows, ["k"], hashed=True) == want_k
@@ -37,7 +38,8 @@ def test_strategies_match_brute_force(spark, rows):
 
 def test_hot_key_holding_a_third_of_rows(spark):
     rows = [("f0", "HOT", None)] * 300 + [("f1", f"k{i}", None) for i in range(600)] + [("f1", "k7", None)]
-    got = flags(spark, rows, ["k"], hot_key_rows=100, salt_buckets=8)
+    got = flags(spark, rows, ["k"], hot_key_rows=100)
+    assert flags(spark, rows, ["k"], hot_key_rows=100, strategy="window") == got
     assert got == brute(rows, [1])
     assert sum(got) == 302
 
