@@ -160,27 +160,37 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws("", *[x for i, f in enumerate(fields) for x in ((F.col("__sep"), f) if i else (f,))])
     line = F.when(k % EXTRA_FIELD_MODULUS == 0, F.concat(line, F.col("__sep"), F.lit("EXTRA"))).otherwise(line)
     return d.select(F.concat(F.lit("orders_"), F.col("order_year").cast("string"), F.lit("-01-01")).alias("folder"),
-                    F.lit(0).alias("__h"), k.alias("__k"), line.alias("value"))
+                    line.alias("value"))
+
+
+# Writer options that emit each line verbatim: a single column, with a field
+# separator and quote character that never occur in the lines.
+_VERBATIM = {"sep": "\u0001", "quote": "\u0002", "escapeQuotes": "false",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _write_lines(lines: DataFrame, out_dir: str, header: str, mode: str) -> None:
+    # The CSV writer puts the header (the column's name) at the top of every
+    # file it writes, so tasks write their own files: no per-folder shuffle.
+    (lines.select("folder", F.col("value").alias(header))
+     .write.mode(mode).options(header="true", **_VERBATIM).partitionBy("folder").csv(out_dir))
 
 
 def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: bool = False) -> str:
     """Write the feed as text, one folder per order year (``orders_<yyyy>-01-01``),
-    each file starting with a header line.  Returns ``out_dir``."""
+    every file starting with a header line.  With ``drift`` the files of one
+    year carry a header with two columns swapped and one renamed.  Returns
+    ``out_dir``."""
     lines = feed_lines(spark, sf_dir)
-    folders = lines.select("folder").distinct()
-    header = F.lit(",".join(FEED_COLUMNS))
-    if drift:
-        swapped = list(FEED_COLUMNS)
-        i, j = swapped.index("source_system"), swapped.index("status")
-        swapped[i], swapped[j] = swapped[j], swapped[i]
-        swapped[swapped.index("amount")] = "amt"
-        header = F.when(F.col("folder") == f"orders_{DRIFT_YEAR}-01-01",
-                        F.lit(",".join(swapped))).otherwise(header)
-    heads = folders.select("folder", F.lit(1).alias("__h"), F.lit(-1).cast("long").alias("__k"),
-                           header.alias("value"))
-    (lines.unionByName(heads)
-     .repartition("folder")
-     .sortWithinPartitions("folder", F.desc("__h"), "__k")
-     .select("folder", "value")
-     .write.mode("overwrite").partitionBy("folder").text(out_dir))
+    header = ",".join(FEED_COLUMNS)
+    if not drift:
+        _write_lines(lines, out_dir, header, "overwrite")
+        return out_dir
+    swapped = list(FEED_COLUMNS)
+    i, j = swapped.index("source_system"), swapped.index("status")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    swapped[swapped.index("amount")] = "amt"
+    odd = F.col("folder") == f"orders_{DRIFT_YEAR}-01-01"
+    _write_lines(lines.where(~odd), out_dir, header, "overwrite")
+    _write_lines(lines.where(odd), out_dir, ",".join(swapped), "append")
     return out_dir

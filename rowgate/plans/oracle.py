@@ -295,7 +295,8 @@ DATE_RANGE = (f"WITH {FEED}\nSELECT CAST(order_key AS VARCHAR) AS order_key, rec
               "WHERE order_year BETWEEN 1996 AND 1997")
 
 HEADER_DRIFT = """
-SELECT DISTINCT make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS file_date, CAST(1 AS BIGINT) AS header_lines,
+SELECT DISTINCT make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS file_date,
+       CAST(1 AS BIGINT) AS min_header_lines, CAST(1 AS BIGINT) AS max_header_lines,
        CASE WHEN year(o_orderdate) = 1997 THEN 'amount' ELSE '' END AS missing,
        CASE WHEN year(o_orderdate) = 1997 THEN 'amt' ELSE '' END AS unexpected,
        year(o_orderdate) = 1997 AS reordered

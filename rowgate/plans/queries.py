@@ -281,8 +281,12 @@ backfill_static = _backfill("static")
 
 def header_drift(spark, sf_dir):
     root = _feed_files(spark, sf_dir, "feed-drift", drift=True)
-    return _header_drift(spark, root, fx.feed_contract()).select(
-        "file_date", "header_lines", "missing", "unexpected", "reordered")
+    per_file = _header_drift(spark, root, fx.feed_contract())
+    # One row per dated folder, however many files its writers produced.
+    return per_file.groupBy("file_date").agg(
+        F.min("header_lines").alias("min_header_lines"), F.max("header_lines").alias("max_header_lines"),
+        F.max("missing").alias("missing"), F.max("unexpected").alias("unexpected"),
+        F.max("reordered").alias("reordered"))
 
 
 def rule_catalog(spark, sf_dir):
