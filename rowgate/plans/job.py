@@ -123,8 +123,13 @@ def run(
     keep = [c for c in (cols[0] if cols else None, contract.file_column, silver_partition)
             if c and c in staged.columns]
     rep = route.report(staged, keep=list(dict.fromkeys(keep)))
+    rpart = () if single_report_file or not dynamic else qpart
+    if contract.file_column.startswith("_") and contract.file_column in rep.columns:
+        # metadata name in, readable name out (the report is for people)
+        rep = rep.withColumnRenamed(contract.file_column, "source_file")
+        rpart = tuple("source_file" if c == contract.file_column else c for c in rpart)
     write_csv_report(rep, f"{output_dir}/report", single_file=single_report_file,
-                     dynamic=dynamic, partition_by=() if single_report_file or not dynamic else qpart)
+                     dynamic=dynamic, partition_by=rpart)
     timings["report"] = time.perf_counter() - t
     timings["total"] = time.perf_counter() - t0
     return RunResult(output_dir, counts, drift, timings)

@@ -25,6 +25,7 @@ def test_run_outputs_and_counts(spark, scratch):
     assert q.count() == 10 and {"rejection_reasons", "violations", "_delimiter_issue"} <= set(q.columns)
     rep = spark.read.option("header", "true").csv(f"{out}/report")
     assert rep.count() == 18
+    assert rep.columns[:3] == ["record_id", "source_file", "business_date"] and "violation" in rep.columns
     assert rep.where(F.col("violation").contains("|")).count() == 0
 
 
