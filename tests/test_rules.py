@@ -209,3 +209,11 @@ def test_strict_scale_and_bad_pattern(spark):
     bad = Contract.from_dict({"schema": [{"name": "amount", "regex": "([a-z"}]})
     with pytest.raises(ContractError):
         evaluate(df, bad)
+
+
+def test_compat_entry_point(spark):
+    from rowgate import ContractValidator
+
+    df = spark.createDataFrame([tuple({**BASE, "currency": "JPY"}[f.name] for f in SCHEMA)], SCHEMA)
+    r = ContractValidator(CONTRACT, as_of=AS_OF).apply(df).first()
+    assert not r.is_valid and r.rejection_reasons.startswith("currency: 'JPY' not in allowed_values")
