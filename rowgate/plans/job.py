@@ -9,7 +9,10 @@ come from an ``Observation`` on that same write (no extra pass).
 
 from __future__ import annotations
 
+import datetime as _dt
+import json
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -132,4 +135,25 @@ def run(
                      dynamic=dynamic, partition_by=rpart)
     timings["report"] = time.perf_counter() - t
     timings["total"] = time.perf_counter() - t0
+    _append_metrics(spark, output_dir, contract, counts, timings, drift,
+                    start=start, end=end, as_of=as_of, dynamic=dynamic)
     return RunResult(output_dir, counts, drift, timings)
+
+
+def _append_metrics(spark, output_dir, contract, counts, timings, drift, **params) -> None:
+    """one row per run appended to ``run_metrics`` (a run history)."""
+    row = {
+        "run_id": uuid.uuid4().hex,
+        "finished_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+        "dataset": contract.dataset,
+        "contract_version": contract.version,
+        "params": json.dumps({k: (None if v is None else str(v)) for k, v in params.items()}),
+        "drift": json.dumps(drift),
+        **{k: int(counts.get(k) or 0) for k in ("rows", "valid_rows", "invalid_rows", "violations")},
+        **{f"sec_{k}": round(float(v), 3) for k, v in timings.items()},
+    }
+    schema = ("run_id string, finished_at timestamp, dataset string, contract_version string, params string, "
+              "drift string, rows long, valid_rows long, invalid_rows long, violations long, "
+              + ", ".join(f"sec_{k} double" for k in timings))
+    (spark.createDataFrame([tuple(row.values())], schema)
+     .write.mode("append").parquet(f"{output_dir}/run_metrics"))

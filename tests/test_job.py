@@ -38,6 +38,9 @@ def test_backfill_dynamic_keeps_other_dates(spark, scratch):
     after = spark.read.parquet(f"{out}/silver")
     assert after.count() == before
     run(spark, src, out, CONTRACT, as_of=AS_OF, start="2026-03-03", end="2026-03-03", overwrite="static")
+    history = spark.read.parquet(f"{out}/run_metrics").collect()
+    assert len(history) == 3 and sorted(r.rows for r in history) == [5, 5, 18]
+    assert all(r.sec_total > 0 for r in history)
     dates = {str(r[0]) for r in spark.read.parquet(f"{out}/silver").select("business_date").distinct().collect()}
     assert dates == {"2026-03-03", "2026-03-04"}
 
