@@ -76,3 +76,17 @@ def test_single_file_report(spark, scratch):
     run(spark, src, out, CONTRACT, as_of=AS_OF, single_report_file=True)
     parts = [p for p in os.listdir(f"{out}/report") if p.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_command_line(spark, scratch, capsys):
+    import json as _json
+
+    from rowgate.__main__ import main
+
+    src = feed_files.write(os.path.join(scratch, "in"))
+    out = os.path.join(scratch, "out")
+    assert main([src, out, CONTRACT, "2026-03-02", "2026-03-03", "--as-of", "2026-04-01"]) == 0
+    printed = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    # without the first file, A3 has no twin: B1, B2, B5, A3 and C1, C2, C5 are valid
+    assert printed["rows"] == 15 and printed["valid_rows"] == 7
+    assert main([src, out, CONTRACT, "2030-01-01"]) == 1
