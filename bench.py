@@ -28,7 +28,7 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
 WARM_DIR = os.environ.get("BENCH_WARM_DIR", os.path.join(os.path.dirname(SF_DIR.rstrip("/")), "sf0.001"))
 
 HEADLINE = ["verdict", "report", "summary_by_rule", "unique_dataset", "unique_dataset_skew",
-            "unique_composite", "unique_text_hashed", "rule_assert", "rules_conversations"]
+            "unique_composite", "unique_hot_keys", "unique_text_hashed", "rule_assert", "rules_conversations"]
 
 
 def _session() -> SparkSession:

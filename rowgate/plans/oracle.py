@@ -208,6 +208,14 @@ FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS n FROM
 WHERE n > 1
 """
 
+LINEITEM_HOT = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'unique' AS kind, 'l_returnflag,l_linestatus' AS "column",
+       'unique' AS rule,
+       '(l_returnflag, l_linestatus): duplicate (l_returnflag, l_linestatus) found across files' AS violation
+FROM (SELECT *, count(*) OVER (PARTITION BY trim(l_returnflag), trim(l_linestatus)) AS n FROM lineitem)
+WHERE n > 1
+"""
+
 DOCUMENTS_UNIQUE = """
 SELECT doc_id, 'unique' AS kind, 'text' AS "column", 'unique' AS rule,
        'text: duplicate text found across files' AS violation
@@ -367,6 +375,7 @@ def oracle_sql() -> dict[str, str]:
         "unique_dataset_skew": feed_report([R_DUP]),
         "unique_within_file": feed_report([R_DUP_FILE]),
         "unique_composite": LINEITEM_UNIQUE,
+        "unique_hot_keys": LINEITEM_HOT,
         "unique_text_hashed": DOCUMENTS_UNIQUE,
         "verdict": feed_verdict(ALL_FEED_RULES),
         "report": _report_indexed(ALL_FEED_RULES),

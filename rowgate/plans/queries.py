@@ -169,6 +169,14 @@ def unique_composite(spark, sf_dir):
                          ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
+def unique_hot_keys(spark, sf_dir):
+    """Every key holds about a quarter to a third of ``lineitem``: all rows are
+    duplicates and all keys take the hot path (broadcast flag, salted rows)."""
+    contract = {"schema": [], "unique_keys": [{"columns": ["l_returnflag", "l_linestatus"]}]}
+    return _table_report(spark, sf_dir, "lineitem", contract,
+                         ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], hot_key_rows=1000)
+
+
 def unique_text_hashed(spark, sf_dir):
     contract = {"schema": [], "unique_keys": [{"columns": ["text"], "hashed": True}]}
     return _table_report(spark, sf_dir, "documents", contract, ["doc_id"])
@@ -344,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_dataset_skew": unique_dataset_skew,
     "unique_within_file": unique_within_file,
     "unique_composite": unique_composite,
+    "unique_hot_keys": unique_hot_keys,
     "unique_text_hashed": unique_text_hashed,
     "verdict": verdict,
     "report": report,
