@@ -105,8 +105,11 @@ def flag_duplicates(
     width = [F.coalesce(F.octet_length(F.col(n)), F.lit(0))
              for n, c in zip(names, columns) if hashed or ty.is_string(df.schema[c].dataType)]
     short = reduce(lambda a, b: a + b, width) <= MAX_HOT_KEY_BYTES if width else F.lit(True)
+    # One predicate over the count (not a separate key-only conjunct), so it
+    # stays above the aggregation and both branches reuse one key count.
+    hot_count = F.when(short, F.col("__n")).otherwise(F.lit(0))
     hot = (
-        dups.where((F.col("__n") >= hot_key_rows) & short)
+        dups.where(hot_count >= hot_key_rows)
         .orderBy(F.desc("__n"), *[F.asc_nulls_first(n) for n in names])
         .limit(max_hot_keys)
         .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.lit(True).alias("__hot"))

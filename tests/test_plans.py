@@ -25,6 +25,11 @@ def test_key_count_reads_key_columns_only_and_is_reused(spark):
     assert "ReusedExchange" in plan
 
 
+def test_string_key_count_is_reused_too(spark):
+    plan = _final_plan(Q.unique_dataset(spark, SF))
+    assert "ReusedExchange" in plan
+
+
 def test_verdict_is_one_projection_over_the_scan(spark):
     plan = Q.verdict(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("flatten(") == 1 or plan.count("filter(") >= 1
