@@ -206,10 +206,15 @@ def evaluate(
     original = list(df.columns)
 
     flags: list[tuple] = []
+    # A file is identified by its full path when the reader recorded it (two
+    # files may share a base name in different folders).
+    file_id = contract.file_column
+    if file_id == "_source_file" and "_source_path" in df.columns:
+        file_id = "_source_path"
     if include_unique:
         for i, key in enumerate(contract.unique_keys):
             flag = f"__dup{i}"
-            cols = K.key_columns(key, contract.file_column)
+            cols = K.key_columns(key, file_id)
             df = K.flag_duplicates(df, cols, flag, strategy=unique_strategy, hashed=key.hashed,
                                    hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys,
                                    null_keys=key.null_keys)

@@ -124,3 +124,16 @@ def test_header_order_labels_fields(spark, scratch):
     assert v.where("is_valid").count() == 2
     positional = read_delimited(spark, folder, CONTRACT, header="contract").collect()
     assert {r.record_id for r in positional} == {"2026-03-05T08:00:00Z", "2026-03-05T08:01:00Z"}
+
+
+def test_within_file_uses_full_path(spark, scratch):
+    root = os.path.join(scratch, "tree")
+    rows = ["Z1,2026-03-01T08:00:00Z,2026-03-01,CARD_PROC,USD,1.00,POSTED,FOOD,US"]
+    feed_files.write(os.path.join(root, "load_2026-05-01"), {"part-0.csv": rows})
+    feed_files.write(os.path.join(root, "load_2026-05-02"), {"part-0.csv": rows})
+    doc = Contract.load(CONTRACT).raw
+    schema = [dict(c, unique=False, unique_within_file=(c["name"] == "record_id")) for c in doc["schema"]]
+    within = Contract.from_dict({**doc, "schema": schema})
+    b = read_delimited(spark, [os.path.join(root, "load_2026-05-01"), os.path.join(root, "load_2026-05-02")], within)
+    v = evaluate(b, within, as_of=AS_OF).collect()
+    assert len(v) == 2 and all(r.is_valid for r in v)  # same base name, different files
