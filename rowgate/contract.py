@@ -85,8 +85,10 @@ class UniqueKey:
 
     @property
     def message(self) -> str:
-        where = "across files" if self.scope == SCOPE_DATASET else "within file"
-        return f"{self.label}: duplicate {self.label} found {where}"
+        from .functions import messages
+
+        template = messages.DUPLICATE if self.scope == SCOPE_DATASET else messages.DUPLICATE_IN_FILE
+        return template.format(key=self.label)
 
 
 @dataclass(frozen=True)

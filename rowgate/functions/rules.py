@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contract import BusinessRule, ColumnSpec, ContractError, UniqueKey
+from . import messages as M
 from . import types as ty
 
 VIOLATION_TYPE = T.StructType([
@@ -62,6 +63,11 @@ def when_violated(bad: Column, kind: str, column: str | None, rule: str, message
     return Check(bad, violation(kind, column, rule, message))
 
 
+def _with_value(template: str, value: Column, **fixed) -> Column:
+    before, after = M.split(template, **fixed)
+    return F.concat(F.lit(before), value, F.lit(after))
+
+
 def as_text(raw: Column, raw_type: T.DataType) -> Column:
     return raw if ty.is_string(raw_type) else raw.cast("string")
 
@@ -74,7 +80,7 @@ def required(spec: ColumnSpec, raw: Column, raw_type: T.DataType) -> Check | Non
     if ty.is_string(raw_type):
         bad = bad | (F.trim(raw) == F.lit(""))
     return when_violated(bad, "required", spec.name, "required",
-                         F.lit(f"{spec.name}: required field is null or empty"))
+                         F.lit(M.REQUIRED.format(column=spec.name)))
 
 
 # --------------------------------------------------------------------------- R2
@@ -84,7 +90,7 @@ def allowed_values(spec: ColumnSpec, raw: Column, raw_type: T.DataType) -> Check
     text = as_text(raw, raw_type)
     allowed = [str(v) for v in spec.allowed_values]
     bad = raw.isNotNull() & ~F.trim(text).isin(allowed)
-    msg = F.concat(F.lit(f"{spec.name}: '"), text, F.lit(f"' not in allowed_values {spec.allowed_text}"))
+    msg = _with_value(M.ALLOWED_VALUES, text, column=spec.name, allowed=spec.allowed_text)
     return when_violated(bad, "allowed_values", spec.name, "allowed_values", msg)
 
 
@@ -94,7 +100,7 @@ def type_check(spec: ColumnSpec, raw: Column, raw_type: T.DataType, typed: Colum
         return None
     word = ty.type_word(spec.type)
     bad = raw.isNotNull() & typed.isNull()
-    msg = F.concat(F.lit(f"{spec.name}: '"), as_text(raw, raw_type), F.lit(f"' is not a valid {word}"))
+    msg = _with_value(M.TYPE, as_text(raw, raw_type), column=spec.name, type=word)
     return when_violated(bad, "type", spec.name, f"type:{ty.canonical(spec.type)}", msg)
 
 
@@ -106,7 +112,7 @@ def scale_check(spec: ColumnSpec, raw: Column, raw_type: T.DataType, typed: Colu
         return None
     exact = raw.try_cast("decimal(38,18)")
     bad = typed.isNotNull() & exact.isNotNull() & (exact != typed)
-    msg = F.concat(F.lit(f"{spec.name}: '"), raw, F.lit(f"' has more decimals than {name}"))
+    msg = _with_value(M.STRICT_SCALE, raw, column=spec.name, type=name)
     return when_violated(bad, "type", spec.name, "strict_scale", msg)
 
 
@@ -128,7 +134,7 @@ def regex(spec: ColumnSpec, raw: Column, raw_type: T.DataType) -> Check | None:
         return None
     text = as_text(raw, raw_type)
     bad = raw.isNotNull() & ~text.rlike(spec.regex)
-    msg = F.concat(F.lit(f"{spec.name}: '"), text, F.lit(f"' does not match pattern {spec.regex}"))
+    msg = _with_value(M.REGEX, text, column=spec.name, pattern=spec.regex)
     return when_violated(bad, "regex", spec.name, "regex", msg)
 
 
@@ -159,11 +165,11 @@ def ranges(spec: ColumnSpec, raw: Column, raw_type: T.DataType, typed: Column) -
     text = as_text(raw, raw_type)
     if spec.min_value is not None:
         bad = num.isNotNull() & (num < _number(spec.min_value))
-        msg = F.concat(F.lit(f"{spec.name}: "), text, F.lit(f" is below min_value {spec.min_value}"))
+        msg = _with_value(M.MIN_VALUE, text, column=spec.name, bound=spec.min_value)
         out.append(when_violated(bad, "range", spec.name, "min_value", msg))
     if spec.max_value is not None:
         bad = num.isNotNull() & (num > _number(spec.max_value))
-        msg = F.concat(F.lit(f"{spec.name}: "), text, F.lit(f" exceeds max_value {spec.max_value}"))
+        msg = _with_value(M.MAX_VALUE, text, column=spec.name, bound=spec.max_value)
         out.append(when_violated(bad, "range", spec.name, "max_value", msg))
     return out
 
@@ -199,9 +205,10 @@ def business(rule: BusinessRule, sql_of) -> Check:
     if rule.condition:
         bad = f"({rule.condition}) AND {bad}"
     if rule.message:
-        msg = f"concat({sql_string(f'business_rule: {rule.name} - ')}, {render_template(rule.message, sql_of)})"
+        head, tail = M.BUSINESS_RULE.format(name=rule.name, message="\0").split("\0")
+        msg = f"concat({sql_string(head)}, {render_template(rule.message, sql_of)}, {sql_string(tail)})"
     else:
-        msg = sql_string(f"business_rule: {rule.name} failed")
+        msg = sql_string(M.BUSINESS_RULE_FAILED.format(name=rule.name))
     value = F.expr(f"named_struct('kind', 'business_rule', 'column', CAST(NULL AS STRING), "
                    f"'rule', {sql_string(rule.name)}, 'message', {msg})")
     return Check(F.expr(bad), value)

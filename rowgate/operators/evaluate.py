@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import BusinessRule, Contract, ContractError
+from ..functions import messages as M
 from ..functions import rules as R
 from ..functions import types as ty
 from . import keys as K
@@ -227,7 +228,7 @@ def evaluate(
     checks.extend(R.duplicate(key, F.col(flag)) for key, flag in flags)
     if reject_malformed and "_malformed" in scope.columns:
         checks.append(R.when_violated(F.col("_malformed"), "malformed", None, "malformed",
-                                      F.lit("row: wrong number of fields or unclosed quote")))
+                                      F.lit(M.MALFORMED)))
 
     out = [sc.raw(c).alias(c) if c in sc.raw_name else F.col(c) for c in original]
     verdict = scope.select(*out, R.collect(checks).alias("violations"))
