@@ -60,7 +60,9 @@ def run(
     **evaluate_kw,
 ) -> RunResult:
     """Validate ``source`` (path(s) of delimited text, or a DataFrame) and write
-    ``verdict``, ``silver``, ``quarantine`` and ``report`` under ``output_dir``.
+    ``bronze`` (text sources), ``verdict``, ``silver``, ``quarantine``,
+    ``report``, ``summary_by_file``, ``summary_by_rule`` and a ``run_metrics``
+    row under ``output_dir``.
 
     ``overwrite`` is ``"dynamic"`` (replace only partitions present in this
     run - the default when a date range is given, so a backfill keeps other
@@ -134,6 +136,12 @@ def run(
     write_csv_report(rep, f"{output_dir}/report", single_file=single_report_file,
                      dynamic=dynamic, partition_by=rpart)
     timings["report"] = time.perf_counter() - t
+    t = time.perf_counter()
+    by = [c for c in (contract.file_column, silver_partition) if c and c in staged.columns]
+    write_table(route.summary_by(staged, *by), f"{output_dir}/summary_by_file", rebalance=False)
+    write_table(route.summary_by_rule(staged.where(~F.col("is_valid"))), f"{output_dir}/summary_by_rule",
+                rebalance=False)
+    timings["summaries"] = time.perf_counter() - t
     timings["total"] = time.perf_counter() - t0
     _append_metrics(spark, output_dir, contract, counts, timings, drift,
                     start=start, end=end, as_of=as_of, dynamic=dynamic)

@@ -27,6 +27,11 @@ def test_run_outputs_and_counts(spark, scratch):
     assert rep.count() == 18
     assert rep.columns[:3] == ["record_id", "source_file", "business_date"] and "violation" in rep.columns
     assert rep.where(F.col("violation").contains("|")).count() == 0
+    by_file = {r._source_file: r for r in spark.read.parquet(f"{out}/summary_by_file")
+               .groupBy("_source_file").agg(F.sum("valid_rows").alias("valid_rows")).collect()}
+    assert by_file["payments_2026-03-02.csv"].valid_rows == 3
+    by_rule = spark.read.parquet(f"{out}/summary_by_rule").agg(F.sum("violations")).first()[0]
+    assert by_rule == 18
 
 
 def test_backfill_dynamic_keeps_other_dates(spark, scratch):
