@@ -25,6 +25,10 @@ from ..sinks.writers import write_csv_report, write_table
 from ..sources.delimited import drift_rows, read_delimited
 
 
+# Outputs up to this many rows are written by a fixed number of tasks.
+SMALL_WRITE_ROWS = 5_000_000
+
+
 class EmptyInput(RuntimeError):
     """Nothing to validate (no file in range, or no data row)."""
 
@@ -112,16 +116,25 @@ def run(
     staged = spark.read.schema(verdict.schema).parquet(f"{output_dir}/verdict")
     cols = [c for c in contract.column_names if c in staged.columns]
 
+    # Checked size: small outputs get a fixed number of writer tasks; larger
+    # ones a rebalance that AQE sizes and splits (a hot date or file).
+    writers = int(spark.conf.get("spark.sql.shuffle.partitions", "200") or 200)
+
+    def n_writers(rows: int) -> int | None:
+        return writers if rows <= SMALL_WRITE_ROWS else None
+
     t = time.perf_counter()
     good = route.silver(staged, contract, typed=typed_silver)
     part = (silver_partition,) if silver_partition in cols else ()
-    write_table(good, f"{output_dir}/silver", partition_by=part, dynamic=dynamic)
+    write_table(good, f"{output_dir}/silver", partition_by=part, dynamic=dynamic,
+                writers=n_writers(counts.get("valid_rows") or 0))
     timings["silver"] = time.perf_counter() - t
 
     t = time.perf_counter()
     bad = route.quarantine(staged, contract)
     qpart = (contract.file_column,) if contract.file_column in bad.columns else ()
-    write_table(bad, f"{output_dir}/quarantine", partition_by=qpart, dynamic=dynamic)
+    write_table(bad, f"{output_dir}/quarantine", partition_by=qpart, dynamic=dynamic,
+                writers=n_writers(counts.get("invalid_rows") or 0))
     timings["quarantine"] = time.perf_counter() - t
 
     t = time.perf_counter()

@@ -14,10 +14,16 @@ from pyspark.sql import DataFrame
 
 def write_table(df: DataFrame, path: str, *, partition_by=(), mode: str = "overwrite",
                 dynamic: bool = False, fmt: str = "parquet", rebalance: bool = True,
-                options: dict | None = None, single_file: bool = False) -> None:
+                options: dict | None = None, single_file: bool = False,
+                writers: int | None = None) -> None:
+    """``writers``: for data known to be small, hash-partition into exactly this
+    many writer tasks by the partition columns (AQE would otherwise merge a
+    small shuffle into one task that writes every partition folder alone)."""
     out = df
     if single_file:
         out = out.coalesce(1)
+    elif partition_by and writers:
+        out = out.repartition(writers, *partition_by)
     elif partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
