@@ -8,7 +8,10 @@ Python tasks split UTF-8 bytes and never need a pattern.
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +78,30 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mixed(out)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that Python
+    tasks import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="rowgate-package-")) / "rowgate-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(f, schema)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str) -> DataFrame:
     """``mapInArrow`` over columns as Python lists; ``make`` runs once a task.
 
@@ -94,7 +121,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[field.name], field.type) for field in out_schema], schema=out_schema)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 #: Bytes of one piece of an Arrow batch that a Python function gets at once.
