@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rowgate.llm.line_frequency import op1_line_frequency
 from rowgate.llm.mixing import op5_pareto_mix
 from rowgate.llm.ngram_join import op6_lsh_forest_join
+from rowgate.llm.permutation_index import op3_permutation_index
 from rowgate.llm.sentencepiece_bpe import op8_sentencepiece
 from rowgate.llm.substring_dedup import op2_rlz_dedup
 from rowgate.llm.token_counts import op7_token_counts
@@ -18,6 +19,7 @@ from rowgate.llm.toxicity import op4_toxicity_mil
 QUERIES = {f.__name__: f for f in (
     op1_line_frequency,
     op2_rlz_dedup,
+    op3_permutation_index,
     op4_toxicity_mil,
     op5_pareto_mix,
     op6_lsh_forest_join,
