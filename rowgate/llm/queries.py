@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowgate.llm.license_scan import op9_license_scan
 from rowgate.llm.line_frequency import op1_line_frequency
 from rowgate.llm.mixing import op5_pareto_mix
 from rowgate.llm.ngram_join import op6_lsh_forest_join
@@ -25,6 +26,7 @@ QUERIES = {f.__name__: f for f in (
     op6_lsh_forest_join,
     op7_token_counts,
     op8_sentencepiece,
+    op9_license_scan,
     op10_token_files,
 )}
 
