@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rowgate.llm.common import map_rows, table
 from rowgate.llm.license_templates import TEMPLATES, TRIGGERS
 
+#: Compression level: the search must find short matches.
+LEVEL = 15
 #: Characters before and after a trigger that belong to its block.
 BEFORE, AFTER = 200, 500
 #: Characters between the first and the last trigger of a block.
@@ -71,7 +73,7 @@ class Scanner:
     def __init__(self, templates: list[tuple[str, str, str]] = TEMPLATES) -> None:
         import zstandard as z
 
-        options = dict(level=3, write_checksum=False, write_content_size=False, write_dict_id=False)
+        options = dict(level=LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False)
         self.plain = z.ZstdCompressor(**options)
         self.templates = []
         for name, marks, wording in templates:
