@@ -140,6 +140,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
         for group in runs(batches, ["block", "chunk"]):
             own = [r for r in group if not r["query"]]
             asked = group[len(own):]
+            own = list({(r["vec_id"], *r["embedding"]): r for r in own}.values())  # repeated rows are one
             if not own or not asked:
                 continue
             ids = np.array([r["vec_id"] for r in own])
@@ -160,7 +161,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
                 best = np.sort(np.concatenate([members[start[c]:min(start[c + 1], start[c] + k + 1)] for c in chosen.tolist()]))
                 best = best[ids[best] != r["vec_id"]]
                 score = cosines(q[i], x[best])
-                top = np.argsort(-score, kind="stable")[:k]
+                by_score = np.argsort(-score, kind="stable")
+                # an id's best score counts
+                top = by_score[np.sort(np.unique(ids[best[by_score]], return_index=True)[1])[:k]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(top), r["vec_id"])), pa.array(ids[best[top]]), pa.array(score[top])], schema=schema)
 

@@ -24,10 +24,10 @@ one window.  This is exact too.
 
 Equality is that of two 64-bit hashes, of the anchor and of the window.
 
-Defined cases: a null or empty text has no words; ids order documents, null ids
-come last and count as one document, as rows with equal ids do (a window is
-removed if the same one starts earlier by (id, word position)); every input row
-gives one result row; an empty table gives an empty result.
+Defined cases: a null or empty text has no words; documents are ordered by id,
+null ids last, and by a hash of their text where ids are equal; rows equal in
+both are one place, so neither is a repeat of the other; every input row gives
+one result row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,11 @@ def anchors(h: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[
     return best[first], first, np.diff(np.append(first, len(at)))
 
 
+def text_tie(text: str | None) -> int:
+    """Order of rows with equal ids."""
+    return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("start", pa.int32())])
     for batch in batches:
@@ -89,7 +95,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fragments of the wanted anchors, their windows as bytes of 64-bit hashes."""
-    schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("windows", pa.binary())])
     for batch in batches:
         for part in pieces(batch):
             rows: list[dict] = []
@@ -97,20 +103,25 @@ def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 h = word_hashes(words_of(text))
                 keys, first, size = anchors(h)
                 windows = gram_hashes(h, WINDOW)
-                wanted = set(wanted)
+                wanted, tie = set(wanted), text_tie(text)
                 for a, s, n in zip(keys.view(np.int64).tolist(), first.tolist(), size.tolist()):
                     if s in wanted:
-                        rows.append({"anchor": a, "id": i, "start": s, "windows": windows[s:s + n].tobytes()})
+                        rows.append({"anchor": a, "id": i, "tie": tie, "start": s, "windows": windows[s:s + n].tobytes()})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def parse(fragments: list[tuple[int, int, list[int]]]) -> Iterator[tuple[int, int, int]]:
-    """Factors ``id, start, windows`` of an anchor's fragments, which come in the
-    order of ``id, start``; an index of the block's distinct windows is built on the way."""
+def parse(fragments: list[tuple[int, int, int, list[int]]]) -> Iterator[tuple[int, int, int, int]]:
+    """Factors ``id, tie, start, windows`` of an anchor's fragments, which come in
+    the order of places; an index of the block's distinct windows is built on the way."""
     index: dict[int, tuple[int, int]] = {}
     reference: list[list[int]] = []
-    for id_, start, windows in fragments:
+    last = None
+    for *place, windows in fragments:
+        if place == last:  # a repeated row
+            continue
+        last = place
+        id_, tie, start = place
         mine = len(reference)
         i, n, new = 0, len(windows), False
         while i < n:
@@ -125,33 +136,37 @@ def parse(fragments: list[tuple[int, int, list[int]]]) -> Iterator[tuple[int, in
             k = 1
             while i + k < n and j + k < len(text) and windows[i + k] == text[j + k]:
                 k += 1
-            yield id_, start + i, k
+            yield id_, tie, start + i, k
             i += k  # the windows across the factor's end are looked up next
         reference.append(windows if new else [])
 
 
-_FACTOR = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
+_FACTOR = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
 
 
 def _parse_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[int, int, int]] = []
+    held: list[tuple[int, int, int, int]] = []
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), _FACTOR.types)], schema=_FACTOR)
+
     for group in runs(batches, ["anchor"]):
         if len(group) > 1:
-            held += parse([(r["id"], r["start"], np.frombuffer(r["windows"], np.uint64).tolist()) for r in group])
+            held += parse([(r["id"], r["tie"], r["start"], np.frombuffer(r["windows"], np.uint64).tolist()) for r in group])
         if len(held) >= 1 << 14:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), _FACTOR.types)], schema=_FACTOR)
+            yield done()
             held = []
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held), _FACTOR.types)], schema=_FACTOR)
+        yield done()
 
 
 def _hot_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("window", pa.int64()), ("id", pa.int64()), ("start", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("window", pa.int64()), ("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32())])
     for batch in batches:
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for anchor, i, start, raw in zip(*(batch.column(k).to_pylist() for k in range(4))):
+        out: list[list[np.ndarray]] = [[], [], [], [], []]
+        for anchor, i, tie, start, raw in zip(*(batch.column(k).to_pylist() for k in ("anchor", "id", "tie", "start", "windows"))):
             w = np.frombuffer(raw, np.int64)
-            for to, x in zip(out, (np.full(len(w), anchor), w, np.full(len(w), i), np.arange(start, start + len(w), dtype=np.int32))):
+            for to, x in zip(out, (np.full(len(w), anchor), w, np.full(len(w), i), np.full(len(w), tie), np.arange(start, start + len(w), dtype=np.int32))):
                 to.append(x)
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], schema=schema)
@@ -162,7 +177,7 @@ def order_id(doc_id: Column | str) -> Column:
 
 
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """``id, spans`` of ``id, text`` rows: factors as (start, windows).
+    """``id, spans`` of ``id, text`` rows: factors as (tie, start, windows).
 
     ``docs`` should be dealt by ``id``.  Every use of it keeps all its columns,
     so that all read one and the same shuffle.
@@ -172,21 +187,29 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     def fragments(some: Column) -> DataFrame:
         wanted = (found.join(counts.where(some), "anchor").groupBy("id").agg(F.collect_list("start").alias("wanted")))
-        return map_batches(docs.join(wanted, "id"), _fragments, "anchor long, id long, start int, windows binary")
+        return map_batches(docs.join(wanted, "id"), _fragments, "anchor long, id long, tie long, start int, windows binary")
+
+    blocks = fragments((F.col("n") > 1) & (F.col("n") <= hot)).repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
+    factors = map_batches(blocks, _parse_blocks, "id long, tie long, start int, windows int")
+    windows = map_batches(fragments(F.col("n") > hot), _hot_windows, "anchor long, window long, id long, tie long, start int")
+    first = windows.groupBy("anchor", "window").agg(F.min(F.struct("id", "tie", "start")).alias("first"))
+    later = (windows.join(first, ["anchor", "window"]).where(F.struct("id", "tie", "start") != F.col("first"))
+             .select("id", "tie", "start", F.lit(1).alias("windows")))
+    return factors.unionByName(later).groupBy("id").agg(F.collect_list(F.struct("tie", "start", "windows")).alias("spans"))
+
 
-    blocks = fragments((F.col("n") > 1) & (F.col("n") <= hot)).repartition("anchor").sortWithinPartitions("anchor", "id", "start")
-    factors = map_batches(blocks, _parse_blocks, "id long, start int, windows int")
-    windows = map_batches(fragments(F.col("n") > hot), _hot_windows, "anchor long, window long, id long, start int")
-    first = windows.groupBy("anchor", "window").agg(F.min(F.struct("id", "start")).alias("first"))
-    later = (windows.join(first, ["anchor", "window"]).where(F.struct("id", "start") != F.col("first"))
-             .select("id", "start", F.lit(1).alias("windows")))
-    return factors.unionByName(later).groupBy("id").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+def own_spans(text: str | None, spans: list[dict] | None) -> list[dict]:
+    """The spans of this very text, of all that its id has."""
+    if not text or not spans:
+        return []
+    tie = text_tie(text)
+    return [s for s in spans if s["tie"] == tie]
 
 
-def kept_mask(n: int, spans: list[dict] | None) -> np.ndarray:
+def kept_mask(n: int, spans: list[dict]) -> np.ndarray:
     """Which of ``n`` words are outside all spans."""
     edge = np.zeros(n + 1, np.int64)
-    for s in spans or ():
+    for s in spans:
         edge[s["start"]] += 1
         edge[s["start"] + s["windows"] + WINDOW - 1] -= 1
     return np.cumsum(edge[:-1]) == 0
@@ -197,7 +220,7 @@ def _digest(rows: dict[str, list]) -> dict[str, list]:
     for text, spans in zip(rows["text"], rows["spans"]):
         words = words_of(text)
         n_words.append(len(words))
-        if spans:
+        if spans := own_spans(text, spans):
             words = [w for w, k in zip(words, kept_mask(len(words), spans).tolist()) if k]
         n_removed.append(n_words[-1] - len(words))
         digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
@@ -243,7 +266,7 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
         for batch in batches:
             for part in pieces(batch):
                 texts, found = part.column("text").to_pylist(), part.column("spans").to_pylist()
-                new = [cut_text(t, s) if s and t else t for t, s in zip(texts, found)]
+                new = [cut_text(t, own) if (own := own_spans(t, s)) else t for t, s in zip(texts, found)]
                 row = part.column("row")
                 columns = {n: row.field(i) for i, n in enumerate(schema.names)}
                 columns["text"] = pa.array(new, pa.string())
