@@ -19,6 +19,7 @@ row gives one result row; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,13 +90,10 @@ class Scanner:
         alone = len(self.plain.compress(raw))
         return sorted(((alone - len(t[3].compress(raw))) / min(alone, t[4]), -i) for i, t in enumerate(self.templates))[::-1]
 
-    def differences(self, words: list[str], i: int) -> tuple[int, int, list[str], list[str]] | None:
-        """Where a template stands among a block's words, and the words that are
-        missing and inserted; None if it doesn't."""
+    def placements(self, words: list[str], i: int) -> Iterator[tuple[int, int, list[str], list[str]]]:
+        """Where a template may stand among a block's words, with the words that
+        are missing and inserted there."""
         _, marks, own, _, _ = self.templates[i]
-        if not marks.issubset(words):
-            return None
-        best = None
         rare = min(marks, key=words.count)
         at = own.index(rare)
         for place in [k for k, w in enumerate(words) if w == rare]:
@@ -103,20 +101,14 @@ class Scanner:
             window = words[low:place + len(own) - at + 4]
             matches = [m for m in SequenceMatcher(None, own, window, autojunk=False).get_matching_blocks() if m.size]
             a, b = low + matches[0].b, low + matches[-1].b + matches[-1].size
-            hit = [own[k] for m in matches for k in range(m.a, m.a + m.size)]
             inside = {low + k for m in matches for k in range(m.b, m.b + m.size)}
             missing = list(own)
-            for w in hit:
-                missing.remove(w)
-            inserted = [words[k] for k in range(a, b) if k not in inside]
-            if best is None or len(missing) + len(inserted) < len(best[2]) + len(best[3]):
-                best = a, b, missing, inserted
-        return best
-
-    def confirmed(self, found: tuple[int, int, list[str], list[str]] | None, i: int) -> bool:
-        if found is None:
-            return False
-        _, _, missing, inserted = found
+            for m in matches:
+                for w in own[m.a:m.a + m.size]:
+                    missing.remove(w)
+            yield a, b, missing, [words[k] for k in range(a, b) if k not in inside]
+
+    def confirmed(self, missing: list[str], inserted: list[str], i: int) -> bool:
         _, marks, own, _, _ = self.templates[i]
         most = MAX_DIFFERENT * len(own)
         return (len(missing) <= most and len(inserted) <= most and not marks & set(missing)
@@ -132,12 +124,12 @@ class Scanner:
             words = [s[0] for s in spans]
             taken: set[int] = set()
             ranked = [(r, -i) for r, i in self.reductions(block) if r >= MIN_REDUCTION]
+            ranked = [(r, i) for r, i in ranked if self.templates[i][1].issubset(words)][:WINNERS]
             winners = []
             for r, i in ranked:
-                if self.templates[i][1].issubset(words) and len(winners) < WINNERS:
-                    found = self.differences(words, i)
-                    if self.confirmed(found, i):
-                        winners.append((len(found[2]) + len(found[3]), -len(self.templates[i][2]), -r, i, found))
+                for first, end, missing, inserted in self.placements(words, i):
+                    if self.confirmed(missing, inserted, i):
+                        winners.append((len(missing) + len(inserted), -len(self.templates[i][2]), -r, i, (first, end, missing, inserted)))
             for _, _, r, i, (first, end, missing, inserted) in sorted(winners):
                 if taken & set(range(first, end)):
                     continue
