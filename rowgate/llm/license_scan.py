@@ -33,8 +33,9 @@ LEVEL = 15
 BEFORE, AFTER = 200, 500
 #: Characters between the first and the last trigger of a block.
 SPAN = 1500
-#: Least reduction of a winner, and winners that are confirmed by wording.
-MIN_REDUCTION = 0.03
+#: Least reduction of a winner (a block that repeats a notice compresses as well
+#: without a template), and winners that are confirmed by wording.
+MIN_REDUCTION = 0.0
 WINNERS = 6
 #: Largest share of a template's words that may be missing, or inserted among them.
 MAX_DIFFERENT = 0.4
