@@ -33,9 +33,9 @@ LEVEL = 15
 BEFORE, AFTER = 200, 500
 #: Characters between the first and the last trigger of a block.
 SPAN = 1500
-#: Least reduction of a winner (a block that repeats a notice compresses as well
-#: without a template), and winners that are confirmed by wording.
-MIN_REDUCTION = 0.0
+#: Templates that are confirmed by wording: the best of those whose telling words a
+#: block holds.  (A block that repeats a notice hardly needs the template, so no
+#: least reduction is asked for.)
 WINNERS = 6
 #: Largest share of a template's words that may be missing, or inserted among them.
 MAX_DIFFERENT = 0.4
@@ -124,7 +124,7 @@ class Scanner:
             spans = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(block.lower())]
             words = [s[0] for s in spans]
             taken: set[int] = set()
-            ranked = [(r, -i) for r, i in self.reductions(block) if r >= MIN_REDUCTION]
+            ranked = [(r, -i) for r, i in self.reductions(block)]
             ranked = [(r, i) for r, i in ranked if self.templates[i][1].issubset(words)][:WINNERS]
             winners = []
             for r, i in ranked:
