@@ -96,10 +96,10 @@ class Scanner:
         are missing and inserted there."""
         _, marks, own, _, _ = self.templates[i]
         rare = min(marks, key=words.count)
-        at = own.index(rare)
+        at, loose = own.index(rare), len(own) // 4
         for place in [k for k, w in enumerate(words) if w == rare]:
-            low = max(0, place - at - 3)
-            window = words[low:place + len(own) - at + 4]
+            low = max(0, place - at - loose)
+            window = words[low:place + len(own) - at + loose]
             matches = [m for m in SequenceMatcher(None, own, window, autojunk=False).get_matching_blocks() if m.size]
             a, b = low + matches[0].b, low + matches[-1].b + matches[-1].size
             inside = {low + k for m in matches for k in range(m.b, m.b + m.size)}
