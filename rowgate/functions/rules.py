@@ -88,8 +88,13 @@ def allowed_values(spec: ColumnSpec, raw: Column, raw_type: T.DataType) -> Check
     if not spec.allowed_values:
         return None
     text = as_text(raw, raw_type)
-    allowed = [str(v) for v in spec.allowed_values]
-    bad = raw.isNotNull() & ~F.trim(text).isin(allowed)
+    if ty.is_string(raw_type):
+        bad = raw.isNotNull() & ~F.trim(text).isin([str(v) for v in spec.allowed_values])
+    else:  # compared in the column's own type; a value that has none there matches nothing
+        among = F.lit(False)
+        for v in spec.allowed_values:
+            among = among | F.coalesce(raw == F.lit(str(v)).try_cast(raw_type), F.lit(False))
+        bad = raw.isNotNull() & ~among
     msg = _with_value(M.ALLOWED_VALUES, text, column=spec.name, allowed=spec.allowed_text)
     return when_violated(bad, "allowed_values", spec.name, "allowed_values", msg)
 
@@ -122,8 +127,8 @@ def check_pattern(pattern: str, name: str, spark=None) -> None:
     try:
         if jvm is not None:
             jvm.java.util.regex.Pattern.compile(pattern)
-        else:
-            re.compile(pattern)
+        elif spark is not None:  # a session without its own JVM: let the engine match one row
+            spark.range(1).select(F.lit("").rlike(pattern)).collect()
     except Exception as exc:
         raise ContractError(f"invalid regex for column {name!r}: {pattern}") from exc
 
@@ -220,23 +225,30 @@ def duplicate(key: UniqueKey, flag: Column) -> Check:
 
 
 # --------------------------------------------------------------------- verdict
-# Measured at sf0.1 (local[8]): ``array_compact`` of struct-or-null keeps the
-# generated per-row code small enough for the JVM to JIT-compile it, which
-# beats ``flatten`` of one-or-zero arrays in real plans (uniqueness join and
-# routing filters add code of their own).  From about 400 rules Spark gives up
-# whole-stage codegen for the projection anyway and the split, per-expression
-# code of ``flatten`` is about 2x faster.
-FLATTEN_MIN_RULES = 400
+def flags(checks: list[Check]) -> Column:
+    """For every rule its number where it is violated, else null.
+
+    Predicates only: small generated code, whatever the number of rules.
+    """
+    if not checks:
+        return F.array().cast("array<int>")
+    return F.array(*[F.when(c.bad, F.lit(i)) for i, c in enumerate(checks)])
 
 
-def collect(checks: list[Check]) -> Column:
-    """The violations that occurred, in rule order."""
+def collect(found: Column, checks: list[Check]) -> Column:
+    """The violations of the rules in ``found`` (a column of :func:`flags`),
+    in rule order.  Messages are built for violations only: a row without one
+    evaluates none."""
     if not checks:
         return _none()
-    if len(checks) >= FLATTEN_MIN_RULES:
-        none = _none()
-        return F.flatten(F.array(*[F.when(c.bad, F.array(c.value)).otherwise(none) for c in checks]))
-    return F.array_compact(F.array(*[F.when(c.bad, c.value) for c in checks]))
+
+    def value(i: Column) -> Column:
+        out = F.when(i == 0, checks[0].value)
+        for n, c in enumerate(checks[1:], 1):
+            out = out.when(i == n, c.value)
+        return out
+
+    return F.transform(F.filter(found, lambda i: i.isNotNull()), value)
 
 
 def reasons(violations: Column) -> Column:

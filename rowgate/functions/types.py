@@ -8,6 +8,7 @@ Spark's own.
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Spellings a contract may use for the same Spark type.
@@ -36,6 +37,23 @@ def canonical(declared: str | None) -> str | None:
     return _ALIASES.get(text, text)
 
 
+def check(declared: str | None, column: str) -> None:
+    """Raise a contract error for a type that Spark doesn't know."""
+    from ..contract import ContractError
+
+    if declared is None:
+        return
+    try:
+        T.DataType.fromDDL(canonical(declared))
+    except Exception as exc:
+        raise ContractError(f"column {column!r} has unknown type {declared!r}") from exc
+
+
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def spark_type_name(dt: T.DataType) -> str:
     return dt.simpleString().replace(" ", "")
 

@@ -1,6 +1,8 @@
 """Verdict (C1-C5): every rule of a contract on every row, one projection.
 
-Plan shape: ``[uniqueness joins] -> Project(typed scope) -> Project(verdict)``.
+Plan shape: ``[uniqueness joins] -> Project(typed scope) -> Project(flags) ->
+Project(verdict)``: the second projection holds every rule's predicate once, the
+third builds the violations of rows that have any.
 Rules see *typed* columns under the contract's names (so ``amount > 0`` in a
 business rule compares decimals, not strings), messages print the raw text.
 The raw values ride along as hidden columns ``__raw_<i>`` and are renamed back
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
-import logging
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,14 +39,29 @@ class RuleStatus:
     detail: str = ""
 
 
-def _as_of_literal(as_of) -> Column:
+def as_of_date(spark, as_of=None) -> _dt.date:
+    """The date of a run: as given, else today in the session's time zone."""
     if as_of is None:
-        as_of = _dt.date.today()
+        return spark.range(1).select(F.current_date()).first()[0]
     if isinstance(as_of, str):
-        as_of = _dt.date.fromisoformat(as_of)
-    if isinstance(as_of, _dt.datetime):
-        as_of = as_of.date()
-    return F.lit(as_of)
+        return _dt.date.fromisoformat(as_of)
+    return as_of.date() if isinstance(as_of, _dt.datetime) else as_of
+
+
+def _as_of_column(df: DataFrame, as_of) -> Column:
+    """One literal a run; on a stream without a given date, each batch's own."""
+    if as_of is None and df.isStreaming:
+        return F.current_date()
+    return F.lit(as_of_date(df.sparkSession, as_of))
+
+
+def _own_names(df: DataFrame, contract: Contract) -> DataFrame:
+    """Columns under the contract's spelling, where only their case differs."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true":
+        return df
+    spelled = {c.lower(): c for c in contract.column_names}
+    names = [spelled.get(c.lower(), c) for c in df.columns]
+    return df if names == list(df.columns) else df.toDF(*names)
 
 
 class _Scope:
@@ -52,18 +69,22 @@ class _Scope:
 
     def __init__(self, df: DataFrame, contract: Contract, as_of):
         declared = {c.name: c for c in contract.columns}
+        for c in contract.columns:
+            ty.check(c.type, c.name)
+        if "as_of" in df.columns and any(re.search(r"\bas_of\b", f"{r.condition} {r.assert_sql} {r.message}") for r in contract.business_rules):
+            raise ContractError("rules name as_of, the date of the run, but the data has a column as_of")
         self.present = [c for c in contract.column_names if c in df.columns]
         self.raw_name = {c: f"{RAW}{i}" for i, c in enumerate(self.present)}
         self.raw_type = {c: df.schema[c].dataType for c in self.present}
         cols = []
         for name in df.columns:
             if name in declared:
-                cols.append(ty.typed(F.col(name), df.schema[name].dataType, declared[name].type).alias(name))
+                cols.append(ty.typed(ty.column(name), df.schema[name].dataType, declared[name].type).alias(name))
             else:
-                cols.append(F.col(name))
-        cols += [F.col(c).alias(self.raw_name[c]) for c in self.present]
+                cols.append(ty.column(name))
+        cols += [ty.column(c).alias(self.raw_name[c]) for c in self.present]
         if "as_of" not in df.columns:
-            cols.append(_as_of_literal(as_of).alias("as_of"))
+            cols.append(_as_of_column(df, as_of).alias("as_of"))
         self.df = df.select(*cols)
 
     def raw(self, name: str) -> Column:
@@ -79,8 +100,10 @@ def _scope(df: DataFrame, contract: Contract, as_of) -> DataFrame:
 def _quiet_analysis():
     """PySpark logs every analysis error it raises, even when caught; rule
     checking expects some and reports them itself."""
+    from pyspark.logger import PySparkLogger
+
     names = ("SQLQueryContextLogger", "DataFrameQueryContextLogger")
-    loggers = [logging.getLogger(n) for n in names]
+    loggers = [PySparkLogger.getLogger(n) for n in names]  # of PySpark's own class, as it makes them
     before = [lg.disabled for lg in loggers]
     for lg in loggers:
         lg.disabled = True
@@ -160,7 +183,7 @@ def row_checks(sc: _Scope, contract: Contract, rules: list[BusinessRule]) -> lis
     for spec in specs:
         raw = sc.raw(spec.name)
         raw_type = sc.raw_type[spec.name]
-        typed = F.col(spec.name)
+        typed = ty.column(spec.name)
         parts["required"].append(R.required(spec, raw, raw_type))
         parts["allowed"].append(R.allowed_values(spec, raw, raw_type))
         parts["type"].append(R.type_check(spec, raw, raw_type, typed))
@@ -200,10 +223,12 @@ def evaluate(
 
     Row count and input columns are preserved; see module doc for the added
     columns.  ``as_of`` is the date business rules see as ``as_of`` (one
-    literal per call, so every action of a run agrees on "today").
+    literal per call, today in the session's time zone by default, so every
+    action of a run agrees on it).  Columns that differ from the contract's
+    names in case only come out under the contract's spelling.
     """
     contract = Contract.load(contract)
-    df = _missing(df, contract, on_missing)
+    df = _missing(_own_names(df, contract), contract, on_missing)
     original = list(df.columns)
 
     flags: list[tuple] = []
@@ -213,13 +238,9 @@ def evaluate(
     if file_id == "_source_file" and "_source_path" in df.columns:
         file_id = "_source_path"
     if include_unique:
-        for i, key in enumerate(contract.unique_keys):
-            flag = f"__dup{i}"
-            cols = K.key_columns(key, file_id)
-            df = K.flag_duplicates(df, cols, flag, strategy=unique_strategy, hashed=key.hashed,
-                                   hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys,
-                                   null_keys=key.null_keys)
-            flags.append((key, flag))
+        flags = [(key, f"__dup{i}") for i, key in enumerate(contract.unique_keys)]
+        df = K.flag_all(df, [(K.key_columns(key, file_id), flag, key.hashed, key.null_keys) for key, flag in flags],
+                        strategy=unique_strategy, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys)
 
     sc = _Scope(df, contract, as_of)
     scope = sc.df
@@ -230,13 +251,13 @@ def evaluate(
         checks.append(R.when_violated(F.col("_malformed"), "malformed", None, "malformed",
                                       F.lit(M.MALFORMED)))
 
-    out = [sc.raw(c).alias(c) if c in sc.raw_name else F.col(c) for c in original]
-    verdict = scope.select(*out, R.collect(checks).alias("violations"))
-    return verdict.select(
-        "*",
-        R.reasons(F.col("violations")).alias("rejection_reasons"),
-        (F.size("violations") == 0).alias("is_valid"),
-    )
+    out = [sc.raw(c).alias(c) if c in sc.raw_name else ty.column(c) for c in original]
+    flagged = scope.withColumn("__flags", R.flags(checks))
+    # the flags are read twice, so Spark keeps them in a projection of their own
+    verdict = flagged.select(*out, R.collect(F.col("__flags"), checks).alias("violations"),
+                             (~F.exists("__flags", lambda i: i.isNotNull())).alias("__valid"))
+    return verdict.select(*[ty.column(c) for c in original], "violations",
+                          R.reasons(F.col("violations")).alias("rejection_reasons"), F.col("__valid").alias("is_valid"))
 
 
 def evaluate_rows(df: DataFrame, contract, *, as_of=None, reject_malformed: bool = False,
@@ -251,7 +272,7 @@ def rule_catalog(df: DataFrame, contract) -> DataFrame:
     order, with its check status (``ok`` / ``skipped``).  Built on the driver
     from the contract and the schema only; no job reads data."""
     contract = Contract.load(contract)
-    filled = _missing(df, contract, "null_fill")
+    filled = _missing(_own_names(df, contract), contract, "null_fill")
     scope = _scope(filled, contract, None)
     _, statuses = check_rules(scope, Contract.from_dict({**contract.raw, "on_bad_rule": "skip"}))
     by_name = {s.name: s for s in statuses}

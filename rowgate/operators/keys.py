@@ -3,31 +3,28 @@
 A row is a duplicate when its normalised key (strings trimmed; null and blank
 stay separate groups, as ``trim`` keeps null as null) occurs more than once.
 
-Default strategy ``aggregate`` - built to survive a key that holds a third of
-all rows:
+Built to survive a key that holds a third of all rows:
 
-1. ``groupBy(key).count()`` over the key columns only.  Partial (map-side)
-   aggregation folds a hot key to one row per input partition before the
-   shuffle, so skew never reaches a single task here.
+1. ``groupBy(key).count()`` over the key columns of the *input* only.  Partial
+   (map-side) aggregation folds a hot key to one row per input partition
+   before the shuffle, so skew never reaches a single task here.  Several keys
+   are all counted on the input, so the plan grows with the number of keys.
 2. Hot keys (``count >= hot_key_rows``) are duplicates by definition.  The
    ``max_hot_keys`` largest are taken with a deterministic top-k - a size
-   bound proven by construction - and broadcast-joined to the rows: no
-   shuffle of the big side for them.
+   bound proven by construction, as only keys of at most ``MAX_HOT_KEY_BYTES``
+   and of types whose size is known take part - and broadcast-joined to the
+   rows: no shuffle of the big side for them.
 3. Every other row is flagged by a null-safe equi-join against the duplicate
-   keys.  Hot rows enter that join with a row-unique salt (``1 +
-   monotonically_increasing_id()``, deterministic for a given input split)
-   that the duplicate side never carries (it has salt 0), so they spread over
-   all shuffle partitions and match nothing; hot keys beyond the top-k bound
-   are still matched exactly there (AQE skew-join splits what remains).  When the
-   duplicate set is small AQE turns the join into a broadcast at run time,
-   after measuring it.
-
-Strategy ``window`` flags with ``count(*) OVER (PARTITION BY key, salt)``
-instead of the join: hot keys come from the same bounded top-k and are
-flagged by broadcast and their rows each form a group of one, so a window
-group holds fewer than ``hot_key_rows`` rows (unless there are more than
-``max_hot_keys`` hot keys, or hot keys longer than ``MAX_HOT_KEY_BYTES`` -
-use ``aggregate``, whose join AQE can split, for such data).
+   keys.  Hot rows enter that join with a salt that the duplicate side never
+   carries (it has salt 0), so they spread over all shuffle partitions and
+   match nothing.  The salt is a hash of the row's own values: a map task that
+   runs again deals the same rows to the same partitions.  Hot keys beyond the
+   top-k bound are matched exactly there (AQE skew-join splits what remains).
+   When the duplicate set is small AQE turns the join into a broadcast at run
+   time, after measuring it.
+
+Strategies ``aggregate`` and ``window`` are two names of this one plan: a
+window over a key would gather each key's rows in one task.
 
 ``hashed=True`` groups by SHA-256 digests of the keys instead of the values,
 so long texts are not shuffled during counting (exact up to a SHA-256
@@ -38,8 +35,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contract import SCOPE_FILE, ContractError, UniqueKey
 from ..functions import types as ty
@@ -52,7 +50,7 @@ MAX_HOT_KEY_BYTES = 1024
 def _normalised(df: DataFrame, name: str, hashed: bool) -> Column:
     if name not in df.columns:
         raise ContractError(f"unique key column {name!r} not in data")
-    col = F.col(name)
+    col = ty.column(name)
     if ty.is_string(df.schema[name].dataType):
         col = F.trim(col)
     if hashed:
@@ -67,77 +65,93 @@ def key_columns(key: UniqueKey, file_column: str) -> list[str]:
     return cols
 
 
-def flag_duplicates(
-    df: DataFrame,
-    columns: list[str],
-    flag: str,
-    *,
-    strategy: str = "aggregate",
-    hashed: bool = False,
-    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
-    max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
-    null_keys: str = "group",
-) -> DataFrame:
+def flag_duplicates(df: DataFrame, columns: list[str], flag: str, *, strategy: str = "aggregate", hashed: bool = False,
+                    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                    null_keys: str = "group") -> DataFrame:
     """``df`` plus boolean column ``flag``: the row's key occurs more than once.
 
     ``null_keys="ignore"`` never flags a row with a null key column; those
     rows are left out of the counting entirely.
     """
-    names = [f"__uk{i}" for i in range(len(columns))]
-    base = df.select("*", *[_normalised(df, c, hashed).alias(n) for c, n in zip(columns, names)])
+    return flag_all(df, [(columns, flag, hashed, null_keys)], strategy=strategy,
+                    hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys)
+
+
+def flag_all(df: DataFrame, keys: list[tuple[list[str], str, bool, str]], *, strategy: str = "aggregate",
+             hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+    """``df`` plus one flag per ``(columns, flag, hashed, null_keys)``; every key
+    is counted on ``df`` itself."""
+    if strategy not in ("aggregate", "window"):
+        raise ValueError(f"unknown uniqueness strategy {strategy!r}")
+    if not keys:
+        return df
+    hashable = [c for c in df.columns if not _holds_map(df.schema[c].dataType)]
+    row_salt = F.xxhash64(*[ty.column(c) for c in hashable]) if hashable else F.lit(1).cast("long")
+    out = df.withColumn("__row", F.when(row_salt == 0, F.lit(1).cast("long")).otherwise(row_salt))
+    for i, (columns, flag, hashed, null_keys) in enumerate(keys):
+        out = _flag_one(out, df, f"__k{i}_", columns, flag, hashed, null_keys, hot_key_rows, max_hot_keys)
+    return out.drop("__row")
+
+
+def _holds_map(dt: T.DataType) -> bool:
+    """Types that ``xxhash64`` can't take."""
+    if isinstance(dt, T.ArrayType):
+        return _holds_map(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return any(_holds_map(f.dataType) for f in dt.fields)
+    return isinstance(dt, T.MapType) or dt.typeName() == "variant"
+
+
+def _width(df: DataFrame, column: str, name: str, hashed: bool) -> Column | None:
+    """Bytes of a key column; None for types whose size isn't known."""
+    dt = df.schema[column].dataType
+    if hashed or ty.is_string(dt) or isinstance(dt, T.BinaryType):
+        return F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    if isinstance(dt, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(16)
+    return None
+
+
+def _flag_one(out: DataFrame, df: DataFrame, prefix: str, columns: list[str], flag: str, hashed: bool, null_keys: str,
+              hot_key_rows: int, max_hot_keys: int) -> DataFrame:
+    """``out`` (rows of ``df`` with flags of other keys) plus the flag of one key."""
+    names = [f"{prefix}k{j}" for j in range(len(columns))]
+    normal = [_normalised(df, c, hashed).alias(n) for c, n in zip(columns, names)]
     # "ignore": rows with a null key column are never duplicates; they skip
     # the count and enter the join salted (spread out, never matching).
     any_null = (reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
                 if null_keys == "ignore" else F.lit(False))
-
-    if strategy not in ("aggregate", "window"):
-        raise ValueError(f"unknown uniqueness strategy {strategy!r}")
-
-    counted = base.where(~any_null) if null_keys == "ignore" else base
-    counts = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
-    dups = counts.where(F.col("__n") > 1)
+    counted = df.select(*normal)
+    if null_keys == "ignore":
+        counted = counted.where(~any_null)
+    dups = counted.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
 
     # Hot keys: bounded top-k, deterministic (total order on count, then key).
-    # Only keys of at most MAX_HOT_KEY_BYTES take part, so the broadcast is
-    # bounded by max_hot_keys * MAX_HOT_KEY_BYTES; longer hot keys stay exact
-    # in the shuffle join (use hashed=True for long text keys).
-    hot_names = [f"__hk{i}" for i in range(len(names))]
-    width = [F.coalesce(F.octet_length(F.col(n)), F.lit(0))
-             for n, c in zip(names, columns) if hashed or ty.is_string(df.schema[c].dataType)]
-    short = reduce(lambda a, b: a + b, width) <= MAX_HOT_KEY_BYTES if width else F.lit(True)
     # One predicate over the count (not a separate key-only conjunct), so it
     # stays above the aggregation and both branches reuse one key count.
-    hot_count = F.when(short, F.col("__n")).otherwise(F.lit(0))
+    widths = [_width(df, c, n, hashed) for n, c in zip(names, columns)]
+    known = all(w is not None for w in widths)
+    short = reduce(lambda a, b: a + b, widths) <= MAX_HOT_KEY_BYTES if known else F.lit(False)
+    hot_names = [f"{prefix}h{j}" for j in range(len(names))]
     hot = (
-        dups.where(hot_count >= hot_key_rows)
+        dups.where(F.when(short, F.col("__n")).otherwise(F.lit(0)) >= hot_key_rows)
         .orderBy(F.desc("__n"), *[F.asc_nulls_first(n) for n in names])
         .limit(max_hot_keys)
         .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.lit(True).alias("__hot"))
     )
-    on_hot = _null_safe(base, hot, names, hot_names)
-    marked = base.join(F.broadcast(hot), on_hot, "left").drop(*hot_names)
-    salt = F.monotonically_increasing_id() + F.lit(1)
-    marked = marked.withColumn("__salt", F.when(F.col("__hot") | any_null, salt).otherwise(F.lit(0)))
-
-    if strategy == "window":
-        # count(*) OVER (PARTITION BY key, salt): hot and null-ignored rows
-        # are groups of one; hot rows are duplicates through the broadcast flag.
-        w = Window.partitionBy(*names, "__salt")
-        is_dup = F.coalesce(F.col("__hot"), F.lit(False)) | ((F.count(F.lit(1)).over(w) > 1) & ~any_null)
-        return marked.withColumn(flag, is_dup).drop(*names, "__hot", "__salt")
-
-    dup_names = [f"__dk{i}" for i in range(len(names))]
+    base = out.select("*", *normal)
+    marked = base.join(F.broadcast(hot), _null_safe(names, hot_names), "left").drop(*hot_names)
+    marked = marked.withColumn("__salt", F.when(F.col("__hot") | any_null, F.col("__row")).otherwise(F.lit(0)))
+    dup_names = [f"{prefix}d{j}" for j in range(len(names))]
     dup_side = dups.select(*[F.col(n).alias(d) for n, d in zip(names, dup_names)],
                            F.lit(0).cast("long").alias("__dsalt"), F.lit(True).alias("__dup"))
-    on_dup = _null_safe(marked, dup_side, names, dup_names) & (marked["__salt"] == dup_side["__dsalt"])
-    joined = marked.join(dup_side, on_dup, "left")
+    joined = marked.join(dup_side, _null_safe(names, dup_names) & (F.col("__salt") == F.col("__dsalt")), "left")
     is_dup = F.coalesce(F.col("__hot"), F.lit(False)) | F.coalesce(F.col("__dup"), F.lit(False))
-    return (joined.withColumn(flag, is_dup)
-            .drop(*names, *dup_names, "__hot", "__salt", "__dsalt", "__dup"))
+    return joined.withColumn(flag, is_dup).drop(*names, *dup_names, "__hot", "__salt", "__dsalt", "__dup")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, lnames: list[str], rnames: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in zip(lnames, rnames)])
+def _null_safe(left: list[str], right: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(l).eqNullSafe(F.col(r)) for l, r in zip(left, right)])
 
 
 def key_counts(df: DataFrame, columns: list[str], hashed: bool = False) -> DataFrame:

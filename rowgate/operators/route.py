@@ -53,17 +53,23 @@ def report(v: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """one row per violation (struct explode, so a ``|`` inside a message
     never splits it).  ``keep`` lists identifying columns to carry along."""
     keep = [c for c in (keep or []) if c in v.columns]
-    # No is_valid filter: a clean row's empty array explodes to nothing, and a
-    # filter would be pushed below the verdict projection, evaluating it twice.
-    return (v.select(*keep, F.posexplode("violations").alias("violation_index", "v"))
+    return (_exploded(v, keep)
             .select(*keep, "violation_index",
                     F.col("v.kind").alias("kind"), F.col("v.column").alias("column"),
                     F.col("v.rule").alias("rule"), F.col("v.message").alias("violation")))
 
 
+def _exploded(v: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per violation.  The outer explode and the filter *above* it keep
+    Spark from inferring a size filter that it would push below the verdict,
+    which would then be evaluated twice."""
+    return (v.select(*keep, F.posexplode_outer("violations").alias("violation_index", "v"))
+            .where(F.col("violation_index").isNotNull()))
+
+
 def summary_by_rule(v: DataFrame) -> DataFrame:
     """violations per (kind, column, rule)."""
-    return (v.select(F.explode("violations").alias("v"))
+    return (_exploded(v, [])
             .groupBy(F.col("v.kind").alias("kind"), F.col("v.column").alias("column"),
                      F.col("v.rule").alias("rule"))
             .agg(F.count(F.lit(1)).alias("violations")))

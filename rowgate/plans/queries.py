@@ -319,7 +319,7 @@ def stream_verdict(spark, sf_dir):
 
     feed = fx.dirty_orders_from(fx.orders_stream(spark, sf_dir))
     out = fresh_dir(spark, "stream")
-    query = route_stream(feed, fx.feed_contract(), out, f"{out}/_checkpoint", as_of=fx.AS_OF,
+    query = route_stream(feed, fx.feed_contract(), out, f"{out}/_checkpoint", as_of=fx.AS_OF, ignore_unique=True,
                          trigger={"availableNow": True})
     query.awaitTermination()
     if query.exception() is not None:

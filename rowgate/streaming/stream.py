@@ -2,13 +2,15 @@
 
 Row rules (required, allowed values, types, patterns, ranges, business
 rules) are stateless projections, so :func:`evaluate_rows` applies to a
-``readStream`` frame unchanged.  Uniqueness needs state across batches and is
-left to batch runs.
-
-:func:`route_stream` writes every micro-batch to silver and quarantine.  Each
-batch lands in its own ``_batch=<id>`` partition with dynamic overwrite, so a
-batch replayed after a failure replaces its own output instead of appending
-it twice; progress lives in the checkpoint folder (shared storage).
+``readStream`` frame unchanged.  Uniqueness needs state across batches: a
+contract with unique keys is refused, unless the caller says that its keys are
+checked elsewhere (``ignore_unique=True``).
+
+:func:`route_stream` writes every micro-batch to silver and quarantine from one
+evaluation.  Each batch lands in its own ``_batch=<id>`` partition with dynamic
+overwrite, so a batch replayed after a failure replaces its own output instead
+of appending it twice; progress lives in the checkpoint folder (shared
+storage).  Without a given date, rules see the date on which a batch runs.
 """
 
 from __future__ import annotations
@@ -17,30 +19,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..contract import Contract
+from ..contract import Contract, ContractError
 from ..operators import route
 from ..operators.evaluate import evaluate_rows
 
 
-def validate_stream(stream: DataFrame, contract, *, as_of=None) -> DataFrame:
+def _without_keys(contract, ignore_unique: bool) -> Contract:
+    contract = Contract.load(contract)
+    if contract.unique_keys and not ignore_unique:
+        raise ContractError("uniqueness can't be checked on a stream; pass ignore_unique=True to leave it out")
+    return contract
+
+
+def validate_stream(stream: DataFrame, contract, *, as_of=None, ignore_unique: bool = False) -> DataFrame:
     """Verdict columns on a stream (R1-R14; no uniqueness)."""
-    return evaluate_rows(stream, contract, as_of=as_of)
+    return evaluate_rows(stream, _without_keys(contract, ignore_unique), as_of=as_of)
 
 
 def route_stream(stream: DataFrame, contract, output_dir: str, checkpoint: str, *, as_of=None,
-                 trigger: dict | None = None) -> StreamingQuery:
-    contract = Contract.load(contract)
-    verdict = validate_stream(stream, contract, as_of=as_of)
+                 ignore_unique: bool = False, trigger: dict | None = None) -> StreamingQuery:
+    contract = _without_keys(contract, ignore_unique)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn("_batch", F.lit(batch_id))
-        for name, part in (("silver", route.silver(tagged, contract)),
-                           ("quarantine", route.quarantine(tagged, contract))):
-            part = part if "_batch" in part.columns else part.withColumn("_batch", F.lit(batch_id))
-            (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_batch").parquet(f"{output_dir}/{name}"))
-
-    writer = verdict.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+        tagged = evaluate_rows(batch, contract, as_of=as_of).withColumn("_batch", F.lit(batch_id))
+        tagged.persist()
+        try:
+            for name, part in (("silver", route.silver(tagged, contract)),
+                               ("quarantine", route.quarantine(tagged, contract))):
+                part = part if "_batch" in part.columns else part.withColumn("_batch", F.lit(batch_id))
+                (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("_batch").parquet(f"{output_dir}/{name}"))
+        finally:
+            tagged.unpersist()
+
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -3,8 +3,10 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import types as T
 
+from rowgate.contract import ContractError
 from rowgate.streaming.stream import route_stream, validate_stream
 from tests import feed_files
 from tests.conftest import CONTRACT
@@ -16,10 +18,12 @@ def test_stream_routes_batches(spark, scratch):
     src = feed_files.write(os.path.join(scratch, "in"), {"payments_2026-03-03.csv": feed_files.FILES[
         "payments_2026-03-03.csv"]})
     stream = spark.readStream.schema(SCHEMA).option("header", "true").csv(src)
-    assert validate_stream(stream, CONTRACT).isStreaming
+    with pytest.raises(ContractError):
+        validate_stream(stream, CONTRACT)
+    assert validate_stream(stream, CONTRACT, ignore_unique=True).isStreaming
     out = os.path.join(scratch, "out")
     q = route_stream(stream, CONTRACT, out, os.path.join(scratch, "ckpt"), as_of=dt.date(2026, 4, 1),
-                     trigger={"availableNow": True})
+                     ignore_unique=True, trigger={"availableNow": True})
     q.awaitTermination(120)
     assert spark.read.parquet(f"{out}/silver").count() == 3
     assert spark.read.parquet(f"{out}/quarantine").count() == 2
