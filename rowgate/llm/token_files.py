@@ -33,35 +33,85 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import map_batches, map_rows, pieces, table, vocabulary
+from rowgate.llm.common import map_batches, map_rows, mixed, pieces, table, vocabulary, word_hashes
 from rowgate.session import fresh_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: Ids of one block, about.
 BLOCK = 1 << 18
-#: Distinct pre-tokens that a worker keeps the ids of.
-CACHE = 400_000
-LONGEST = 64
+#: Slots of a worker's table of pre-tokens, as a power of two (about 130 MB).
+TABLE_BITS = 22
 _MAGIC = b"RVB1"
 _HEAD = struct.Struct("<4s5I")
 #: Blanks next to blanks, or at an end: pre-tokens aren't just cut at spaces.
-_TANGLED = re.compile(r"\s |\s\Z| \s|\A\s")
+_TANGLED = re.compile(r"\s\s|\s\Z|\A\s|[^\S \n]")
+_SPACED = np.uint64(0x5BD1E9955BD1E995)
 
 #: Bytes of the four ids of every control byte, and their sum.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
 
+class IdTable:
+    """Ids of pre-tokens by their 64-bit fingerprints: open addressing in numpy
+    arrays, about 30 bytes a pre-token; emptied when it is full."""
+
+    def __init__(self, bits: int, kind: np.dtype) -> None:
+        self.bits, self.kind = bits, kind
+        self.mask = np.uint64((1 << bits) - 1)
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.start = np.zeros(1 << self.bits, np.uint32)
+        self.size = np.zeros(1 << self.bits, np.uint32)
+        self.pool = np.empty(4 << self.bits, self.kind)
+        self.held = self.used = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of the keys, -1 for those that aren't here."""
+        out = np.full(len(keys), -1, np.int64)
+        todo, at = np.arange(len(keys)), keys & self.mask
+        while len(todo):
+            there = self.keys[at]
+            hit = there == keys[todo]
+            out[todo[hit]] = at[hit].astype(np.int64)
+            go_on = ~hit & (there != 0)
+            todo, at = todo[go_on], (at[go_on] + np.uint64(1)) & self.mask
+        return out
+
+    def room_for(self, n: int, n_ids: int) -> bool:
+        return self.held + n <= 0.6 * len(self.keys) and self.used + n_ids <= len(self.pool)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Distinct keys that aren't here yet, and their ids one after another."""
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.held, self.used = self.held + len(keys), self.used + len(ids)
+        todo, at = np.arange(len(keys)), keys & self.mask
+        while len(todo):
+            free = self.keys[at] == 0
+            slots, first = np.unique(at[free], return_index=True)
+            now = todo[free][first]
+            self.keys[slots], self.start[slots], self.size[slots] = keys[now], starts[now], sizes[now]
+            left = np.ones(len(keys), bool)
+            left[now] = False
+            stay = left[todo]
+            todo, at = todo[stay], at[stay]
+            at = np.where(self.keys[at] != 0, (at + np.uint64(1)) & self.mask, at)
+
+
 class Encoder:
-    """Ids of texts by the tokenizer, with a bounded cache of pre-tokens."""
+    """Ids of texts by the tokenizer, with a bounded table of pre-tokens."""
 
-    def __init__(self, model: bytes, cache: int = CACHE) -> None:
+    def __init__(self, model: bytes, bits: int = TABLE_BITS) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,51 +119,63 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(model.decode("utf-8"))
         self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
-        self.cache = cache
-        self.known: dict[str, bytes] = {}
+        self.table = IdTable(bits, self.type)
+        self.line_end = word_hashes([b"\n"])[0]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.type).tobytes() for x in found]
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after another, and how many each has."""
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), self.type, int(sizes.sum())), sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``self.type``.
 
         A space between two other characters always begins a pre-token, and a
-        line end between two others is one, so texts are cut there; texts with
-        blanks in a row are encoded whole.
+        line end between two others is one, so texts are cut there and each
+        distinct cut is encoded once; texts with blanks in a row are encoded
+        whole.
         """
-        cuts: list[list[str] | None] = []
-        for text in texts:
-            if not text or _TANGLED.search(text):
-                cuts.append(None)
-                continue
-            own: list[str] = []
-            for i, line in enumerate(text.split("\n")):
-                if i:
-                    own.append("\n")
-                first, *rest = line.split(" ")
-                own.append(first)
-                own += [" " + w for w in rest]
-            cuts.append(own if "\n\n" not in text else None)
-        known = self.known
-        missing = list({w for own in cuts if own for w in own if w not in known})
-        if len(known) + len(missing) > self.cache:
-            known.clear()
-            missing = list({w for own in cuts if own for w in own})
-        now = dict(zip(missing, self._ids(missing)))
-        whole = iter(self._ids([t for t, own in zip(texts, cuts) if own is None]))
-        if len(known) + len(now) <= self.cache:
-            known.update((w, x) for w, x in now.items() if len(w) <= LONGEST)
-        if known:
-            out = []
-            for own in cuts:
-                if own is None:
-                    out.append(next(whole))
-                else:
-                    out.append(b"".join([known[w] if w in known else now[w] for w in own]))
-            return out
-        return [next(whole) if own is None else b"".join(map(now.__getitem__, own)) for own in cuts]
+        plain = [bool(t) and not _TANGLED.search(t) for t in texts]
+        cut = [t.encode().replace(b"\n", b" \n ").split(b" ") for t, p in zip(texts, plain) if p]
+        own = iter(self._cuts(cut))
+        whole = [t for t, p in zip(texts, plain) if not p]
+        ids, sizes = self._ids(whole)
+        others = iter(np.split(ids, np.cumsum(sizes)[:-1])) if whole else iter(())
+        return [(next(own) if p else next(others)).tobytes() for p in plain]
+
+    def _cuts(self, cut: list[list[bytes]]) -> list[np.ndarray]:
+        if not cut:
+            return []
+        words = list(chain.from_iterable(cut))
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        keys = word_hashes(words)
+        # a word has its space in front, but at the start of a text or line
+        end = keys == self.line_end
+        bare = end | np.append(True, end[:-1])
+        bare[np.cumsum(counts) - counts] = True
+        keys = np.maximum(np.where(bare, keys, mixed(keys ^ _SPACED)), np.uint64(1))  # 0 marks a free slot
+        slots = self.table.find(keys)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            new, first = np.unique(keys[missing], return_index=True)
+            asked = [words[i].decode() if bare[i] else " " + words[i].decode() for i in missing[first].tolist()]
+            ids, sizes = self._ids(asked)
+            if not self.table.room_for(len(new), len(ids)):
+                self.table.clear()
+                if self.table.room_for(len(new), len(ids)):  # a fresh table takes all of this batch
+                    return self._cuts(cut)
+                step = max(1, len(cut) // 2)
+                if step < len(cut):
+                    return self._cuts(cut[:step]) + self._cuts(cut[step:])
+                all_ids, _ = self._ids([b" ".join(cut[0]).replace(b" \n ", b"\n").decode()])
+                return [all_ids]
+            self.table.add(new, ids, sizes)
+            slots[missing] = self.table.find(keys[missing])
+        sizes = self.table.size[slots].astype(np.int64)
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.table.start[slots].astype(np.int64) - (ends - sizes), sizes) + np.arange(int(ends[-1]))
+        return np.split(self.table.pool[places], ends[np.cumsum(counts)[:-1] - 1])
 
 
 #: Encoders of this worker process, by model: their caches outlive a task.
@@ -164,7 +226,7 @@ def token_ids(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID)
     """``doc_id, tie, ids`` (bytes of the type given back) for every row."""
     model = vocabulary(tokenizer)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = Encoder(model, 0).type
+    kind = Encoder(model, 4).type
     last = np.array([end_id], kind).tobytes()
 
     def make():
@@ -205,7 +267,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, en
     spark = docs.sparkSession
     ids, kind = token_ids(docs, tokenizer, end_id)
     staged_at = f"{path}/ids"
-    ids.write.parquet(staged_at)
+    ids.write.option("compression", "zstd").parquet(staged_at)
     ids = spark.read.schema(ids.schema).parquet(staged_at)
     size = Tokenizer.from_str(vocabulary(tokenizer).decode("utf-8")).get_vocab_size(with_added_tokens=True)
     rank = id_ranks(ids, kind, size)
