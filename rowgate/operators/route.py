@@ -21,16 +21,18 @@ def _contract_columns(v: DataFrame, contract) -> list[str]:
     return [c for c in Contract.load(contract).column_names if c in v.columns]
 
 
-def silver(v: DataFrame, contract=None, *, typed: bool = False) -> DataFrame:
+def silver(v: DataFrame, contract=None, *, typed: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     """valid rows, contract columns only (metadata dropped).
 
     ``typed=True`` returns the values under their declared types - safe
-    because every typed cast succeeded on a valid row.
+    because every typed cast succeeded on a valid row.  ``extra`` columns are
+    kept besides the contract's.
     """
     cols = _contract_columns(v, contract)
+    extra = [c for c in extra if c not in cols]
     rows = v.where(F.col("is_valid"))
     if not typed or contract is None:
-        return rows.select(*cols)
+        return rows.select(*cols, *extra)
     from ..functions import types as ty
 
     c = Contract.load(contract)
@@ -38,7 +40,7 @@ def silver(v: DataFrame, contract=None, *, typed: bool = False) -> DataFrame:
     for name in cols:
         spec = c.column(name)
         out.append(ty.typed(F.col(name), v.schema[name].dataType, spec.type).alias(name))
-    return rows.select(*out)
+    return rows.select(*out, *extra)
 
 
 def quarantine(v: DataFrame, contract=None, *, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -67,10 +69,10 @@ def _exploded(v: DataFrame, keep: list[str]) -> DataFrame:
             .where(F.col("violation_index").isNotNull()))
 
 
-def summary_by_rule(v: DataFrame) -> DataFrame:
-    """violations per (kind, column, rule)."""
-    return (_exploded(v, [])
-            .groupBy(F.col("v.kind").alias("kind"), F.col("v.column").alias("column"),
+def summary_by_rule(v: DataFrame, *by: str) -> DataFrame:
+    """violations per (kind, column, rule), and per ``by`` columns."""
+    return (_exploded(v, list(by))
+            .groupBy(*by, F.col("v.kind").alias("kind"), F.col("v.column").alias("column"),
                      F.col("v.rule").alias("rule"))
             .agg(F.count(F.lit(1)).alias("violations")))
 

@@ -49,25 +49,25 @@ def dirty_orders_from(o: DataFrame, *, with_year: bool = False) -> DataFrame:
         k.alias("order_key"),
         F.when(_every(k, 101), F.lit(None).cast("string"))
         .when(_every(k, 103), F.lit(" "))
-        .when(_every(k, 53), F.concat(F.lit("R"), (k - 1).cast("string"), F.lit(" ")))
-        .otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("record_id"),
-        F.when(_every(k, 97), F.lit("1999/05/21 10:99:11"))
+        .when(_every(k, 53), F.concat(F.lit("K"), (k - 1).cast("string"), F.lit(" ")))
+        .otherwise(F.concat(F.lit("K"), k.cast("string"))).alias("record_id"),
+        F.when(_every(k, 97), F.lit("noon on day 41"))
         .when(_every(k, 89), F.date_add(day, 9).cast("string"))
         .otherwise(day_text).alias("event_ts"),
-        F.when(_every(k, 83), F.lit("2030-02-30"))
-        .when(_every(k, 79), F.lit("2099-01-01"))
+        F.when(_every(k, 83), F.lit("2021-13-01"))
+        .when(_every(k, 79), F.lit("2044-07-09"))
         .otherwise(day_text).alias("business_date"),
         F.when(_every(k, 73), F.lower("o_orderpriority"))
         .otherwise(F.col("o_orderpriority")).alias("source_system"),
         F.when(_every(k, 71), F.concat(F.lit(" "), F.col("o_orderstatus")))
-        .when(_every(k, 67), F.lit("X"))
+        .when(_every(k, 67), F.lit("?"))
         .otherwise(F.col("o_orderstatus")).alias("status"),
-        F.when(_every(k, 61), F.lit("1,234.56"))
-        .when(_every(k, 59), F.lit("-3.00"))
+        F.when(_every(k, 61), F.lit("12.5 EUR"))
+        .when(_every(k, 59), F.lit("-0.75"))
         .when(_every(k, 47), F.lit("0.00"))
         .when(_every(k, 43), F.lit(None).cast("string"))
         .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("amount"),
-        F.when(_every(k, 41), F.lit("USA"))
+        F.when(_every(k, 41), F.lit("Z9"))
         .when(_every(k, 37), F.lit(" "))
         .otherwise(F.lit("US")).alias("country_code"),
         F.when((F.col("o_custkey") % 2) == 0, F.lit("f0")).otherwise(F.lit("f1")).alias("source_file"),

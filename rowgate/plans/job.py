@@ -1,10 +1,14 @@
-"""The end-to-end run (§3.1): bronze -> verdict -> silver / quarantine / report.
+"""The end-to-end run (section 3.1): bronze -> verdict -> silver / quarantine / report.
 
-Plan: one evaluation of the contract, written once as the ``verdict`` table
-(partitioned by ``is_valid``) on the output's shared storage - that write
-cuts the lineage, so a lost executor later never re-runs the uniqueness
-shuffle, and the three outputs read only the partition they need.  Counts
-come from an ``Observation`` on that same write (no extra pass).
+Plan: one evaluation of the contract, written once as the ``verdict`` table on
+the output's shared storage - that write cuts the lineage, so a lost executor
+later never re-runs the uniqueness shuffle, and the three outputs read only the
+partitions they need.  Counts come from an ``Observation`` on that same write.
+
+Every output is partitioned by where its rows came from first (the *run key*:
+the date in the file's path, or the file column of a DataFrame source), so a
+backfill replaces exactly the rows of the files it reads again, in all outputs
+alike: rows of other files stay, whatever dates are in them.
 """
 
 from __future__ import annotations
@@ -20,13 +24,13 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract, ContractError
 from ..operators import route
-from ..operators.evaluate import evaluate
-from ..sinks.writers import write_csv_report, write_table
-from ..sources.delimited import drift_rows, read_delimited
-
+from ..operators.evaluate import as_of_date, evaluate
+from ..sinks.writers import drop_partitions, write_csv_report, write_table
+from ..sources.delimited import drift_rows, path_date, read_with_headers
 
-# Outputs up to this many rows are written by a fixed number of tasks.
-SMALL_WRITE_ROWS = 5_000_000
+#: Partition of all outputs of a text source: the date in the file's path.
+FILE_DATE = "_file_date"
+UNDATED = "undated"
 
 
 class EmptyInput(RuntimeError):
@@ -39,11 +43,23 @@ class RunResult:
     counts: dict
     drift: list
     timings: dict = field(default_factory=dict)
+    header_drift: list = field(default_factory=list)
 
     def path(self, name: str) -> str:
         return f"{self.output_dir}/{name}"
 
 
+def _apart(source, output_dir: str) -> None:
+    """The outputs must not lie in the source, nor the source in the outputs."""
+    def plain(p: str) -> str:
+        return "/" + str(p).removeprefix("file:").strip("/") + "/"
+
+    out = plain(output_dir)
+    for p in source if isinstance(source, (list, tuple)) else [source]:
+        if plain(p).startswith(out) or out.startswith(plain(p)):
+            raise ContractError(f"output folder {output_dir!r} and source {p!r} overlap")
+
+
 def run(
     spark: SparkSession,
     source,
@@ -61,6 +77,7 @@ def run(
     typed_silver: bool = False,
     keep_line: bool = False,
     stage_bronze: bool = True,
+    header: str | list | None = "auto",
     **evaluate_kw,
 ) -> RunResult:
     """Validate ``source`` (path(s) of delimited text, or a DataFrame) and write
@@ -68,37 +85,56 @@ def run(
     ``report``, ``summary_by_file``, ``summary_by_rule`` and a ``run_metrics``
     row under ``output_dir``.
 
-    ``overwrite`` is ``"dynamic"`` (replace only partitions present in this
-    run - the default when a date range is given, so a backfill keeps other
-    dates) or ``"static"`` (replace whole outputs).  Drift policies:
-    ``on_missing`` ``"fail"`` / ``"null_fill"``, ``on_unexpected`` ``"keep"`` /
-    ``"drop"`` (columns the contract does not declare).  ``keep_line`` carries each
-    input line as ``_line`` into the quarantine (costs a copy of the text in
-    the staged verdict).  ``stage_bronze`` (text sources): write the parsed
-    lines once as the Parquet ``bronze`` table and validate from it, so the
-    text is parsed once and the key count reads only key columns.
+    ``overwrite`` is ``"dynamic"`` (replace only what came from the files of this
+    run - the default when a date range is given) or ``"static"`` (replace whole
+    outputs).  Drift policies: ``on_missing`` ``"fail"`` / ``"null_fill"``,
+    ``on_unexpected`` ``"keep"`` / ``"drop"`` (columns the contract does not
+    declare).  ``keep_line`` carries each input line as ``_line`` into the
+    quarantine.  ``stage_bronze`` (text sources): write the parsed lines once as
+    the Parquet ``bronze`` table and validate from it.  ``single_report_file``
+    also writes the whole report of this run as one CSV file (``report_file``).
+
+    Nothing is written before the input is known to have rows and the
+    contract's columns, and to lie apart from the outputs.
     """
     contract = Contract.load(contract)
     timings: dict[str, float] = {}
     t0 = time.perf_counter()
-    if isinstance(source, DataFrame):
-        bronze = source
+    as_of = as_of_date(spark, as_of)
+    dynamic = (overwrite or ("dynamic" if (start or end) else "static")) == "dynamic"
+    headers: list = []
+    text = not isinstance(source, DataFrame)
+    if text:
+        _apart(source, output_dir)
+        bronze, headers = read_with_headers(spark, source, contract, start=start, end=end, keep_line=keep_line, header=header)
+        bronze = bronze.withColumn(FILE_DATE, F.coalesce(path_date(F.col("_source_path")).cast("string"), F.lit(UNDATED)))
+        key = FILE_DATE
     else:
-        bronze = read_delimited(spark, source, contract, start=start, end=end, keep_line=keep_line)
-        if stage_bronze:
-            write_table(bronze, f"{output_dir}/bronze", rebalance=False)
-            bronze = spark.read.schema(bronze.schema).parquet(f"{output_dir}/bronze")
+        bronze = source
+        key = contract.file_column if contract.file_column in source.columns else None
+        if dynamic and key is None:
+            raise ContractError(f"a dynamic overwrite needs the file column {contract.file_column!r} in the data")
     if bronze.isEmpty():
         raise EmptyInput(f"no rows to validate in {source!r} (range {start}..{end})")
     drift = drift_rows(bronze.columns, contract)
     if any(kind == "missing" for _, kind in drift) and on_missing == "fail":
         raise ContractError(f"columns missing from input: {[c for c, k in drift if k == 'missing']}")
-    unexpected = [c for c, kind in drift if kind == "unexpected"]
+    unexpected = [c for c, kind in drift if kind == "unexpected" and c != key]
     if unexpected and on_unexpected == "drop":
         bronze = bronze.drop(*unexpected)
+    by_key = (key,) if key else ()
+    # file dates (or the files) of this run, for a backfill
+    keys = [r[0] for r in bronze.select(key).distinct().toLocalIterator()] if dynamic else []
+
+    def output(name: str, column: str | None = key) -> str:
+        return _cleared(spark, f"{output_dir}/{name}", column, keys) if dynamic else f"{output_dir}/{name}"
+
+    if text and stage_bronze:
+        write_table(bronze, output("bronze"), partition_by=by_key, dynamic=dynamic, rebalance=False)
+        staged = spark.read.schema(bronze.schema).parquet(f"{output_dir}/bronze")
+        bronze = _of_this_run(staged, bronze, key, start, end) if dynamic else staged
     timings["bronze"] = time.perf_counter() - t0
 
-    dynamic = (overwrite or ("dynamic" if (start or end) else "static")) == "dynamic"
     t = time.perf_counter()
     verdict = evaluate(bronze, contract, as_of=as_of, on_missing=on_missing, **evaluate_kw)
     obs = Observation("rowgate_run")
@@ -109,56 +145,68 @@ def run(
         F.count_if(~F.col("is_valid")).alias("invalid_rows"),
         F.coalesce(F.sum(F.size("violations")), F.lit(0)).cast("long").alias("violations"),
     )
-    write_table(counted, f"{output_dir}/verdict", partition_by=("is_valid",), rebalance=False)
+    write_table(counted, output("verdict"), partition_by=(*by_key, "is_valid"), dynamic=dynamic, rebalance=False)
     counts = dict(obs.get)
     timings["validate"] = time.perf_counter() - t
 
     staged = spark.read.schema(verdict.schema).parquet(f"{output_dir}/verdict")
+    if dynamic:
+        staged = _of_this_run(staged, bronze, key, start, end)
     cols = [c for c in contract.column_names if c in staged.columns]
-
-    # Checked size: small outputs get a fixed number of writer tasks; larger
-    # ones a rebalance that AQE sizes and splits (a hot date or file).
-    writers = int(spark.conf.get("spark.sql.shuffle.partitions", "200") or 200)
-
-    def n_writers(rows: int) -> int | None:
-        return writers if rows <= SMALL_WRITE_ROWS else None
+    part = tuple(c for c in (silver_partition,) if c in cols and c != key)
+    bad = staged.where(~F.col("is_valid"))
 
     t = time.perf_counter()
-    good = route.silver(staged, contract, typed=typed_silver)
-    part = (silver_partition,) if silver_partition in cols else ()
-    write_table(good, f"{output_dir}/silver", partition_by=part, dynamic=dynamic,
-                writers=n_writers(counts.get("valid_rows") or 0))
+    silver = route.silver(staged, contract, typed=typed_silver, extra=by_key)
+    write_table(silver, output("silver"), partition_by=(*by_key, *part), dynamic=dynamic)
     timings["silver"] = time.perf_counter() - t
 
     t = time.perf_counter()
-    bad = route.quarantine(staged, contract)
-    qpart = (contract.file_column,) if contract.file_column in bad.columns else ()
-    write_table(bad, f"{output_dir}/quarantine", partition_by=qpart, dynamic=dynamic,
-                writers=n_writers(counts.get("invalid_rows") or 0))
+    write_table(route.quarantine(staged, contract), output("quarantine"), partition_by=by_key, dynamic=dynamic)
     timings["quarantine"] = time.perf_counter() - t
 
     t = time.perf_counter()
-    keep = [c for c in (cols[0] if cols else None, contract.file_column, silver_partition)
+    keep = [c for c in (cols[0] if cols else None, contract.file_column, silver_partition, key)
             if c and c in staged.columns]
-    rep = route.report(staged, keep=list(dict.fromkeys(keep)))
-    rpart = () if single_report_file or not dynamic else qpart
-    if contract.file_column.startswith("_") and contract.file_column in rep.columns:
-        # metadata name in, readable name out (the report is for people)
-        rep = rep.withColumnRenamed(contract.file_column, "source_file")
-        rpart = tuple("source_file" if c == contract.file_column else c for c in rpart)
-    write_csv_report(rep, f"{output_dir}/report", single_file=single_report_file,
-                     dynamic=dynamic, partition_by=rpart)
+    rep = route.report(bad, keep=list(dict.fromkeys(keep)))
+    # metadata names in, readable names out (the report is for people)
+    shown = {c: c.lstrip("_") for c in (contract.file_column, key) if c and c.startswith("_") and c in rep.columns}
+    rep = rep.withColumnsRenamed(shown)
+    write_csv_report(rep, output("report", shown.get(key, key)), dynamic=dynamic, partition_by=tuple(shown.get(c, c) for c in by_key))
+    if single_report_file:
+        write_csv_report(rep, f"{output_dir}/report_file", single_file=True)
     timings["report"] = time.perf_counter() - t
+
     t = time.perf_counter()
-    by = [c for c in (contract.file_column, silver_partition) if c and c in staged.columns]
-    write_table(route.summary_by(staged, *by), f"{output_dir}/summary_by_file", rebalance=False)
-    write_table(route.summary_by_rule(staged.where(~F.col("is_valid"))), f"{output_dir}/summary_by_rule",
-                rebalance=False)
+    by = list(dict.fromkeys(c for c in (contract.file_column, silver_partition, key) if c and c in staged.columns))
+    write_table(route.summary_by(staged, *by), output("summary_by_file"), partition_by=by_key, dynamic=dynamic)
+    write_table(route.summary_by_rule(bad, *by_key), output("summary_by_rule"), partition_by=by_key, dynamic=dynamic)
     timings["summaries"] = time.perf_counter() - t
     timings["total"] = time.perf_counter() - t0
     _append_metrics(spark, output_dir, contract, counts, timings, drift,
                     start=start, end=end, as_of=as_of, dynamic=dynamic)
-    return RunResult(output_dir, counts, drift, timings)
+    names = contract.column_names
+    found = [d for d in (h.drift(names) for h in headers) if d["header"] is None or d["missing"] or d["unexpected"] or d["reordered"]]
+    return RunResult(output_dir, counts, drift, timings, found)
+
+
+def _of_this_run(staged: DataFrame, read: DataFrame, key: str, start, end) -> DataFrame:
+    """The partitions of a table that this run has written."""
+    if key == FILE_DATE and (start or end):
+        cond = F.col(key) != UNDATED
+        if start:
+            cond = cond & (F.col(key) >= str(start)[:10])
+        if end:
+            cond = cond & (F.col(key) <= str(end)[:10])
+        return staged.where(cond)
+    return staged.join(read.select(key).distinct(), key, "left_semi").select(*staged.columns)
+
+
+def _cleared(spark: SparkSession, path: str, key: str, keys: list) -> str:
+    """The path of an output without the partitions that this run writes anew: a
+    dynamic overwrite alone leaves those that the run has no more rows for."""
+    drop_partitions(spark, path, (((key, v),) for v in keys))
+    return path
 
 
 def _append_metrics(spark, output_dir, contract, counts, timings, drift, **params) -> None:

@@ -18,20 +18,20 @@ feed AS (
   SELECT
     o_orderkey AS order_key,
     CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 103 = 0 THEN ' '
-         WHEN o_orderkey % 53 = 0 THEN concat('R', CAST(o_orderkey - 1 AS varchar), ' ')
-         ELSE concat('R', CAST(o_orderkey AS varchar)) END AS record_id,
-    CASE WHEN o_orderkey % 97 = 0 THEN '1999/05/21 10:99:11'
+         WHEN o_orderkey % 53 = 0 THEN concat('K', CAST(o_orderkey - 1 AS varchar), ' ')
+         ELSE concat('K', CAST(o_orderkey AS varchar)) END AS record_id,
+    CASE WHEN o_orderkey % 97 = 0 THEN 'noon on day 41'
          WHEN o_orderkey % 89 = 0 THEN CAST(CAST(o_orderdate + INTERVAL 9 DAY AS date) AS varchar)
          ELSE CAST(CAST(o_orderdate AS date) AS varchar) END AS event_ts,
-    CASE WHEN o_orderkey % 83 = 0 THEN '2030-02-30' WHEN o_orderkey % 79 = 0 THEN '2099-01-01'
+    CASE WHEN o_orderkey % 83 = 0 THEN '2021-13-01' WHEN o_orderkey % 79 = 0 THEN '2044-07-09'
          ELSE CAST(CAST(o_orderdate AS date) AS varchar) END AS business_date,
     CASE WHEN o_orderkey % 73 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS source_system,
-    CASE WHEN o_orderkey % 71 = 0 THEN concat(' ', o_orderstatus) WHEN o_orderkey % 67 = 0 THEN 'X'
+    CASE WHEN o_orderkey % 71 = 0 THEN concat(' ', o_orderstatus) WHEN o_orderkey % 67 = 0 THEN '?'
          ELSE o_orderstatus END AS status,
-    CASE WHEN o_orderkey % 61 = 0 THEN '1,234.56' WHEN o_orderkey % 59 = 0 THEN '-3.00'
+    CASE WHEN o_orderkey % 61 = 0 THEN '12.5 EUR' WHEN o_orderkey % 59 = 0 THEN '-0.75'
          WHEN o_orderkey % 47 = 0 THEN '0.00' WHEN o_orderkey % 43 = 0 THEN NULL
          ELSE CAST(CAST(o_totalprice AS decimal(18,2)) AS varchar) END AS amount,
-    CASE WHEN o_orderkey % 41 = 0 THEN 'USA' WHEN o_orderkey % 37 = 0 THEN ' ' ELSE 'US' END AS country_code,
+    CASE WHEN o_orderkey % 41 = 0 THEN 'Z9' WHEN o_orderkey % 37 = 0 THEN ' ' ELSE 'US' END AS country_code,
     CASE WHEN o_custkey % 2 = 0 THEN 'f0' ELSE 'f1' END AS source_file,
     year(o_orderdate) AS order_year
   FROM orders

@@ -4,26 +4,22 @@ Partitioned writes go through a ``rebalance`` hint on the partition columns:
 one shuffle that AQE sizes and splits when one value (a hot date or file)
 holds a large share of rows, so each task writes few, evenly sized files.
 Backfills use dynamic partition overwrite so only the partitions present in
-the new data are replaced.
+the new data are replaced; partitions that a backfill leaves empty are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_table(df: DataFrame, path: str, *, partition_by=(), mode: str = "overwrite",
                 dynamic: bool = False, fmt: str = "parquet", rebalance: bool = True,
-                options: dict | None = None, single_file: bool = False,
-                writers: int | None = None) -> None:
-    """``writers``: for data known to be small, hash-partition into exactly this
-    many writer tasks by the partition columns (AQE would otherwise merge a
-    small shuffle into one task that writes every partition folder alone)."""
+                options: dict | None = None, single_file: bool = False) -> None:
     out = df
     if single_file:
-        out = out.coalesce(1)
-    elif partition_by and writers:
-        out = out.repartition(writers, *partition_by)
+        out = out.repartition(1)  # what comes before still runs in parallel
     elif partition_by and rebalance:
         out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
@@ -42,3 +38,14 @@ def write_csv_report(df: DataFrame, path: str, *, single_file: bool = False, dyn
     (one task writes it - only for small reports)."""
     write_table(df, path, fmt="csv", options={"header": "true"}, single_file=single_file,
                 dynamic=dynamic, partition_by=partition_by)
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple[tuple[str, str | None], ...]]) -> None:
+    """Remove partition folders (each ``((column, value), ...)``) of a table that
+    a dynamic overwrite can't empty."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for parts in partitions:
+        folder = "/".join(names.getPartitionPathString(c, v) for c, v in parts)
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)

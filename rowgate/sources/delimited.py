@@ -1,40 +1,44 @@
 """Delimited text ingest with separator repair.
 
-One text scan; every line is parsed exactly once:
-
-* the line's separator is the first of ``, | ;`` outside double quotes
-  (so ``a,b;c`` stays a comma row);
-* ``from_csv`` parses it with that separator (quotes honoured, short rows
-  null-filled, extra fields dropped, unclosed quotes swallow the rest);
-  lines with a wrong field count are flagged ``_malformed``;
-* header lines (at least half of their fields are contract column names)
-  are dropped from the data and kept for the header-drift report;
+* a file's header is its first line that isn't blank, if more than half of the
+  contract's columns are in it (case aside); each file is labelled by its own
+  header, and only that line is taken out of the data.  Other lines are data,
+  whatever they look like;
+* a line's separator is the first of ``, | ;`` outside double quotes (so
+  ``a,b;c`` stays a comma row); in a line that begins with ``|`` or ``;`` both
+  separate;
+* ``from_csv`` parses it (quotes honoured, short rows null-filled, extra fields
+  dropped, unclosed quotes swallow the rest); lines with a wrong field count
+  are flagged ``_malformed``;
 * lineage comes from ``_metadata`` (file name and path), the ingest time is
   one literal per run, and a date range on the *last* ``yyyy-MM-dd`` in the
   file path selects files (works for dated file names and dated folders, on
   any file system Spark reads).
+
+Headers are found by one aggregation over the first block of every file
+(``header=None`` leaves it out).  Only distinct headers reach the driver.  Files with the most common header need no join; a
+join on the path labels the lines of the others.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contract import Contract
+from ..contract import Contract, ContractError
 
 # The separators a line may use, and how the first one is found.
 SEPARATORS = (",", "|", ";")
 _FIRST_SEPARATOR = r'^(?:"[^"]*"|[^,|;"])*+([,|;])'
+_UNQUOTED_SEPARATOR = r'[|;](?=(?:[^"]*"[^"]*")*[^"]*$)'
 _PATH_DATE = r".*(\d{4}-\d{2}-\d{2})"
 
 META_COLUMNS = ("_source_file", "_source_path", "_ingested_at", "_delimiter_issue", "_malformed")
-
-
-def _ddl(columns: list[str]) -> str:
-    return ", ".join(f"`{c}` STRING" for c in columns) + ", `_corrupt_record` STRING"
+#: Different headers of one feed beyond which it is taken for a mistake.
+MAX_HEADERS = 200
 
 
 def path_date(path: Column) -> Column:
@@ -67,7 +71,11 @@ def date_filter(path: Column, start=None, end=None) -> Column | None:
 
 
 def read_lines(spark: SparkSession, paths, *, start=None, end=None) -> DataFrame:
-    """Raw lines of one path, a directory or a list, with lineage."""
+    """Raw lines of one path, a directory or a list, with lineage.
+
+    Lines of blanks only are skipped.  ``_block`` is where the block that holds
+    the line starts in its file.
+    """
     if isinstance(paths, (list, tuple)):
         paths = list(paths)
     raw = spark.read.text(paths)
@@ -78,131 +86,166 @@ def read_lines(spark: SparkSession, paths, *, start=None, end=None) -> DataFrame
         F.col("value"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_path").alias("_source_path"),
-    ).where(F.col("value") != "")
-
-
-def parse_lines(lines: DataFrame, columns: list[str], *, ingested_at=None, keep_line: bool = False) -> DataFrame:
-    """N1-N7 in one projection: detect separator, parse, flag, drop headers."""
-    ddl = _ddl(columns)
-    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+        F.col("_metadata.file_block_start").alias("_block"),
+    ).where(F.col("value").rlike(r"\S"))
+
+
+def _tokens(line: Column) -> Column:
+    """The names in a header line."""
+    return F.transform(F.split(line, r"[,|;]"), lambda t: F.trim(F.regexp_replace(F.trim(t), '^"|"$', "")))
+
+
+def file_headers(lines: DataFrame, names: list[str]) -> DataFrame:
+    """``_source_path, _source_file, first, header``: per file its first line,
+    and the same as ``header`` where it is one."""
+    # within a file, ids grow with the lines of its first block
+    first = (lines.where("_block = 0").withColumn("_at", F.monotonically_increasing_id())
+             .groupBy("_source_path", "_source_file").agg(F.min_by("value", "_at").alias("first")))
+    tokens = F.transform(_tokens(F.col("first")), F.lower)
+    known = F.array(*[F.lit(n.lower()) for n in names])
+    is_header = ((2 * F.size(F.array_intersect(tokens, known)) > len(names))
+                 & (F.size(F.array_distinct(tokens)) == F.size(tokens)))
+    return first.withColumn("header", F.when(is_header, F.col("first")))
+
+
+@dataclass(frozen=True)
+class Header:
+    """One header of a feed: its line (None for files without), its columns in
+    order under the contract's spelling, and how many files have it."""
+
+    line: str | None
+    columns: tuple[str, ...]
+    files: int
+
+    def drift(self, names: list[str]) -> dict:
+        found = [c for c in self.columns if c in names]
+        return {
+            "header": self.line, "files": self.files,
+            "missing": [c for c in names if c not in self.columns],
+            "unexpected": [c for c in self.columns if c not in names],
+            "reordered": found != [c for c in names if c in found],
+        }
+
+
+def find_headers(lines: DataFrame, names: list[str]) -> list[Header]:
+    """The distinct headers, the most common first."""
+    spelled = {n.lower(): n for n in names}
+    rows = (file_headers(lines, names).groupBy("header").agg(F.count(F.lit(1)).alias("files"))
+            .select("header", "files", _tokens(F.col("header")).alias("tokens"))
+            .orderBy(F.desc("files"), "header").limit(MAX_HEADERS + 1).collect())
+    if len(rows) > MAX_HEADERS:
+        raise ContractError(f"more than {MAX_HEADERS} different headers; give the header")
+    return [Header(r["header"], tuple(spelled.get(t.lower(), t) for t in r["tokens"]) if r["header"] else tuple(names), r["files"])
+            for r in rows]
+
+
+def parse_lines(lines: DataFrame, names: list[str], headers: list[Header], *, ingested_at=None, keep_line: bool = False) -> DataFrame:
+    """Detect the separator, parse by the file's header, flag, drop headers."""
+    headers = headers or [Header(None, tuple(names), 0)]
+    extra = list(dict.fromkeys(c for h in headers for c in h.columns if c not in names))
+    numbered = lines.withColumn("__h", F.lit(0))
+    if len(headers) > 1:
+        number = F.lit(None).cast("int")
+        for i, h in enumerate(headers):
+            number = F.when(F.col("header").eqNullSafe(F.lit(h.line)), F.lit(i)).otherwise(number)
+        others = (file_headers(lines, names).select("_source_path", number.alias("__other")).where("__other > 0"))
+        numbered = (lines.join(others, "_source_path", "left")
+                    .withColumn("__h", F.coalesce("__other", F.lit(0))).drop("__other"))
     sep = F.regexp_extract("value", _FIRST_SEPARATOR, 1)
-    parsed = (F.when(sep == "|", F.from_csv("value", ddl, {**opts, "sep": "|"}))
-              .when(sep == ";", F.from_csv("value", ddl, {**opts, "sep": ";"}))
-              .otherwise(F.from_csv("value", ddl, {**opts, "sep": ","})))
-    staged = lines.select("*", sep.alias("__sep"), parsed.alias("__p"))
-    names = F.array(*[F.lit(c) for c in columns])
-    fields = F.array(*[F.trim(F.col("__p")[c]) for c in columns])
-    is_header = F.size(F.array_intersect(fields, names)) * 2 >= len(columns)
+    line = (F.when(~sep.isin("|", ";"), F.col("value"))
+            .when(F.col("value").contains('"'), F.regexp_replace("value", _UNQUOTED_SEPARATOR, "|"))
+            .otherwise(F.translate("value", ";", "|")))
+    staged = numbered.select("*", sep.alias("__sep"), line.alias("__line"))
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = []
+    for i, h in enumerate(headers):
+        ddl = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in h.columns) + ", `_corrupt_record` STRING"
+        own = F.when(F.col("__sep").isin("|", ";"), F.from_csv("__line", ddl, {**opts, "sep": "|"})).otherwise(
+            F.from_csv("__line", ddl, {**opts, "sep": ","}))
+        parsed.append((own if len(headers) == 1 else F.when(F.col("__h") == i, own)).alias(f"__p{i}"))
+    header_line = F.lit(None).cast("string")
+    for i, h in enumerate(headers):
+        header_line = F.when(F.col("__h") == i, F.lit(h.line)).otherwise(header_line)
+    is_header = (F.col("_block") == 0) & F.coalesce(F.col("value") == header_line, F.lit(False))
+    staged = staged.where(~is_header).select("*", *parsed)
+
+    def field(c: str) -> Column:
+        own = [F.col(f"__p{i}").getField(c) for i, h in enumerate(headers) if c in h.columns or c == "_corrupt_record"]
+        return F.coalesce(*own) if own else F.lit(None).cast("string")
+
     if ingested_at is None:
         ingested_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    out = [F.col("__p")[c].alias(c) for c in columns]
+    out = [field(c).alias(c) for c in [*names, *extra]]
     out += [
         F.col("_source_file"),
         F.col("_source_path"),
         F.lit(ingested_at).alias("_ingested_at"),
         F.col("__sep").isin("|", ";").alias("_delimiter_issue"),
-        F.col("__p._corrupt_record").isNotNull().alias("_malformed"),
+        field("_corrupt_record").isNotNull().alias("_malformed"),
     ]
     if keep_line:
         out.append(F.col("value").alias("_line"))
-    return staged.where(~is_header).select(*out)
-
-
-def _split_header(line: str) -> list[str]:
-    m = re.match(_FIRST_SEPARATOR.replace("*+", "*"), line)
-    sep = m.group(1) if m else ","
-    return [t.strip().strip('"').strip() for t in line.split(sep)]
-
-
-def header_columns(spark: SparkSession, paths, contract, *, start=None, end=None) -> list[str] | None:
-    """Column order from the header of the first input file (in path order,
-    within the date range), as a CSV reader with ``header=true`` takes it.
-    Reads one line on the driver; ``None`` when that line is not a header."""
-    names = Contract.load(contract).column_names
-    files = sorted(spark.read.text(paths).inputFiles())
-    lo, hi = _date(start), _date(end)
-    for f in files:
-        if lo is not None or hi is not None:
-            m = re.match(_PATH_DATE, f)
-            try:
-                d = _dt.date.fromisoformat(m.group(1)) if m else None
-            except ValueError:
-                d = None
-            if d is None or (lo is not None and d < lo) or (hi is not None and d > hi):
-                continue
-        first = spark.read.text(f).first()
-        if first is None:
-            continue
-        tokens = _split_header(first[0])
-        if 2 * len(set(tokens) & set(names)) >= len(names) and len(set(tokens)) == len(tokens):
-            return tokens
-        return None
-    return None
+    return staged.select(*out)
 
 
 def read_delimited(spark: SparkSession, paths, contract, *, start=None, end=None,
-                   ingested_at=None, keep_line: bool = False, header: str | list = "auto") -> DataFrame:
+                   ingested_at=None, keep_line: bool = False, header: str | list | None = "auto") -> DataFrame:
     """Bronze: contract columns as strings plus lineage and repair flags.
 
-    ``header="auto"`` labels fields by the first file's header (so a feed
-    whose column order differs from the contract is read correctly; header
-    columns the contract does not know are kept as extra columns, contract
-    columns the header lacks are null).  ``header="contract"`` parses in
-    contract order; a list gives the order explicitly.  Files whose own header
-    differs from the one used are reported by :func:`header_drift`.
+    ``header="auto"`` labels every file's fields by its own header (columns the
+    contract does not know are kept as extra columns, contract columns that a
+    header lacks are null, and a file without a header is in contract order).
+    ``header="contract"`` labels all files in contract order and a list gives the
+    order; header lines are only taken out.  ``header=None`` is for files that have
+    none: every line is data.
     """
+    return read_with_headers(spark, paths, contract, start=start, end=end, ingested_at=ingested_at,
+                             keep_line=keep_line, header=header)[0]
+
+
+def read_with_headers(spark: SparkSession, paths, contract, *, start=None, end=None, ingested_at=None,
+                      keep_line: bool = False, header: str | list | None = "auto") -> tuple[DataFrame, list[Header]]:
+    """As :func:`read_delimited`, with the headers found."""
     names = Contract.load(contract).column_names
-    if isinstance(header, (list, tuple)):
-        order = list(header)
-    elif header == "auto":
-        order = header_columns(spark, paths, contract, start=start, end=end) or names
-    else:
-        order = names
     lines = read_lines(spark, paths, start=start, end=end)
-    parsed = parse_lines(lines, order, ingested_at=ingested_at, keep_line=keep_line)
-    if order == names:
-        return parsed
-    extra = [c for c in order if c not in names]
-    cols = [F.col(c) if c in order else F.lit(None).cast("string").alias(c) for c in names]
-    return parsed.select(*cols, *extra, *[c for c in parsed.columns if c.startswith("_")])
+    headers = [Header(None, tuple(names), 0)] if header is None else find_headers(lines, names)
+    found = headers
+    if header not in ("auto", None):  # labels are given; headers are only taken out
+        order = tuple(header) if isinstance(header, (list, tuple)) else tuple(names)
+        headers = [Header(h.line, order, h.files) for h in headers]
+    return parse_lines(lines, names, headers, ingested_at=ingested_at, keep_line=keep_line), found
 
 
 def header_drift(spark: SparkSession, paths, contract, *, start=None, end=None) -> DataFrame:
     """Per file, its header versus the contract (missing / unexpected /
-    reordered columns, or no header at all).  One scan, partial aggregation
-    per file; the per-file result is small (one row per file)."""
+    reordered columns, or no header at all).  One aggregation over the files'
+    first blocks; one row per file."""
     columns = Contract.load(contract).column_names
-    lines = read_lines(spark, paths, start=start, end=end)
-    tokens = F.transform(F.split("value", r"[,|;]"), lambda t: F.trim(F.regexp_replace(t, '"', "")))
-    names = F.array(*[F.lit(c) for c in columns])
-    is_header = F.size(F.array_intersect(tokens, names)) * 2 >= len(columns)
-    per_file = (lines.select("_source_file", "_source_path",
-                             F.when(is_header, F.array_join(tokens, ",")).alias("header"))
-                .groupBy("_source_path", "_source_file")
-                .agg(F.count("header").alias("header_lines"),
-                     F.min("header").alias("header"),
-                     F.max("header").alias("header_max")))
-    found = F.split(F.coalesce(F.col("header"), F.lit("")), ",")
+    per_file = file_headers(read_lines(spark, paths, start=start, end=end), columns)
+    names = F.array(*[F.lit(c.lower()) for c in columns])
+    found = F.when(F.col("header").isNull(), F.array().cast("array<string>")).otherwise(F.transform(_tokens(F.col("header")), F.lower))
+    shown = F.when(F.col("header").isNull(), F.array().cast("array<string>")).otherwise(_tokens(F.col("header")))
     return per_file.select(
         "_source_file", "_source_path",
         path_date(F.col("_source_path")).alias("file_date"),
-        "header_lines", "header",
-        F.array_join(F.array_except(names, found), ",").alias("missing"),
-        F.array_join(F.array_except(F.filter(found, lambda t: t != ""), names), ",").alias("unexpected"),
+        F.col("header").isNotNull().cast("long").alias("header_lines"),
+        F.when(F.col("header").isNotNull(), F.array_join(shown, ",")).alias("header"),
+        F.array_join(F.filter(F.array(*[F.lit(c) for c in columns]), lambda c: ~F.array_contains(found, F.lower(c))), ",").alias("missing"),
+        F.array_join(F.filter(shown, lambda t: ~F.array_contains(names, F.lower(t))), ",").alias("unexpected"),
         (F.col("header").isNotNull() & (F.array_join(F.array_intersect(found, names), ",")
                                         != F.array_join(F.array_intersect(names, found), ","))
          ).alias("reordered"),
-        (F.col("header") != F.col("header_max")).alias("inconsistent"),
     )
 
 
 def drift_rows(columns: list[str], contract) -> list[tuple[str, str]]:
     """D1-D3 on the driver: ``(column, "missing" | "unexpected")`` pairs.
-    Names that start with ``_`` are metadata and ignored."""
+    Names that start with ``_`` are metadata and ignored, case differences too."""
     expected = Contract.load(contract).column_names
     actual = [c for c in columns if not c.startswith("_")]
-    rows = [(c, "missing") for c in expected if c not in actual]
-    rows += [(c, "unexpected") for c in actual if c not in expected]
+    there, known = {c.lower() for c in actual}, {c.lower() for c in expected}
+    rows = [(c, "missing") for c in expected if c.lower() not in there]
+    rows += [(c, "unexpected") for c in actual if c.lower() not in known]
     return rows
 
 
