@@ -62,7 +62,7 @@ def dirty_orders_from(o: DataFrame, *, with_year: bool = False) -> DataFrame:
         F.when(_every(k, 71), F.concat(F.lit(" "), F.col("o_orderstatus")))
         .when(_every(k, 67), F.lit("?"))
         .otherwise(F.col("o_orderstatus")).alias("status"),
-        F.when(_every(k, 61), F.lit("12.5 EUR"))
+        F.when(_every(k, 61), F.lit("12,5 EUR"))
         .when(_every(k, 59), F.lit("-0.75"))
         .when(_every(k, 47), F.lit("0.00"))
         .when(_every(k, 43), F.lit(None).cast("string"))
@@ -149,7 +149,11 @@ def _field(c: Column, sep: Column) -> Column:
     return F.when(needs_quotes, quoted).otherwise(text)
 
 
-def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Rows with keys of this modulus reach the files of the year after their own.
+LATE_MODULUS = 11
+
+
+def feed_lines(spark: SparkSession, sf_dir: str, *, late: bool = False) -> DataFrame:
     """Every feed row as one delimited line, with the folder it belongs to."""
     d = dirty_orders(spark, sf_dir, with_year=True)
     k = F.col("order_key")
@@ -159,7 +163,8 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [_field(F.col(c), F.col("__sep")) for c in FEED_COLUMNS]
     line = F.concat_ws("", *[x for i, f in enumerate(fields) for x in ((F.col("__sep"), f) if i else (f,))])
     line = F.when(k % EXTRA_FIELD_MODULUS == 0, F.concat(line, F.col("__sep"), F.lit("EXTRA"))).otherwise(line)
-    return d.select(F.concat(F.lit("orders_"), F.col("order_year").cast("string"), F.lit("-01-01")).alias("folder"),
+    year = F.col("order_year") + F.when((k % LATE_MODULUS == 0) & F.lit(late), 1).otherwise(0)
+    return d.select(F.concat(F.lit("orders_"), year.cast("string"), F.lit("-01-01")).alias("folder"),
                     line.alias("value"))
 
 
@@ -176,12 +181,12 @@ def _write_lines(lines: DataFrame, out_dir: str, header: str, mode: str) -> None
      .write.mode(mode).options(header="true", **_VERBATIM).partitionBy("folder").csv(out_dir))
 
 
-def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: bool = False) -> str:
+def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: bool = False, late: bool = False) -> str:
     """Write the feed as text, one folder per order year (``orders_<yyyy>-01-01``),
     every file starting with a header line.  With ``drift`` the files of one
-    year carry a header with two columns swapped and one renamed.  Returns
-    ``out_dir``."""
-    lines = feed_lines(spark, sf_dir)
+    year carry a header with two columns swapped and one renamed; with ``late``
+    some rows come in the files of the next year.  Returns ``out_dir``."""
+    lines = feed_lines(spark, sf_dir, late=late)
     header = ",".join(FEED_COLUMNS)
     if not drift:
         _write_lines(lines, out_dir, header, "overwrite")
@@ -194,3 +199,12 @@ def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: b
     _write_lines(lines.where(~odd), out_dir, header, "overwrite")
     _write_lines(lines.where(odd), out_dir, ",".join(swapped), "append")
     return out_dir
+
+
+def write_plain_lines(lines: DataFrame, out_dir: str, header: str | None) -> str:
+    """``value`` rows as text files, with a header line each or none."""
+    if header is None:
+        lines.select("value").write.text(out_dir)
+    else:
+        lines.select(F.col("value").alias(header)).write.options(header="true", **_VERBATIM).csv(out_dir)
+    return out_dir

@@ -28,7 +28,7 @@ feed AS (
     CASE WHEN o_orderkey % 73 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS source_system,
     CASE WHEN o_orderkey % 71 = 0 THEN concat(' ', o_orderstatus) WHEN o_orderkey % 67 = 0 THEN '?'
          ELSE o_orderstatus END AS status,
-    CASE WHEN o_orderkey % 61 = 0 THEN '12.5 EUR' WHEN o_orderkey % 59 = 0 THEN '-0.75'
+    CASE WHEN o_orderkey % 61 = 0 THEN '12,5 EUR' WHEN o_orderkey % 59 = 0 THEN '-0.75'
          WHEN o_orderkey % 47 = 0 THEN '0.00' WHEN o_orderkey % 43 = 0 THEN NULL
          ELSE CAST(CAST(o_totalprice AS decimal(18,2)) AS varchar) END AS amount,
     CASE WHEN o_orderkey % 41 = 0 THEN 'Z9' WHEN o_orderkey % 37 = 0 THEN ' ' ELSE 'US' END AS country_code,
@@ -273,20 +273,106 @@ TEXT_COLS = ("CAST(order_key AS VARCHAR) AS order_key, record_id, event_ts, busi
              "source_system, status, amount, country_code, source_file")
 
 
-def _backfill(dynamic: bool) -> str:
-    subset_rules = [r.replace("count(*) OVER (PARTITION BY trim(record_id))",
-                              "count(*) OVER (PARTITION BY trim(record_id))") for r in ALL_FEED_RULES]
-    arr1 = ",\n      ".join(ALL_FEED_RULES)
-    arr2 = ",\n      ".join(subset_rules)
+def _backfill(dynamic: bool, late: bool = False) -> str:
+    """A run over all files, then one over those of 1996: what it replaces is
+    what came from these files, whatever the dates of their rows."""
+    rules = ",\n      ".join(ALL_FEED_RULES)
+    year = "order_year + CASE WHEN order_key % 11 = 0 THEN 1 ELSE 0 END" if late else "order_year"
     head = (f"WITH {FEED},\n"
-            f"run1 AS (SELECT *, list_filter([{arr1}], lambda x: x IS NOT NULL) AS vs FROM feed),\n"
-            f"sub AS (SELECT * FROM feed WHERE order_year = 1996),\n"
-            f"run2 AS (SELECT *, list_filter([{arr2}], lambda x: x IS NOT NULL) AS vs FROM sub)\n")
+            f"files AS (SELECT *, {year} AS file_year FROM feed),\n"
+            f"run1 AS (SELECT *, list_filter([{rules}], lambda x: x IS NOT NULL) AS vs FROM files),\n"
+            f"again AS (SELECT * FROM files WHERE file_year = 1996),\n"
+            f"run2 AS (SELECT *, list_filter([{rules}], lambda x: x IS NOT NULL) AS vs FROM again)\n")
     second = f"SELECT {TEXT_COLS} FROM run2 WHERE len(vs) = 0"
     if not dynamic:
         return head + second
-    return (head + f"SELECT {TEXT_COLS} FROM run1 WHERE len(vs) = 0 AND business_date NOT IN "
-            "(SELECT business_date FROM run2 WHERE len(vs) = 0)\nUNION ALL\n" + second)
+    return head + f"SELECT {TEXT_COLS} FROM run1 WHERE len(vs) = 0 AND file_year <> 1996\nUNION ALL\n" + second
+
+
+def _report_csv() -> str:
+    rules = ",\n      ".join(ALL_FEED_RULES)
+    rows = ("SELECT CAST(order_key AS VARCHAR) AS order_key, CAST(r.i - 1 AS VARCHAR) AS violation_index, r.vs[r.i].kind AS kind, "
+            "r.vs[r.i].column AS \"column\", r.vs[r.i].rule AS rule, r.vs[r.i].message AS violation, "
+            "CAST(order_year AS VARCHAR) || '-01-01' AS file_date "
+            "FROM (SELECT order_key, order_year, vs, unnest(generate_series(1, len(vs))) AS i FROM ")
+    return (f"WITH {FEED},\n"
+            f"run1 AS (SELECT *, list_filter([{rules}], lambda x: x IS NOT NULL) AS vs FROM feed),\n"
+            f"again AS (SELECT * FROM feed WHERE order_year = 1996),\n"
+            f"run2 AS (SELECT *, list_filter([{rules}], lambda x: x IS NOT NULL) AS vs FROM again)\n"
+            f"{rows}run1 WHERE len(vs) > 0 AND order_year <> 1996) r\nUNION ALL\n{rows}run2 WHERE len(vs) > 0) r")
+
+
+def _run_metrics() -> str:
+    params = '{"start": null, "end": null, "as_of": "2020-01-01", "dynamic": "False"}'
+    return _stage_counts(ALL_FEED_RULES).replace("AS violations FROM checked", f"AS violations, {lit(params)} AS params FROM checked")
+
+
+LINE_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+
+def _line_unique(*keys: str) -> str:
+    """Rows of lineitem whose key occurs again, for every key."""
+    parts = []
+    for k in keys:
+        name = f"({k})" if ", " in k else k
+        parts.append(f"SELECT {LINE_KEYS}, 'unique' AS kind, {lit(k.replace(', ', ','))} AS \"column\", 'unique' AS rule, "
+                     f"{lit(f'{name}: duplicate {name} found across files')} AS violation "
+                     f"FROM (SELECT *, count(*) OVER (PARTITION BY {k}) AS n FROM lineitem) WHERE n > 1")
+    return "\nUNION ALL\n".join(parts)
+
+
+ALLOWED_TYPED = f"""
+SELECT {LINE_KEYS}, 'allowed_values' AS kind, 'l_discount' AS "column", 'allowed_values' AS rule
+FROM lineitem WHERE l_discount IS NOT NULL AND l_discount NOT IN (0, 0.01, 0.02, 0.03, 0.04, 0.05, 0.06)
+UNION ALL
+SELECT {LINE_KEYS}, 'allowed_values', 'l_linenumber', 'allowed_values'
+FROM lineitem WHERE l_linenumber IS NOT NULL AND l_linenumber NOT IN (1, 2, 3)
+"""
+
+NULL_KEYS = f"""WITH {FEED}
+SELECT order_key, 'unique' AS kind, 'record_id' AS "column", 'unique' AS rule,
+       'record_id: duplicate record_id found across files' AS violation
+FROM (SELECT *, count(*) OVER (PARTITION BY trim(record_id)) AS n FROM feed) WHERE n > 1 AND record_id IS NOT NULL
+"""
+
+STRICT_SCALE = f"""WITH {FEED}
+SELECT order_key, 'type' AS kind, 'amount' AS "column", 'strict_scale' AS rule,
+       'amount: ''' || amount || ''' has more decimals than decimal(18,1)' AS violation
+FROM feed WHERE try_cast(amount AS DECIMAL(38,18)) <> try_cast(amount AS DECIMAL(18,1))
+"""
+
+_FEED_NAMES = ["order_key", "record_id", "event_ts", "business_date", "source_system", "status", "amount", "country_code", "source_file"]
+_ORDER_NAMES = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+DRIFT = ("SELECT * FROM (VALUES " + ", ".join([f"({lit(c)}, 'missing')" for c in _FEED_NAMES] + [f"({lit(c)}, 'unexpected')" for c in _ORDER_NAMES])
+         + ") t(\"column\", drift)")
+
+HEADER_ORDER = f"""WITH {FEED}
+SELECT CAST(order_key AS VARCHAR) AS order_key, record_id, event_ts, business_date,
+       CASE WHEN order_year = 1997 THEN status ELSE source_system END AS source_system,
+       CASE WHEN order_year = 1997 THEN source_system ELSE status END AS status,
+       CASE WHEN order_year = 1997 THEN NULL ELSE amount END AS amount, country_code, source_file,
+       CASE WHEN order_year = 1997 THEN amount END AS amt
+FROM feed
+"""
+
+MIXED_SEPARATORS = """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CASE WHEN p_size % 3 = 0 THEN p_brand || '|x' ELSE p_brand END AS p_brand,
+       CAST(p_size AS VARCHAR) AS p_size, FALSE AS _malformed
+FROM part
+"""
+
+HEADER_LIKE = """
+SELECT CAST(c_custkey AS VARCHAR) AS "ID",
+       CASE WHEN c_custkey % 5 = 0 THEN 'segment' WHEN c_custkey % 7 = 0 THEN 'name' ELSE c_name END AS name,
+       CASE WHEN c_custkey % 5 = 0 THEN 'name' WHEN c_custkey % 3 = 0 THEN 'segment' ELSE c_mktsegment END AS segment
+FROM customer
+"""
+
+MALFORMED = f"""WITH {FEED}
+SELECT CAST(order_key AS VARCHAR) AS order_key, 'malformed' AS kind, NULL::varchar AS "column", 'malformed' AS rule,
+       'row: wrong number of fields or unclosed quote' AS violation
+FROM feed WHERE order_key % 29 = 0
+"""
 
 
 DELIMITER_REPAIR = (f"WITH {FEED}\nSELECT {TEXT_COLS}, order_key % 7 IN (3, 5) AS _delimiter_issue, "
@@ -392,6 +478,19 @@ def oracle_sql() -> dict[str, str]:
         "backfill_static": _backfill(False),
         "header_drift": HEADER_DRIFT,
         "rule_catalog": _catalog(),
+        "unique_multi_key": _line_unique("l_orderkey, l_linenumber", "l_partkey, l_suppkey", "l_extendedprice", "l_returnflag, l_linestatus"),
+        "null_keys_ignore": NULL_KEYS,
+        "rule_allowed_typed": ALLOWED_TYPED,
+        "strict_scale": STRICT_SCALE,
+        "drift": DRIFT,
+        "backfill_late_rows": _backfill(True, late=True),
+        "report_csv": _report_csv(),
+        "run_metrics": _run_metrics(),
+        "ingest_time": "SELECT count(*) AS lines, CAST(1 AS BIGINT) AS times FROM orders",
+        "ingest_header_order": HEADER_ORDER,
+        "ingest_mixed_separators": MIXED_SEPARATORS,
+        "ingest_header_like_rows": HEADER_LIKE,
+        "reject_malformed": MALFORMED,
         "stream_verdict": (feed_checked([r for r in ALL_FEED_RULES if r is not R_DUP])
                            + "\nSELECT order_key, array_to_string(list_transform(vs, lambda x: x.message), '|') "
                            "AS rejection_reasons FROM checked"),

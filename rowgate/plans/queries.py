@@ -20,7 +20,7 @@ from ..session import fresh_dir
 from ..sources.delimited import header_drift as _header_drift
 from ..sources.delimited import path_date, read_delimited
 from . import fixtures as fx
-from .job import run
+from .job import FILE_DATE, run
 
 REPORT_COLS = ["kind", "column", "rule", "violation"]
 
@@ -182,6 +182,41 @@ def unique_text_hashed(spark, sf_dir):
     return _table_report(spark, sf_dir, "documents", contract, ["doc_id"])
 
 
+def unique_multi_key(spark, sf_dir):
+    """Four keys of ``lineitem``, all counted on the table itself."""
+    keys = [["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"], ["l_extendedprice"], ["l_returnflag", "l_linestatus"]]
+    contract = {"schema": [], "unique_keys": [{"columns": k} for k in keys]}
+    return _table_report(spark, sf_dir, "lineitem", contract, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+                         hot_key_rows=5000)
+
+
+def null_keys_ignore(spark, sf_dir):
+    """Null ids are no duplicates of each other; blank ones are."""
+    contract = Contract.from_dict({"schema": [], "unique_keys": [{"columns": ["record_id"], "null_keys": "ignore"}]})
+    return _feed_report(spark, sf_dir, contract)
+
+
+def rule_allowed_typed(spark, sf_dir):
+    """Allowed numbers against numbers, whatever their text looks like."""
+    contract = {"schema": [{"name": "l_discount", "allowed_values": [0, 0.01, 0.02, 0.03, 0.04, "0.050", 0.06]},
+                           {"name": "l_linenumber", "allowed_values": [1, "2", 3]}]}
+    return _table_report(spark, sf_dir, "lineitem", contract, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]).drop("violation")
+
+
+def strict_scale(spark, sf_dir):
+    """Prices with more decimals than the declared scale, instead of rounding."""
+    contract = Contract.from_dict({"schema": [{"name": "amount", "type": "decimal(18,1)", "strict_scale": True}]})
+    r = _feed_report(spark, sf_dir, contract)
+    return r.where(F.col("rule") == "strict_scale")
+
+
+def drift(spark, sf_dir):
+    """Columns of ``orders`` against the feed's contract."""
+    from ..sources.delimited import schema_drift
+
+    return schema_drift(fx.table(spark, sf_dir, "orders"), fx.feed_contract())
+
+
 # -------------------------------------------------------------- verdict & co
 def _feed_verdict(spark, sf_dir) -> DataFrame:
     return evaluate(fx.dirty_orders(spark, sf_dir), fx.feed_contract(), as_of=fx.AS_OF)
@@ -277,8 +312,7 @@ def _backfill(mode: str):
         run(spark, root, out, contract, as_of=fx.AS_OF)
         run(spark, root, out, contract, as_of=fx.AS_OF, start="1996-01-01", end="1996-12-31",
             overwrite=mode)
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in fx.FEED_COLUMNS])
-        return spark.read.schema(schema).parquet(f"{out}/silver")
+        return _text_silver(spark, out)
     query.__name__ = f"backfill_{mode}"
     return query
 
@@ -287,6 +321,81 @@ backfill_dynamic = _backfill("dynamic")
 backfill_static = _backfill("static")
 
 
+def _text_silver(spark, out: str) -> DataFrame:
+    """Silver of a text run, all columns as text (the file date is its first
+    partition, so a schema of one's own has to name it)."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*fx.FEED_COLUMNS, FILE_DATE)])
+    return spark.read.schema(schema).parquet(f"{out}/silver").select(*fx.FEED_COLUMNS)
+
+
+def backfill_late_rows(spark, sf_dir):
+    """Files that hold rows of another file's dates, one year of them read again:
+    the rows of the other files stay."""
+    root = fx.write_feed_files(spark, sf_dir, fresh_dir(spark, "feed-late"), late=True)
+    out = fresh_dir(spark, "backfill-late")
+    run(spark, root, out, fx.feed_contract(), as_of=fx.AS_OF)
+    run(spark, root, out, fx.feed_contract(), as_of=fx.AS_OF, start="1996-01-01", end="1996-12-31")
+    return _text_silver(spark, out)
+
+
+def report_csv(spark, sf_dir):
+    """The written report of a run and a backfill over it, read back as CSV."""
+    root = _feed_files(spark, sf_dir, "feed-text")
+    out = fresh_dir(spark, "report-csv")
+    run(spark, root, out, fx.feed_contract(), as_of=fx.AS_OF)
+    run(spark, root, out, fx.feed_contract(), as_of=fx.AS_OF, start="1996-01-01", end="1996-12-31")
+    rows = spark.read.option("header", "true").csv(f"{out}/report")
+    return rows.select(*[F.col(c).cast("string") for c in ("order_key", "violation_index", *REPORT_COLS, "file_date")])
+
+
+def run_metrics(spark, sf_dir):
+    """The history row of a run over the feed."""
+    out = fresh_dir(spark, "metrics")
+    run(spark, fx.dirty_orders(spark, sf_dir), out, fx.feed_contract(), as_of=fx.AS_OF)
+    return spark.read.parquet(f"{out}/run_metrics").select("rows", "valid_rows", "invalid_rows", "violations", "params")
+
+
+def ingest_time(spark, sf_dir):
+    """One ingest time for all lines of a run."""
+    bronze = read_delimited(spark, _feed_files(spark, sf_dir, "feed-text"), fx.feed_contract())
+    return bronze.agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("_ingested_at").alias("times"))
+
+
+def ingest_header_order(spark, sf_dir):
+    """Every file by its own header: one year's names two columns the other way
+    round and has one of its own."""
+    bronze = read_delimited(spark, _feed_files(spark, sf_dir, "feed-drift", drift=True), fx.feed_contract())
+    return bronze.select(*fx.FEED_COLUMNS, "amt")
+
+
+def ingest_mixed_separators(spark, sf_dir):
+    """Lines in which ``|`` and ``;`` both separate, without a header."""
+    part = fx.table(spark, sf_dir, "part")
+    lines = part.select(F.concat_ws("", F.col("p_partkey").cast("string"), F.lit("|"), "p_name", F.lit(";"),
+                                    F.when(F.col("p_size") % 3 == 0, F.concat(F.lit('"'), "p_brand", F.lit('|x"'))).otherwise(F.col("p_brand")),
+                                    F.lit("|"), F.col("p_size").cast("string")).alias("value"))
+    root = fx.write_plain_lines(lines, fresh_dir(spark, "mixed"), None)
+    columns = ["p_partkey", "p_name", "p_brand", "p_size"]
+    return read_delimited(spark, root, {"schema": [{"name": c} for c in columns]}).select(*columns, "_malformed")
+
+
+def ingest_header_like_rows(spark, sf_dir):
+    """Data that names columns is data: half of a line, or all of it the other way round."""
+    k = F.col("c_custkey")
+    lines = fx.table(spark, sf_dir, "customer").select(F.concat_ws(
+        ",", k.cast("string"), F.when(k % 5 == 0, "segment").when(k % 7 == 0, "name").otherwise(F.col("c_name")),
+        F.when(k % 5 == 0, "name").when(k % 3 == 0, "segment").otherwise(F.col("c_mktsegment"))).alias("value"))
+    root = fx.write_plain_lines(lines, fresh_dir(spark, "header-like"), "id,name,segment")
+    return read_delimited(spark, root, {"schema": [{"name": "ID"}, {"name": "name"}, {"name": "segment"}]}).select("ID", "name", "segment")
+
+
+def reject_malformed(spark, sf_dir):
+    """Lines with a wrong number of fields as violations."""
+    bronze = read_delimited(spark, _feed_files(spark, sf_dir, "feed-text"), fx.feed_contract())
+    v = evaluate(bronze, fx.feed_contract(), as_of=fx.AS_OF, reject_malformed=True, include_unique=False)
+    return route.report(v, keep=["order_key"]).where(F.col("kind") == "malformed").select("order_key", *REPORT_COLS)
+
+
 def header_drift(spark, sf_dir):
     root = _feed_files(spark, sf_dir, "feed-drift", drift=True)
     per_file = _header_drift(spark, root, fx.feed_contract())
@@ -370,6 +479,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "header_drift": header_drift,
     "stream_verdict": stream_verdict,
     "rule_catalog": rule_catalog,
+    "unique_multi_key": unique_multi_key,
+    "null_keys_ignore": null_keys_ignore,
+    "rule_allowed_typed": rule_allowed_typed,
+    "strict_scale": strict_scale,
+    "drift": drift,
+    "backfill_late_rows": backfill_late_rows,
+    "report_csv": report_csv,
+    "run_metrics": run_metrics,
+    "ingest_time": ingest_time,
+    "ingest_header_order": ingest_header_order,
+    "ingest_mixed_separators": ingest_mixed_separators,
+    "ingest_header_like_rows": ingest_header_like_rows,
+    "reject_malformed": reject_malformed,
 }
 
 
