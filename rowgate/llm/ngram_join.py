@@ -128,14 +128,15 @@ class Joined:
 
 
 def compare_bucket(sigs: np.ndarray, tree: int, stop: int, least: float, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that join what may be similar in a bucket (rows of bytes).
+    """What may be similar in a bucket (rows of bytes): each row that is joined to
+    others, with the first row of its set.
 
     Prefixes of the bucket's own trie are shortened from the full depth to
     ``stop``; at each depth texts with equal prefixes that aren't joined yet are
     compared.  With ``sides``, only rows of different sides are.
     """
     n = len(sigs)
-    joined, out = Joined(n), []
+    joined = Joined(n)
     flat = sigs.reshape(n, -1)
     label = np.ascontiguousarray(sigs[:, tree]).view(">u8").reshape(-1)
     order = np.argsort(label, kind="stable")
@@ -154,9 +155,8 @@ def compare_bucket(sigs: np.ndarray, tree: int, stop: int, least: float, sides:
                 if len(rest):
                     alike = (flat[rest] == flat[i]).mean(axis=1)
                     for j in rest[alike >= least].tolist():
-                        if joined.join(i, j):
-                            out.append((i, j))
-    return out
+                        joined.join(i, j)
+    return [(joined.root(i), i) for i in range(n) if joined.root(i) != i]
 
 
 def similar_pairs(sets: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -239,8 +239,9 @@ def candidate_links(classes: DataFrame, threshold: float, recall: float, trees:
                 if len(group) < 2:
                     continue
                 sigs = np.frombuffer(b"".join(r["labels"] for r in group), np.uint8).reshape(len(group), trees, DEPTH)
+                # rows come by key: the trees of one group name the same links
                 for i, j in compare_bucket(sigs, group[0]["tree"], stop, least, _sides(group)):
-                    yield {"a": group[min(i, j)]["key"], "b": group[max(i, j)]["key"]}
+                    yield {"a": group[i]["key"], "b": group[j]["key"]}
 
         return _batches(links(), _LINK)
 
@@ -271,8 +272,10 @@ def verified_links(texts: DataFrame, threshold: float, block: int = VERIFY_BLOCK
                     if n:
                         yield {"a": r["key"], "b": None, "links": n}
                 for i, j in np.argwhere(np.triu(similar)).tolist():
-                    if joined.join(i, j):
-                        yield {"a": group[i]["key"], "b": group[j]["key"], "links": 0}
+                    joined.join(i, j)
+                for i in range(len(group)):
+                    if joined.root(i) != i:
+                        yield {"a": group[joined.root(i)]["key"], "b": group[i]["key"], "links": 0}
 
         return _batches(found(), _VERIFIED)
 
