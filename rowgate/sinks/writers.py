@@ -1,17 +1,42 @@
 """Writers (K1-K5): silver, quarantine, report and the staged verdict.
 
-Partitioned writes go through a ``rebalance`` hint on the partition columns:
-one shuffle that AQE sizes and splits when one value (a hot date or file)
-holds a large share of rows, so each task writes few, evenly sized files.
-Backfills use dynamic partition overwrite so only the partitions present in
-the new data are replaced; partitions that a backfill leaves empty are dropped.
+Partitioned writes are dealt out by the partition columns, so each folder gets
+few files, and a value with many rows (a hot date or file) is salted over as
+many tasks as its rows need.  Backfills use dynamic partition overwrite so only
+the partitions present in the new data are replaced; partitions that a backfill
+leaves empty are dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+#: Rows of one partition value that one task writes.
+TASK_ROWS = 5_000_000
+
+
+def dealt(df: DataFrame, columns: tuple[str, ...], task_rows: int = TASK_ROWS) -> DataFrame:
+    """Rows by the values of ``columns``, those of large values in several parts.
+
+    The values with more than ``task_rows`` rows are broadcast: at most one for
+    every ``task_rows`` rows of the table.
+    """
+    names = [f"__c{i}" for i in range(len(columns))]
+    sizes = df.groupBy(*[F.col(c).alias(n) for c, n in zip(columns, names)]).agg(F.count(F.lit(1)).alias("__n"))
+    large = sizes.where(F.col("__n") > task_rows).withColumn("__n", F.ceil(F.col("__n") / task_rows))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(columns, names)])
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not _no_hash(df.schema[c].dataType)]), F.coalesce("__n", F.lit(1)))
+    return (df.join(F.broadcast(large), same, "left").withColumn("__salt", salt)
+            .repartition(*columns, "__salt").select(*[F.col(f"`{c}`") for c in df.columns]))
+
+
+def _no_hash(dt) -> bool:
+    return "map<" in dt.simpleString() or "variant" in dt.simpleString()
 
 
 def write_table(df: DataFrame, path: str, *, partition_by=(), mode: str = "overwrite",
@@ -21,7 +46,7 @@ def write_table(df: DataFrame, path: str, *, partition_by=(), mode: str = "overw
     if single_file:
         out = out.repartition(1)  # what comes before still runs in parallel
     elif partition_by and rebalance:
-        out = out.hint("rebalance", *partition_by)
+        out = dealt(out, tuple(partition_by))
     writer = out.write.mode(mode).format(fmt)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
