@@ -18,9 +18,9 @@ extended along the reference fragment, and what has none is added to the index.
 
 Anchors that occur once can't match and are dropped first (a count over
 anchors, partially aggregated).  An anchor of more than ``HOT`` occurrences is
-not parsed by one task: its windows are counted by content, the first place of
-every window is aggregated on the map side, and later ones become factors of
-one window.  This is exact too.
+not parsed by one task: its fragments are folded by content, their first place
+aggregated on the map side, and all later equal ones are factors; the windows of
+the different fragments are folded in the same way.  This is exact too.
 
 Equality is that of two 64-bit hashes, of the anchor and of the window.
 
@@ -191,11 +191,20 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
     blocks = fragments((F.col("n") > 1) & (F.col("n") <= hot)).repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
     factors = map_batches(blocks, _parse_blocks, "id long, tie long, start int, windows int")
-    windows = map_batches(fragments(F.col("n") > hot), _hot_windows, "anchor long, window long, id long, tie long, start int")
-    first = windows.groupBy("anchor", "window").agg(F.min(F.struct("id", "tie", "start")).alias("first"))
-    later = (windows.join(first, ["anchor", "window"]).where(F.struct("id", "tie", "start") != F.col("first"))
+    # of a hot anchor, equal fragments are folded: all but the first are factors ...
+    many = fragments(F.col("n") > hot)
+    place = F.struct("id", "tie", "start")
+    firsts = many.groupBy("anchor", "windows").agg(F.min(place).alias("first"))
+    repeats = (many.join(firsts, ["anchor", "windows"]).where(place != F.col("first"))
+               .select("id", "tie", "start", (F.octet_length("windows") / 8).cast("int").alias("windows")))
+    # ... and the windows of the different ones are compared one by one
+    windows = map_batches(firsts.select("anchor", "first.id", "first.tie", "first.start", "windows"), _hot_windows,
+                          "anchor long, window long, id long, tie long, start int")
+    first = windows.groupBy("anchor", "window").agg(F.min(place).alias("first"))
+    later = (windows.join(first, ["anchor", "window"]).where(place != F.col("first"))
              .select("id", "tie", "start", F.lit(1).alias("windows")))
-    return factors.unionByName(later).groupBy("id").agg(F.collect_list(F.struct("tie", "start", "windows")).alias("spans"))
+    return (factors.unionByName(repeats).unionByName(later)
+            .groupBy("id").agg(F.collect_list(F.struct("tie", "start", "windows")).alias("spans")))
 
 
 def own_spans(text: str | None, spans: list[dict] | None) -> list[dict]:
