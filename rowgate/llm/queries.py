@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowgate.llm import oracle
 from rowgate.llm.license_scan import op9_license_scan
 from rowgate.llm.line_frequency import op1_line_frequency
 from rowgate.llm.mixing import op5_pareto_mix
@@ -36,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
