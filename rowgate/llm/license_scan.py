@@ -3,10 +3,11 @@
 Candidate blocks are the surroundings of trigger words.  A block is compressed
 by itself and with each template as a raw zstandard dictionary; what the
 dictionary saves, as a share of the bytes that a template could save, is the
-template's *reduction*.  Templates are ranked by it, and the best are confirmed by
-exact wording: the template's words are aligned with the block's, the words
+template's *reduction*.  Every template whose telling words a block holds is tried
+by exact wording: the template's words are aligned with the block's, the words
 missing and the words inserted are listed, and a notice counts if few words
-differ and none of them is one that tells licences apart.
+differ and none of them is one that tells licences apart.  The reduction only
+decides between templates that fit the same words equally well.
 
 Every text is scanned whole, in one pass without a shuffle; the templates are
 fixed values.  Blocks are bounded: a run of triggers is cut into blocks that
@@ -33,10 +34,6 @@ LEVEL = 15
 BEFORE, AFTER = 200, 500
 #: Characters between the first and the last trigger of a block.
 SPAN = 1500
-#: Templates that are confirmed by wording: the best of those whose telling words a
-#: block holds.  (A block that repeats a notice hardly needs the template, so no
-#: least reduction is asked for.)
-WINNERS = 6
 #: Largest share of a template's words that may be missing, or inserted among them.
 MAX_DIFFERENT = 0.4
 _WORD = re.compile(r"[a-z0-9]+")
@@ -125,7 +122,7 @@ class Scanner:
             words = [s[0] for s in spans]
             taken: set[int] = set()
             ranked = [(r, -i) for r, i in self.reductions(block)]
-            ranked = [(r, i) for r, i in ranked if self.templates[i][1].issubset(words)][:WINNERS]
+            ranked = [(r, i) for r, i in ranked if self.templates[i][1].issubset(words)]
             winners = []
             for r, i in ranked:
                 for first, end, missing, inserted in self.placements(words, i):

@@ -401,3 +401,16 @@ def test_wording_decides():
     far = "word " * 5000 + "All rights reserved." + " word" * 5000
     assert [(x["start"], x["license"]) for x in scan(far)[1]] == [(25000, "all-rights-reserved")]
     assert len(scan("All rights reserved. " * 400)[1]) == 400
+
+
+def test_all_notices_of_a_block():
+    names = lambda t: [x["license"] for x in license_scan.Scanner().scan(t)[1]]
+    some = {"mit": "Licensed under the MIT License.", "bsd": "Licensed under the BSD License.", "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+            "mpl-2.0": "Licensed under the Mozilla Public License, version 2.0.", "lgpl-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
+            "cc-by-4.0": "Licensed under CC BY 4.0.", "all-rights-reserved": "All rights reserved."}
+    assert names(" ".join(some.values())) == list(some)
+    short: dict[str, str] = {}
+    for name, _, wording in license_scan.TEMPLATES:
+        short.setdefault(name, wording)
+    for order in (list(short), list(short)[::-1]):
+        assert names(".\n".join(short[n] for n in order)) == order
