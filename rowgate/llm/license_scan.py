@@ -1,7 +1,9 @@
 """License scans by conditional compression.
 
-Candidate blocks are the surroundings of trigger words.  A block is compressed
-by itself and with each template as a raw zstandard dictionary; what the
+A text is a stream of words (letters and digits), so that line ends, several blanks
+and comment marks between words count for nothing.  Candidate blocks are the
+surroundings of trigger words.  The words of a block are compressed
+by themselves and with each template as a raw zstandard dictionary; what the
 dictionary saves, as a share of the bytes that a template could save, is the
 template's *reduction*.  Every template whose telling words a block holds is tried
 by exact wording: the template's words are aligned with the block's, the words
@@ -11,7 +13,9 @@ decides between templates that fit the same words equally well.
 
 Every text is scanned whole, in one pass without a shuffle; the templates are
 fixed values.  Blocks are bounded: a run of triggers is cut into blocks that
-overlap, so each trigger is seen with all its surroundings.
+overlap, so each trigger is seen with more words on both sides than the longest
+template has.  What blocks confirm is weighed together, so that a notice which one
+block holds in part is found whole by the next.
 
 Defined cases: a null or empty text has no block and no licence; every input
 row gives one result row; an empty table gives an empty result.
@@ -19,7 +23,10 @@ row gives one result row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -30,40 +37,56 @@ from rowgate.llm.license_templates import TEMPLATES, TRIGGERS
 
 #: Compression level: the search must find short matches.
 LEVEL = 15
-#: Characters before and after a trigger that belong to its block.
-BEFORE, AFTER = 200, 500
-#: Characters between the first and the last trigger of a block.
-SPAN = 1500
 #: Largest share of a template's words that may be missing, or inserted among them.
 MAX_DIFFERENT = 0.4
 _WORD = re.compile(r"[a-z0-9]+")
 
 
-def candidate_blocks(text: str | None) -> list[tuple[int, int]]:
-    """Spans of a text that may hold a notice."""
-    if not text:
-        return []
+#: Words before and after a trigger that belong to its block: the longest template
+#: with all the words that may be inserted in it.
+REACH = math.ceil((1 + MAX_DIFFERENT) * max(len(_WORD.findall(t[2].lower())) for t in TEMPLATES))
+#: Words between the first and the last trigger of a block.
+SPAN = 250
+#: Triggers by their first words, with anything but words between theirs.
+_TRIGGERS = [(t.split()[0], re.compile("[^a-z0-9]++".join(t.split()))) for t in TRIGGERS]
+
+
+def lowered(text: str) -> str:
+    """A text in small letters, each at its old place."""
     low = text.lower()
     if len(low) != len(text):  # some capitals have longer small letters
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+    return low
+
+
+def candidate_blocks(low: str) -> tuple[array, array, list[tuple[int, int]]]:
+    """Where the words of a text start and end, and the spans of words that may hold
+    a notice (no words if there is no trigger)."""
     found: list[int] = []
-    for t in TRIGGERS:
-        at = low.find(t)
+    for word, trigger in _TRIGGERS:
+        at = low.find(word)
         while at >= 0:
-            found.append(at)
-            at = low.find(t, at + 1)
+            if trigger.match(low, at):
+                found.append(at)
+            at = low.find(word, at + 1)
+    starts, ends = array("q"), array("q")
     out: list[tuple[int, int]] = []
+    if not found:
+        return starts, ends, out
+    for m in _WORD.finditer(low):
+        starts.append(m.start())
+        ends.append(m.end())
     first = last = None
     for at in sorted(found):
-        if first is not None and at - last <= AFTER and at - first <= SPAN:
-            last = at
+        k = bisect_right(starts, at) - 1
+        if first is not None and k - last <= REACH and k - first <= SPAN:
+            last = k
             continue
         if first is not None:
-            out.append((max(0, first - BEFORE), min(len(text), last + AFTER)))
-        first = last = at
-    if first is not None:
-        out.append((max(0, first - BEFORE), min(len(text), last + AFTER)))
-    return out
+            out.append((max(0, first - REACH), min(len(starts), last + 1 + REACH)))
+        first = last = k
+    out.append((max(0, first - REACH), min(len(starts), last + 1 + REACH)))
+    return starts, ends, out
 
 
 class Scanner:
@@ -76,17 +99,18 @@ class Scanner:
         self.plain = z.ZstdCompressor(**options)
         self.templates = []
         for name, marks, wording in templates:
-            raw = wording.lower().encode()
+            own = _WORD.findall(wording.lower())
+            raw = " ".join(own).encode()
             given = z.ZstdCompressionDict(raw * (1 + 16 // len(raw)), dict_type=z.DICT_TYPE_RAWCONTENT)
-            self.templates.append((name, set(marks.split()), _WORD.findall(wording.lower()), z.ZstdCompressor(dict_data=given, **options), len(self.plain.compress(raw))))
+            self.templates.append((name, set(marks.split()), own, z.ZstdCompressor(dict_data=given, **options), len(self.plain.compress(raw))))
         #: Words that tell licences apart.
         self.marks = set().union(*(t[1] for t in self.templates)) - {"all", "use", "copy", "source", "free", "public", "general"}
 
-    def reductions(self, block: str) -> list[tuple[float, int]]:
-        """Templates by what they save of a block, best first."""
-        raw = block.lower().encode("utf-8", "replace")
+    def reductions(self, words: list[str], tried: list[int]) -> list[float]:
+        """What templates save of a block."""
+        raw = " ".join(words).encode()
         alone = len(self.plain.compress(raw))
-        return sorted(((alone - len(t[3].compress(raw))) / min(alone, t[4]), -i) for i, t in enumerate(self.templates))[::-1]
+        return [(alone - len(self.templates[i][3].compress(raw))) / min(alone, self.templates[i][4]) for i in tried]
 
     def placements(self, words: list[str], i: int) -> Iterator[tuple[int, int, list[str], list[str]]]:
         """Where a template may stand among a block's words, with the words that
@@ -114,30 +138,26 @@ class Scanner:
 
     def scan(self, text: str | None) -> tuple[int, list[dict]]:
         """The number of candidate blocks, and the notices confirmed in them."""
-        blocks = candidate_blocks(text)
-        hits: dict[tuple[str, int], dict] = {}
+        low = lowered(text or "")
+        starts, ends, blocks = candidate_blocks(low)
+        winners = []
         for a, b in blocks:
-            block = text[a:b]
-            spans = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(block.lower())]
-            words = [s[0] for s in spans]
-            taken: set[int] = set()
-            ranked = [(r, -i) for r, i in self.reductions(block)]
-            ranked = [(r, i) for r, i in ranked if self.templates[i][1].issubset(words)]
-            winners = []
-            for r, i in ranked:
+            words = [low[x:y] for x, y in zip(starts[a:b], ends[a:b])]
+            held = set(words)
+            tried = [i for i, t in enumerate(self.templates) if t[1] <= held]
+            for i, r in zip(tried, self.reductions(words, tried) if tried else []):
                 for first, end, missing, inserted in self.placements(words, i):
                     if self.confirmed(missing, inserted, i):
-                        winners.append((len(missing) + len(inserted), -len(self.templates[i][2]), -r, i, (first, end, missing, inserted)))
-            for _, _, r, i, (first, end, missing, inserted) in sorted(winners):
-                if taken & set(range(first, end)):
-                    continue
-                taken |= set(range(first, end))
-                name = self.templates[i][0]
-                start = a + spans[first][1]
-                hits.setdefault((name, start), {
-                    "license": name, "start": start, "end": a + spans[end - 1][2], "reduction": -r,
-                    "missing": missing, "inserted": inserted})
-        return len(blocks), [hits[k] for k in sorted(hits, key=lambda k: (k[1], k[0]))]
+                        winners.append((len(missing) + len(inserted), -len(self.templates[i][2]), -r, i, a + first, a + end, missing, inserted))
+        taken: set[int] = set()
+        hits: list[dict] = []
+        for _, _, r, i, first, end, missing, inserted in sorted(winners):
+            if not taken.isdisjoint(range(first, end)):
+                continue
+            taken.update(range(first, end))
+            hits.append({"license": self.templates[i][0], "start": starts[first], "end": ends[end - 1], "reduction": -r,
+                         "missing": missing, "inserted": inserted})
+        return len(blocks), sorted(hits, key=lambda h: h["start"])
 
 
 def _scan():

@@ -29,5 +29,6 @@ TEMPLATES = [
     ("cc-by-nc-nd-4.0", "cc by nc nd 4 0", "Licensed under CC BY-NC-ND 4.0"),
     ("all-rights-reserved", "all rights reserved", "All rights reserved"),
 ]
-#: Parts of words (lower case) near which a notice is looked for.
+#: Words and parts of words (lower case) near which a notice is looked for; between two
+#: words, anything that is no word may stand.
 TRIGGERS = ["licen", "rights reserved", "public domain", "hereby granted", "without fee", "redistribution", "mozilla public", "free software"]

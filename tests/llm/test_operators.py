@@ -414,3 +414,21 @@ def test_all_notices_of_a_block():
         short.setdefault(name, wording)
     for order in (list(short), list(short)[::-1]):
         assert names(".\n".join(short[n] for n in order)) == order
+
+
+@pytest.mark.parametrize("gap", ["\n", "  ", "\n# ", "\n * ", "\r\n\r\n// "])
+def test_wrapped_notices(gap):
+    scan = license_scan.Scanner().scan
+    for name, _, wording in license_scan.TEMPLATES:
+        own = gap.join(wording.split())
+        (hit,) = scan("\u0130 word " * 400 + own + gap + "word " * 400)[1]
+        assert (hit["license"], hit["start"], hit["missing"], hit["inserted"]) == (name, 2800, [], [])
+        assert own.startswith(("\u0130 word " * 400 + own)[2800:hit["end"]]) and hit["end"] >= 2800 + len(own) - 1
+
+
+def test_notices_across_blocks():
+    scan = license_scan.Scanner().scan
+    for name, wording in (("apache-2.0", license_scan.TEMPLATES[1][2]), ("mit", license_scan.TEMPLATES[4][2])):
+        for n in range(license_scan.SPAN - 60, license_scan.SPAN + 60):
+            (hit,) = scan("license " + "word license " * (n // 2) + "word. " * (n % 2) + wording)[1]
+            assert (hit["license"], hit["missing"]) == (name, [])
