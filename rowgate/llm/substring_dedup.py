@@ -76,20 +76,21 @@ def anchors(h: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[
 
 
 def text_tie(text: str | None) -> int:
-    """Order of rows with equal ids."""
-    return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+    """Order of rows with equal ids; the value of Spark's ``xxhash64``."""
+    n = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass"), 42)
+    return n - (1 << 64) if n >> 63 else n
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("start", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
     for batch in batches:
         for part in pieces(batch):
-            found = [(anchors(word_hashes(words_of(t)))[:2], i) for i, t in zip(part.column("id").to_pylist(), part.column("text").to_pylist())]
-            found = [(a, s, i) for (a, s), i in found if len(a)]
+            found = [(anchors(word_hashes(words_of(t)))[:2], k) for k, t in zip(part.column("key").to_pylist(), part.column("text").to_pylist())]
+            found = [(a, s, k) for (a, s), k in found if len(a)]
             if found:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([a for a, _, _ in found]).view(np.int64)),
-                    pa.array(np.concatenate([np.full(len(a), i, np.int64) for a, _, i in found])),
+                    pa.array(np.concatenate([np.full(len(a), k, np.int64) for a, _, k in found])),
                     pa.array(np.concatenate([s for _, s, _ in found]).astype(np.int32))], schema=schema)
 
 
@@ -176,18 +177,25 @@ def order_id(doc_id: Column | str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long") if isinstance(doc_id, str) else doc_id.cast("long"), F.lit(NO_ID))
 
 
+def place_key(doc_id: Column | str, text: Column | str) -> Column:
+    """One value for each id and text: rows that share an id, or have none, are told
+    apart by it, so what is gathered by it never exceeds one text's."""
+    return F.xxhash64(order_id(doc_id), F.xxhash64(F.coalesce(text, F.lit(""))))
+
+
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """``id, spans`` of ``id, text`` rows: factors as (tie, start, windows).
+    """``key, spans`` of ``key, id, text`` rows: factors as (tie, start, windows).
 
-    ``docs`` should be dealt by ``id``.  Every use of it keeps all its columns,
-    so that all read one and the same shuffle.
+    ``docs`` should be dealt by ``key``.  Every use of it keeps all its columns,
+    so that all read one and the same shuffle.  What is gathered by key is gathered
+    as a set: equal rows add nothing to it.
     """
-    found = map_batches(docs, _anchor_rows, "anchor long, id long, start int")
+    found = map_batches(docs, _anchor_rows, "anchor long, key long, start int")
     counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
 
     def fragments(some: Column) -> DataFrame:
-        wanted = (found.join(counts.where(some), "anchor").groupBy("id").agg(F.collect_list("start").alias("wanted")))
-        return map_batches(docs.join(wanted, "id"), _fragments, "anchor long, id long, tie long, start int, windows binary")
+        wanted = (found.join(counts.where(some), "anchor").groupBy("key").agg(F.collect_set("start").alias("wanted")))
+        return map_batches(docs.join(wanted, "key"), _fragments, "anchor long, id long, tie long, start int, windows binary")
 
     blocks = fragments((F.col("n") > 1) & (F.col("n") <= hot)).repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
     factors = map_batches(blocks, _parse_blocks, "id long, tie long, start int, windows int")
@@ -204,11 +212,11 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     later = (windows.join(first, ["anchor", "window"]).where(place != F.col("first"))
              .select("id", "tie", "start", F.lit(1).alias("windows")))
     return (factors.unionByName(repeats).unionByName(later)
-            .groupBy("id").agg(F.collect_list(F.struct("tie", "start", "windows")).alias("spans")))
+            .groupBy(F.xxhash64("id", "tie").alias("key")).agg(F.collect_set(F.struct("tie", "start", "windows")).alias("spans")))
 
 
 def own_spans(text: str | None, spans: list[dict] | None) -> list[dict]:
-    """The spans of this very text, of all that its id has."""
+    """The spans of this very text, of all that its key has."""
     if not text or not spans:
         return []
     tie = text_tie(text)
@@ -254,11 +262,11 @@ def cut_text(text: str, spans: list[dict]) -> str:
 
 def dedup_digests(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for every row of ``docs``."""
-    # dealt by id once: the fragments and the result both read this shuffle
+    # dealt by key once: the fragments and the result both read this shuffle
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text", order_id("doc_id").alias("id")).repartition(parts, "id")
+    rows = docs.select("doc_id", "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key")).repartition(parts, "key")
     spans = repeated_spans(rows, hot)
-    return map_rows(rows.join(spans, "id", "left").select("doc_id", "text", "spans"), lambda: _digest,
+    return map_rows(rows.join(spans, "key", "left").select("doc_id", "text", "spans"), lambda: _digest,
                     "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -267,8 +275,8 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
     documents that nothing is left of go."""
     schema = docs.schema
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (docs.select(F.struct(*docs.columns).alias("row"), "text", order_id("doc_id").alias("id"))
-            .withColumn("row", F.col("row").withField("text", F.lit(None).cast("string"))).repartition(parts, "id"))
+    rows = (docs.select(F.struct(*docs.columns).alias("row"), "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key"))
+            .withColumn("row", F.col("row").withField("text", F.lit(None).cast("string"))).repartition(parts, "key"))
     spans = repeated_spans(rows, hot)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +293,7 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 out = pa.RecordBatch.from_arrays(list(columns.values()), names=schema.names)
                 yield out.filter(pa.array([bool(b) or a == b for a, b in zip(texts, new)], pa.bool_()))
 
-    return map_batches(rows.join(spans, "id", "left").select("row", "text", "spans"), cut, schema)
+    return map_batches(rows.join(spans, "key", "left").select("row", "text", "spans"), cut, schema)
 
 
 def op2_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,21 @@ def test_dedup_small_and_empty(spark, small, none):
     assert substring_dedup.dedup_digests(none).count() == 0
 
 
+def test_rows_without_id_are_gathered_by_text(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(None if i % 3 else 7, f"own{i} {passage} {'x' * i} end{i} " + " ".join(f"w{i}v{k}" for k in range(20)), "en", "s", 0) for i in range(60)]
+    rows += rows[1:2] * 40 + rows[3:4] * 40  # rows equal in both
+    table = docs(spark, rows)
+    keyed = table.select("text", substring_dedup.order_id("doc_id").alias("id"), substring_dedup.place_key("doc_id", "text").alias("key"))
+    assert all(r.h == substring_dedup.text_tie(r.text) for r in table.select("text", F.xxhash64("text").alias("h")).collect())
+    for hot in (5000, 2):
+        spans = [r.spans for r in substring_dedup.repeated_spans(keyed, hot).collect()]
+        assert len(spans) == 59 and all(len({s.tie for s in x}) == 1 and len(set(x)) == len(x) <= 41 for x in spans)
+        want = plain_dedup([(r[0], r[1]) for r in rows])
+        got = substring_dedup.dedup_digests(table, hot).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(str((i, n, k, hashlib.sha256(b" ".join(x)).hexdigest())) for i, n, k, x in want)
+
+
 def test_anchors_depend_on_the_window_only():
     r = np.random.RandomState(0)
     h = r.randint(0, 1 << 62, 300).astype(np.uint64)
