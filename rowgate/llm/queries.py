@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowgate.llm import oracle
+from rowgate.llm.filter_audit import op13_filter_audit
+from rowgate.llm.itq import op12_itq_dedup
+from rowgate.llm.kronecker import op11_kronecker_negatives
 from rowgate.llm.license_scan import op9_license_scan
 from rowgate.llm.line_frequency import op1_line_frequency
 from rowgate.llm.mixing import op5_pareto_mix
@@ -29,6 +32,9 @@ QUERIES = {f.__name__: f for f in (
     op8_sentencepiece,
     op9_license_scan,
     op10_token_files,
+    op11_kronecker_negatives,
+    op12_itq_dedup,
+    op13_filter_audit,
 )}
 
 
