@@ -41,7 +41,7 @@ def original(contract) -> Contract:
     if ID in contract.column_names:
         keys += (UniqueKey((ID,)),)
     rules = tuple(r if r.message else KNOWN_RULES.get(r.name, r) for r in contract.business_rules)
-    return replace(contract, unique_keys=keys, business_rules=rules, on_bad_rule="skip")
+    return replace(contract, unique_keys=keys, business_rules=rules, on_bad_rule="skip", on_rule_error="pass")
 
 
 class ContractValidator:

@@ -36,7 +36,7 @@ _RULE_KEYS = {"name", "assert", "condition", "message", "description"}
 _KEY_KEYS = {"columns", "scope", "hashed", "name", "null_keys"}
 _TOP_KEYS = {
     "dataset", "version", "schema", "business_rules", "unique_keys",
-    "file_column", "on_bad_rule", "description",
+    "file_column", "on_bad_rule", "on_rule_error", "description",
 }
 
 
@@ -100,6 +100,7 @@ class Contract:
     version: str | None = None
     file_column: str = "_source_file"
     on_bad_rule: str = "fail"
+    on_rule_error: str | None = None
     raw: Mapping[str, Any] = field(default_factory=dict, compare=False, repr=False)
 
     # ------------------------------------------------------------------ load
@@ -181,6 +182,9 @@ class Contract:
         on_bad = doc.get("on_bad_rule", "fail")
         if on_bad not in ("fail", "skip"):
             raise ContractError(f"on_bad_rule must be fail or skip, got {on_bad!r}")
+        on_error = doc.get("on_rule_error")
+        if on_error not in (None, "fail", "flag", "pass"):
+            raise ContractError(f"on_rule_error must be fail, flag or pass, got {on_error!r}")
         version = doc.get("version")
         return cls(
             columns=tuple(columns),
@@ -190,10 +194,17 @@ class Contract:
             version=None if version is None else str(version),
             file_column=doc.get("file_column", "_source_file"),
             on_bad_rule=on_bad,
+            on_rule_error=on_error,
             raw=dict(doc),
         )
 
     # --------------------------------------------------------------- helpers
+    @property
+    def rule_errors(self) -> str:
+        """What a business rule that fails on a row does: ``fail`` the job, ``flag``
+        the row, or ``pass`` it.  Where bad rules are skipped, rows are flagged."""
+        return self.on_rule_error or ("flag" if self.on_bad_rule == "skip" else "fail")
+
     @property
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
@@ -207,7 +218,7 @@ class Contract:
     def with_rules(self, business_rules) -> "Contract":
         """Copy with another business-rule list (used after rule checking)."""
         return Contract(self.columns, tuple(business_rules), self.unique_keys, self.dataset,
-                        self.version, self.file_column, self.on_bad_rule, self.raw)
+                        self.version, self.file_column, self.on_bad_rule, self.on_rule_error, self.raw)
 
 
 def _norm_type(value: Any) -> str | None:

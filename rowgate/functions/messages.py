@@ -20,6 +20,7 @@ DUPLICATE = "{key}: duplicate {key} found across files"
 # Messages of checks the original tool did not have.
 DUPLICATE_IN_FILE = "{key}: duplicate {key} found within file"
 STRICT_SCALE = "{column}: '{value}' has more decimals than {type}"
+RULE_ERROR = "business_rule: {name} could not be evaluated"
 MALFORMED = "row: wrong number of fields or unclosed quote"
 
 

@@ -27,8 +27,8 @@ VIOLATION_TYPE = T.StructType([
 ])
 
 # Rule kinds, in the order rules are collected for a row.
-KIND_ORDER = ("required", "allowed_values", "type", "regex", "range", "business_rule", "unique",
-              "malformed")
+KIND_ORDER = ("required", "allowed_values", "type", "regex", "range", "business_rule", "rule_error",
+              "unique", "malformed")
 
 
 def sql_string(text: str | None) -> str:
@@ -201,14 +201,50 @@ def render_template(template: str, sql_of) -> str:
     return "concat(" + ", ".join(parts) + ")" if parts else "''"
 
 
+def broken(rule: BusinessRule) -> str:
+    """SQL of the predicate that a row violates a business rule."""
+    bad = f"NOT ({rule.assert_sql})"
+    return f"({rule.condition}) AND {bad}" if rule.condition else bad
+
+
+def null_on_error(column: Column, spark) -> Column:
+    """``column``, or null where its evaluation raises an error.
+
+    The expression stands in a lambda: elsewhere Spark may evaluate what two
+    expressions share ahead of both, outside of what catches the error.
+    """
+    from pyspark.sql.classic.column import Column as ClassicColumn
+
+    utils = spark._jvm.org.apache.spark.sql.classic.ExpressionUtils
+
+    def tried(_: Column) -> Column:
+        inner = utils.expression(column._jc)
+        return ClassicColumn(utils.column(spark._jvm.org.apache.spark.sql.catalyst.expressions.TryEval(inner)))
+
+    return F.transform(F.array(F.lit(0)), tried)[0]
+
+
+def tried(rules: list[BusinessRule], spark) -> Column:
+    """A struct with one field for every rule: a struct with its predicate (``bad``),
+    or null where the rule fails on the row.  Any error counts: a division by zero, an
+    overflow, a cast, an index."""
+    return F.struct(*[null_on_error(F.struct(F.expr(broken(r)).alias("bad")), spark).alias(f"r{i}") for i, r in enumerate(rules)])
+
+
+def business_tried(rule: BusinessRule, result: Column, sql_of, flag_errors: bool) -> list[Check]:
+    """The checks of a rule whose predicate was tried: violated, and not evaluated."""
+    checks = [Check(result["bad"], business(rule, sql_of).value)]
+    if flag_errors:
+        checks.append(when_violated(result.isNull(), "rule_error", None, rule.name, F.lit(M.RULE_ERROR.format(name=rule.name))))
+    return checks
+
+
 def business(rule: BusinessRule, sql_of) -> Check:
     """Violated when ``condition AND NOT assert`` is true; null counts as pass.
 
     Built as two SQL expressions (predicate, violation struct) so a contract
     with hundreds of rules plans quickly."""
-    bad = f"NOT ({rule.assert_sql})"
-    if rule.condition:
-        bad = f"({rule.condition}) AND {bad}"
+    bad = broken(rule)
     if rule.message:
         head, tail = M.BUSINESS_RULE.format(name=rule.name, message="\0").split("\0")
         msg = f"concat({sql_string(head)}, {render_template(rule.message, sql_of)}, {sql_string(tail)})"
@@ -235,20 +271,37 @@ def flags(checks: list[Check]) -> Column:
     return F.array(*[F.when(c.bad, F.lit(i)) for i, c in enumerate(checks)])
 
 
+#: Rules of one branch when a violation is looked up by its rule's number.
+BRANCH = 32
+
+
+def is_clean(found: Column) -> Column:
+    """No rule is violated (a compiled pass over the numbers)."""
+    return F.array_max(found).isNull()
+
+
 def collect(found: Column, checks: list[Check]) -> Column:
     """The violations of the rules in ``found`` (a column of :func:`flags`),
     in rule order.  Messages are built for violations only: a row without one
-    evaluates none."""
+    runs no lambda."""
     if not checks:
         return _none()
 
+    def branch(i: Column, start: int) -> Column:
+        out = None
+        for n, c in enumerate(checks[start:start + BRANCH], start):
+            out = F.when(i == n, c.value) if out is None else out.when(i == n, c.value)
+        return out
+
     def value(i: Column) -> Column:
-        out = F.when(i == 0, checks[0].value)
-        for n, c in enumerate(checks[1:], 1):
-            out = out.when(i == n, c.value)
+        out = None
+        for start in range(0, len(checks), BRANCH):
+            own = branch(i, start)
+            out = F.when(i < start + BRANCH, own) if out is None else out.when(i < start + BRANCH, own)
         return out
 
-    return F.transform(F.filter(found, lambda i: i.isNotNull()), value)
+    some = F.transform(F.filter(found, lambda i: i.isNotNull()), value)
+    return F.when(is_clean(found), _none()).otherwise(some)
 
 
 def reasons(violations: Column) -> Column:

@@ -23,13 +23,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contract import BusinessRule, Contract, ContractError
+from ..contract import SCOPE_DATASET, BusinessRule, Contract, ContractError
 from ..functions import messages as M
 from ..functions import rules as R
 from ..functions import types as ty
+from . import key_state
 from . import keys as K
 
 RAW = "__raw_"
+#: The business rules' predicates, each null where it fails on the row.
+TRIED = "__tried"
 
 
 @dataclass(frozen=True)
@@ -194,7 +197,11 @@ def row_checks(sc: _Scope, contract: Contract, rules: list[BusinessRule]) -> lis
         parts["range"].extend(R.ranges(spec, raw, raw_type, typed))
     checks = [c for k in ("required", "allowed", "type", "regex", "range") for c in parts[k] if c is not None]
     sql_of = _sql_of(sc)
-    checks.extend(R.business(rule, sql_of) for rule in rules)
+    if contract.rule_errors == "fail":
+        checks.extend(R.business(rule, sql_of) for rule in rules)
+    else:
+        for i, rule in enumerate(rules):
+            checks.extend(R.business_tried(rule, F.col(f"{TRIED}.r{i}"), sql_of, contract.rule_errors == "flag"))
     return checks
 
 
@@ -207,6 +214,11 @@ def _missing(df: DataFrame, contract: Contract, on_missing: str) -> DataFrame:
     raise ContractError(f"columns missing from data: {missing}")
 
 
+def with_contract_columns(df: DataFrame, contract: Contract, on_missing: str) -> DataFrame:
+    """``df`` with the contract's columns under its spelling."""
+    return _missing(_own_names(df, contract), contract, on_missing)
+
+
 def evaluate(
     df: DataFrame,
     contract,
@@ -218,17 +230,20 @@ def evaluate(
     on_missing: str = "fail",
     hot_key_rows: int = K.DEFAULT_HOT_KEY_ROWS,
     max_hot_keys: int = K.DEFAULT_MAX_HOT_KEYS,
+    key_totals: DataFrame | None = None,
 ) -> DataFrame:
     """Judge every row of ``df`` against ``contract``.
 
     Row count and input columns are preserved; see module doc for the added
     columns.  ``as_of`` is the date business rules see as ``as_of`` (one
     literal per call, today in the session's time zone by default, so every
-    action of a run agrees on it).  Columns that differ from the contract's
+    action of a run agrees on it).  ``key_totals`` (``rule, digest, n``) are counts of
+    dataset keys made elsewhere (:mod:`rowgate.operators.key_state`); such keys are
+    not counted on ``df``.  Columns that differ from the contract's
     names in case only come out under the contract's spelling.
     """
     contract = Contract.load(contract)
-    df = _missing(_own_names(df, contract), contract, on_missing)
+    df = with_contract_columns(df, contract, on_missing)
     original = list(df.columns)
 
     flags: list[tuple] = []
@@ -239,12 +254,18 @@ def evaluate(
         file_id = "_source_path"
     if include_unique:
         flags = [(key, f"__dup{i}") for i, key in enumerate(contract.unique_keys)]
-        df = K.flag_all(df, [(K.key_columns(key, file_id), flag, key.hashed, key.null_keys) for key, flag in flags],
+        elsewhere = [(key, flag) for key, flag in flags if key_totals is not None and key.scope == SCOPE_DATASET]
+        df = K.flag_all(df, [(K.key_columns(key, file_id), flag, key.hashed, key.null_keys) for key, flag in flags if (key, flag) not in elsewhere],
                         strategy=unique_strategy, hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys)
+        for key, flag in elsewhere:
+            df = K.flag_counted(df, key_state.digest(df, key), key_totals.where(F.col("rule") == key_state.rule_id(key)).select("digest", "n"), flag,
+                                hot_key_rows=hot_key_rows, max_hot_keys=max_hot_keys)
 
     sc = _Scope(df, contract, as_of)
     scope = sc.df
     rules, _ = check_rules(scope, contract)
+    if rules and contract.rule_errors != "fail":
+        scope = scope.withColumn(TRIED, R.tried(rules, scope.sparkSession))
     checks = row_checks(sc, contract, rules)
     checks.extend(R.duplicate(key, F.col(flag)) for key, flag in flags)
     if reject_malformed and "_malformed" in scope.columns:
@@ -255,7 +276,7 @@ def evaluate(
     flagged = scope.withColumn("__flags", R.flags(checks))
     # the flags are read twice, so Spark keeps them in a projection of their own
     verdict = flagged.select(*out, R.collect(F.col("__flags"), checks).alias("violations"),
-                             (~F.exists("__flags", lambda i: i.isNotNull())).alias("__valid"))
+                             R.is_clean(F.col("__flags")).alias("__valid"))
     return verdict.select(*[ty.column(c) for c in original], "violations",
                           R.reasons(F.col("violations")).alias("rejection_reasons"), F.col("__valid").alias("is_valid"))
 
@@ -311,18 +332,21 @@ def rule_catalog(df: DataFrame, contract) -> DataFrame:
         rows, "position int, kind string, column string, rule string, detail string, status string, note string")
 
 
-def rule_hits(catalog: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The catalog with each rule's violation count over a verdict frame.
+def rule_hits(catalog: DataFrame, verdict: DataFrame, errors: bool = False) -> DataFrame:
+    """The catalog with each rule's violation count over a verdict frame, and with
+    ``errors`` the rows on which a business rule could not be evaluated.
 
     The counts are one aggregation over the data (map-side partial); both
     sides of the join hold at most one row per contract rule, so the
     broadcast is bounded by the contract's size."""
     from .route import summary_by_rule
 
-    hits = summary_by_rule(verdict).select(
-        F.col("kind").alias("h_kind"), F.col("column").alias("h_column"), F.col("rule").alias("h_rule"),
-        "violations")
+    failed = F.col("kind") == "rule_error"
+    counted = [F.sum(F.when(~failed, F.col("violations"))).alias("violations"), F.sum(F.when(failed, F.col("violations"))).alias("errors")]
+    hits = (summary_by_rule(verdict)
+            .groupBy(F.when(failed, "business_rule").otherwise(F.col("kind")).alias("h_kind"), F.col("column").alias("h_column"),
+                     F.col("rule").alias("h_rule")).agg(*counted))
     on = ((catalog["kind"] == hits["h_kind"]) & catalog["column"].eqNullSafe(hits["h_column"])
           & (catalog["rule"] == hits["h_rule"]))
     return (catalog.join(F.broadcast(hits), on, "left")
-            .select(*catalog.columns, F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))
+            .select(*catalog.columns, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("violations", *(["errors"] if errors else []))]))

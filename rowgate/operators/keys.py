@@ -17,14 +17,16 @@ Built to survive a key that holds a third of all rows:
 3. Every other row is flagged by a null-safe equi-join against the duplicate
    keys.  Hot rows enter that join with a salt that the duplicate side never
    carries (it has salt 0), so they spread over all shuffle partitions and
-   match nothing.  The salt is a hash of the row's own values: a map task that
-   runs again deals the same rows to the same partitions.  Hot keys beyond the
+   match nothing.  The salt is a hash of the row's own values, computed for hot
+   rows only: a map task that runs again deals the same rows to the same
+   partitions.  Hot keys beyond the
    top-k bound are matched exactly there (AQE skew-join splits what remains).
    When the duplicate set is small AQE turns the join into a broadcast at run
    time, after measuring it.
 
-Strategies ``aggregate`` and ``window`` are two names of this one plan: a
-window over a key would gather each key's rows in one task.
+Strategy ``window`` replaces step 3 by a count over each key's rows, hot rows
+apart under their salts: one shuffle and sort of the rows in place of a join.  A
+key with fewer rows than ``hot_key_rows`` is one window group.
 
 ``hashed=True`` groups by SHA-256 digests of the keys instead of the values,
 so long texts are not shuffled during counting (exact up to a SHA-256
@@ -35,7 +37,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +49,7 @@ DEFAULT_MAX_HOT_KEYS = 10_000
 MAX_HOT_KEY_BYTES = 1024
 
 
-def _normalised(df: DataFrame, name: str, hashed: bool) -> Column:
+def normalised(df: DataFrame, name: str, hashed: bool = False) -> Column:
     if name not in df.columns:
         raise ContractError(f"unique key column {name!r} not in data")
     col = ty.column(name)
@@ -83,14 +85,27 @@ def flag_all(df: DataFrame, keys: list[tuple[list[str], str, bool, str]], *, str
     is counted on ``df`` itself."""
     if strategy not in ("aggregate", "window"):
         raise ValueError(f"unknown uniqueness strategy {strategy!r}")
-    if not keys:
-        return df
-    hashable = [c for c in df.columns if not _holds_map(df.schema[c].dataType)]
-    row_salt = F.xxhash64(*[ty.column(c) for c in hashable]) if hashable else F.lit(1).cast("long")
-    out = df.withColumn("__row", F.when(row_salt == 0, F.lit(1).cast("long")).otherwise(row_salt))
+    out = df
     for i, (columns, flag, hashed, null_keys) in enumerate(keys):
-        out = _flag_one(out, df, f"__k{i}_", columns, flag, hashed, null_keys, hot_key_rows, max_hot_keys)
-    return out.drop("__row")
+        out = _flag_one(out, df, f"__k{i}_", columns, flag, hashed, null_keys, hot_key_rows, max_hot_keys, strategy)
+    return out
+
+
+def flag_counted(df: DataFrame, code: Column, totals: DataFrame, flag: str, *, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+                 max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+    """``df`` plus ``flag`` by counts made elsewhere: ``totals`` has ``digest, n`` of
+    the keys whose digest is ``code`` (null: never a duplicate)."""
+    name = f"{flag}_code"
+    dups = totals.where("n > 1").select(F.col("digest").alias(name), F.col("n").alias("__n"))
+    hot = (dups.where(F.col("__n") >= hot_key_rows).orderBy(F.desc("__n"), name).limit(max_hot_keys)
+           .select(F.col(name).alias(f"{name}_h"), F.lit(True).alias("__hot")))
+    return _flag_by(df.withColumn(name, code), df.columns, [name], dups, hot, [f"{name}_h"], F.col(name).isNull(), flag, "aggregate")
+
+
+def _row_salt(names: list[str], df: DataFrame) -> Column:
+    """A hash of a row's values, never 0."""
+    hashable = [c for c in names if not _holds_map(df.schema[c].dataType)]
+    return (F.xxhash64(*[ty.column(c) for c in hashable]) if hashable else F.lit(1).cast("long")).bitwiseOR(F.lit(1).cast("long"))
 
 
 def _holds_map(dt: T.DataType) -> bool:
@@ -113,10 +128,10 @@ def _width(df: DataFrame, column: str, name: str, hashed: bool) -> Column | None
 
 
 def _flag_one(out: DataFrame, df: DataFrame, prefix: str, columns: list[str], flag: str, hashed: bool, null_keys: str,
-              hot_key_rows: int, max_hot_keys: int) -> DataFrame:
+              hot_key_rows: int, max_hot_keys: int, strategy: str) -> DataFrame:
     """``out`` (rows of ``df`` with flags of other keys) plus the flag of one key."""
     names = [f"{prefix}k{j}" for j in range(len(columns))]
-    normal = [_normalised(df, c, hashed).alias(n) for c, n in zip(columns, names)]
+    normal = [normalised(df, c, hashed).alias(n) for c, n in zip(columns, names)]
     # "ignore": rows with a null key column are never duplicates; they skip
     # the count and enter the join salted (spread out, never matching).
     any_null = (reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
@@ -139,10 +154,19 @@ def _flag_one(out: DataFrame, df: DataFrame, prefix: str, columns: list[str], fl
         .limit(max_hot_keys)
         .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.lit(True).alias("__hot"))
     )
-    base = out.select("*", *normal)
+    return _flag_by(out.select("*", *normal), df.columns, names, dups, hot, hot_names, any_null, flag, strategy)
+
+
+def _flag_by(base: DataFrame, of_row: list[str], names: list[str], dups: DataFrame, hot: DataFrame, hot_names: list[str], any_null: Column,
+             flag: str, strategy: str) -> DataFrame:
+    """Rows of ``base`` flagged by the hot keys (broadcast) and all duplicate keys."""
     marked = base.join(F.broadcast(hot), _null_safe(names, hot_names), "left").drop(*hot_names)
-    marked = marked.withColumn("__salt", F.when(F.col("__hot") | any_null, F.col("__row")).otherwise(F.lit(0)))
-    dup_names = [f"{prefix}d{j}" for j in range(len(names))]
+    marked = marked.withColumn("__salt", F.when(F.col("__hot") | any_null, _row_salt(of_row, base)).otherwise(F.lit(0).cast("long")))
+    if strategy == "window":
+        again = F.count(F.lit(1)).over(Window.partitionBy(*names, "__salt")) > 1
+        is_dup = F.coalesce(F.col("__hot"), again & ~any_null)
+        return marked.withColumn(flag, is_dup).drop(*names, "__hot", "__salt")
+    dup_names = [f"{n}_d" for n in names]
     dup_side = dups.select(*[F.col(n).alias(d) for n, d in zip(names, dup_names)],
                            F.lit(0).cast("long").alias("__dsalt"), F.lit(True).alias("__dup"))
     joined = marked.join(dup_side, _null_safe(names, dup_names) & (F.col("__salt") == F.col("__dsalt")), "left")
@@ -156,5 +180,5 @@ def _null_safe(left: list[str], right: list[str]) -> Column:
 
 def key_counts(df: DataFrame, columns: list[str], hashed: bool = False) -> DataFrame:
     """Occurrences per normalised key (for summaries and tests)."""
-    return (df.select(*[_normalised(df, c, hashed).alias(c) for c in columns])
+    return (df.select(*[normalised(df, c, hashed).alias(c) for c in columns])
             .groupBy(*columns).agg(F.count(F.lit(1)).alias("occurrences")))

@@ -46,8 +46,8 @@ def silver(v: DataFrame, contract=None, *, typed: bool = False, extra: tuple[str
 def quarantine(v: DataFrame, contract=None, *, extra: tuple[str, ...] = ()) -> DataFrame:
     """invalid rows with their reasons and lineage columns."""
     cols = _contract_columns(v, contract)
-    keep = [c for c in ("rejection_reasons", "violations", *extra) if c in v.columns]
-    meta = [c for c in v.columns if c.startswith("_") and c not in cols]
+    keep = [c for c in ("rejection_reasons", "violations", *extra) if c in v.columns and c not in cols]
+    meta = [c for c in v.columns if c.startswith("_") and c not in cols and c not in keep]
     return v.where(~F.col("is_valid")).select(*cols, *keep, *meta)
 
 

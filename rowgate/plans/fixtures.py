@@ -153,10 +153,17 @@ def _field(c: Column, sep: Column) -> Column:
 LATE_MODULUS = 11
 
 
-def feed_lines(spark: SparkSession, sf_dir: str, *, late: bool = False) -> DataFrame:
+# Year whose rows carry the ids of the next order but one, in the fixture of other ids.
+OTHER_IDS_YEAR, OTHER_IDS_STEP = 1996, 2
+
+
+def feed_lines(spark: SparkSession, sf_dir: str, *, late: bool = False, other_ids: bool = False) -> DataFrame:
     """Every feed row as one delimited line, with the folder it belongs to."""
     d = dirty_orders(spark, sf_dir, with_year=True)
     k = F.col("order_key")
+    if other_ids:
+        d = d.withColumn("record_id", F.when(F.col("order_year") == OTHER_IDS_YEAR, F.concat(F.lit("K"), (k + OTHER_IDS_STEP).cast("string")))
+                         .otherwise(F.col("record_id")))
     sep = (F.when(k % SEP_MODULUS == PIPE_RESIDUE, F.lit("|"))
            .when(k % SEP_MODULUS == SEMI_RESIDUE, F.lit(";")).otherwise(F.lit(",")))
     d = d.withColumn("__sep", sep)
@@ -181,12 +188,13 @@ def _write_lines(lines: DataFrame, out_dir: str, header: str, mode: str) -> None
      .write.mode(mode).options(header="true", **_VERBATIM).partitionBy("folder").csv(out_dir))
 
 
-def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: bool = False, late: bool = False) -> str:
+def write_feed_files(spark: SparkSession, sf_dir: str, out_dir: str, *, drift: bool = False, late: bool = False, other_ids: bool = False) -> str:
     """Write the feed as text, one folder per order year (``orders_<yyyy>-01-01``),
     every file starting with a header line.  With ``drift`` the files of one
     year carry a header with two columns swapped and one renamed; with ``late``
-    some rows come in the files of the next year.  Returns ``out_dir``."""
-    lines = feed_lines(spark, sf_dir, late=late)
+    some rows come in the files of the next year; with ``other_ids`` one year's rows
+    carry other rows' ids.  Returns ``out_dir``."""
+    lines = feed_lines(spark, sf_dir, late=late, other_ids=other_ids)
     header = ",".join(FEED_COLUMNS)
     if not drift:
         _write_lines(lines, out_dir, header, "overwrite")

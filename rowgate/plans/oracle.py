@@ -289,6 +289,11 @@ def _backfill(dynamic: bool, late: bool = False) -> str:
     return head + f"SELECT {TEXT_COLS} FROM run1 WHERE len(vs) = 0 AND file_year <> 1996\nUNION ALL\n" + second
 
 
+def _backfill_keys() -> str:
+    """The verdict of all files in one run; keys are text as the files hold them."""
+    return feed_verdict(ALL_FEED_RULES).replace("SELECT order_key,", "SELECT CAST(order_key AS VARCHAR) AS order_key,")
+
+
 def _report_csv() -> str:
     rules = ",\n      ".join(ALL_FEED_RULES)
     rows = ("SELECT CAST(order_key AS VARCHAR) AS order_key, CAST(r.i - 1 AS VARCHAR) AS violation_index, r.vs[r.i].kind AS kind, "
@@ -329,6 +334,32 @@ SELECT {LINE_KEYS}, 'allowed_values', 'l_linenumber', 'allowed_values'
 FROM lineitem WHERE l_linenumber IS NOT NULL AND l_linenumber NOT IN (1, 2, 3)
 """
 
+# name, rows on which the rule fails, rows that break it
+_FAILING = [
+    ("price_per_line", "l_linenumber = 1", "NOT (l_extendedprice / (l_linenumber - 1) > 5000)"),
+    ("line_price_again", "l_returnflag <> 'N' AND l_linenumber = 1", "l_returnflag <> 'N' AND NOT (l_extendedprice / (l_linenumber - 1) > 9000)"),
+    ("step_of_line", "l_linenumber > 3", "l_linenumber = 3"),
+    ("flag_is_a_number", "l_linestatus = 'O'", "FALSE"),
+    ("key_fits", "l_orderkey > 1073", "NOT (l_orderkey > 0)"),
+]
+
+
+def _runtime_errors() -> str:
+    parts = []
+    for name, fails, breaks in _FAILING:
+        for kind, where, text in (("rule_error", fails, f"business_rule: {name} could not be evaluated"),
+                                  ("business_rule", f"NOT ({fails}) AND ({breaks})", f"business_rule: {name} failed")):
+            parts.append(f"SELECT {LINE_KEYS}, {lit(kind)} AS kind, NULL::varchar AS \"column\", {lit(name)} AS rule, {lit(text)} AS violation "
+                         f"FROM lineitem WHERE {where}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _error_counts() -> str:
+    parts = [f"SELECT {lit(name)} AS rule, 'ok' AS status, count(*) FILTER (WHERE NOT ({fails}) AND ({breaks})) AS violations, "
+             f"count(*) FILTER (WHERE {fails}) AS errors FROM lineitem" for name, fails, breaks in _FAILING]
+    return "\nUNION ALL\n".join([*parts, "SELECT 'no_such', 'skipped', 0, 0"])
+
+
 NULL_KEYS = f"""WITH {FEED}
 SELECT order_key, 'unique' AS kind, 'record_id' AS "column", 'unique' AS rule,
        'record_id: duplicate record_id found across files' AS violation
@@ -485,6 +516,9 @@ def oracle_sql() -> dict[str, str]:
         "drift": DRIFT,
         "backfill_late_rows": _backfill(True, late=True),
         "report_csv": _report_csv(),
+        "backfill_keys": _backfill_keys(),
+        "rule_runtime_errors": _runtime_errors(),
+        "rule_error_counts": _error_counts(),
         "run_metrics": _run_metrics(),
         "ingest_time": "SELECT count(*) AS lines, CAST(1 AS BIGINT) AS times FROM orders",
         "ingest_header_order": HEADER_ORDER,

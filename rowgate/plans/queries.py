@@ -17,6 +17,7 @@ from ..contract import Contract
 from ..operators import route
 from ..operators.evaluate import evaluate
 from ..session import fresh_dir
+from ..sinks.versions import Outputs
 from ..sources.delimited import header_drift as _header_drift
 from ..sources.delimited import path_date, read_delimited
 from . import fixtures as fx
@@ -96,6 +97,31 @@ def rule_assert(spark, sf_dir):
                          ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
+#: Rules that fail on some rows: a division by zero, an index, a cast, an overflow.
+FAILING_RULES = {"schema": [], "on_bad_rule": "skip", "business_rules": [
+    {"name": "price_per_line", "assert": "l_extendedprice / (l_linenumber - 1) > 5000"},
+    {"name": "line_price_again", "assert": "l_extendedprice / (l_linenumber - 1) > 9000", "condition": "l_returnflag <> 'N'"},
+    {"name": "step_of_line", "assert": "element_at(array(1, 5, 9), l_linenumber) < 9"},
+    {"name": "flag_is_a_number", "assert": "cast(if(l_linestatus = 'O', l_returnflag, '7') as int) = 7"},
+    {"name": "key_fits", "assert": "cast(l_orderkey as int) * 2000000 > 0"},
+    {"name": "no_such", "assert": "no_such_column > 0"},
+]}
+
+
+def rule_runtime_errors(spark, sf_dir):
+    """Rules that fail on rows flag these rows, and judge all others."""
+    return _table_report(spark, sf_dir, "lineitem", FAILING_RULES, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
+def rule_error_counts(spark, sf_dir):
+    """The catalogue of such rules with their violations and errors."""
+    from ..operators.evaluate import rule_catalog as catalog_of, rule_hits
+
+    lines = fx.table(spark, sf_dir, "lineitem")
+    v = evaluate(lines, FAILING_RULES, as_of=fx.AS_OF)
+    return rule_hits(catalog_of(lines, FAILING_RULES), v, errors=True).select("rule", "status", "violations", "errors")
+
+
 def rule_conditional_assert(spark, sf_dir):
     contract = {"schema": [], "business_rules": [
         {"name": "purchase_value_at_least_one", "condition": "event_type = 'purchase'",
@@ -246,18 +272,11 @@ def stage_counts(spark, sf_dir):
 
 
 # ------------------------------------------------- sinks, written and re-read
-def _read_back(spark, path: str, like: DataFrame, columns: list[str]) -> DataFrame:
-    """Read an output with the schema it was written with (partition columns
-    keep their type instead of being re-inferred)."""
-    schema = T.StructType([like.schema[c] for c in columns])
-    return spark.read.schema(schema).parquet(path)
-
-
 def silver(spark, sf_dir):
     feed = fx.dirty_orders(spark, sf_dir)
     out = fresh_dir(spark, "silver")
     run(spark, feed, out, fx.feed_contract(), as_of=fx.AS_OF)
-    return _read_back(spark, f"{out}/silver", feed, fx.FEED_COLUMNS)
+    return Outputs(spark, out).read("silver").select(*fx.FEED_COLUMNS)
 
 
 def silver_typed(spark, sf_dir):
@@ -348,6 +367,20 @@ def report_csv(spark, sf_dir):
     return rows.select(*[F.col(c).cast("string") for c in ("order_key", "violation_index", *REPORT_COLS, "file_date")])
 
 
+def backfill_keys(spark, sf_dir):
+    """Keys across runs: files of 1996 whose ids are those of other years' rows, then the
+    true ones read again.  Rows of files that are not read lose their twins, or get one;
+    the verdict is that of one run over all files."""
+    root = _feed_files(spark, sf_dir, "feed-text")
+    other = fx.write_feed_files(spark, sf_dir, fresh_dir(spark, "feed-other-ids"), other_ids=True)
+    out = fresh_dir(spark, "backfill-keys")
+    contract = fx.feed_contract()
+    run(spark, other, out, contract, as_of=fx.AS_OF, keys_across_runs=True)
+    run(spark, root, out, contract, as_of=fx.AS_OF, start="1996-01-01", end="1996-12-31")
+    v = Outputs(spark, out).read("verdict")
+    return v.select("order_key", "record_id", "is_valid", "rejection_reasons", F.size("violations").alias("n_violations"))
+
+
 def run_metrics(spark, sf_dir):
     """The history row of a run over the feed."""
     out = fresh_dir(spark, "metrics")
@@ -486,6 +519,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift": drift,
     "backfill_late_rows": backfill_late_rows,
     "report_csv": report_csv,
+    "backfill_keys": backfill_keys,
+    "rule_runtime_errors": rule_runtime_errors,
+    "rule_error_counts": rule_error_counts,
     "run_metrics": run_metrics,
     "ingest_time": ingest_time,
     "ingest_header_order": ingest_header_order,

@@ -1,76 +1,27 @@
-"""Writers (K1-K5): silver, quarantine, report and the staged verdict.
+"""Writers (K1-K5): how rows are dealt into files, and single CSV files.
 
-Partitioned writes are dealt out by the partition columns, so each folder gets
-few files, and a value with many rows (a hot date or file) is salted over as
-many tasks as its rows need.  Backfills use dynamic partition overwrite so only
-the partitions present in the new data are replaced; partitions that a backfill
-leaves empty are dropped.
+Rows go to files by a rebalancing shuffle on the folder columns: Spark joins small
+folders' rows in one task and splits a large folder (a hot date or file) over
+several, both by the sizes that the shuffle itself has measured
+(``spark.sql.adaptive.advisoryPartitionSizeInBytes``).  Nothing is counted before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from ..functions import types as ty
 
 
-#: Rows of one partition value that one task writes.
-TASK_ROWS = 5_000_000
+def packed(df: DataFrame, folders: list[str], order: str | None = None) -> DataFrame:
+    """Rows dealt into tasks of about equal bytes, those of a folder together; within
+    a file by ``order``, so that a filter on it reads few pages."""
+    columns = [ty.column(c) for c in folders]
+    out = df.hint("rebalance", *columns)
+    return out.sortWithinPartitions(*columns, ty.column(order)) if order else out
 
 
-def dealt(df: DataFrame, columns: tuple[str, ...], task_rows: int = TASK_ROWS) -> DataFrame:
-    """Rows by the values of ``columns``, those of large values in several parts.
-
-    The values with more than ``task_rows`` rows are broadcast: at most one for
-    every ``task_rows`` rows of the table.
-    """
-    names = [f"__c{i}" for i in range(len(columns))]
-    sizes = df.groupBy(*[F.col(c).alias(n) for c, n in zip(columns, names)]).agg(F.count(F.lit(1)).alias("__n"))
-    large = sizes.where(F.col("__n") > task_rows).withColumn("__n", F.ceil(F.col("__n") / task_rows))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(columns, names)])
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if not _no_hash(df.schema[c].dataType)]), F.coalesce("__n", F.lit(1)))
-    return (df.join(F.broadcast(large), same, "left").withColumn("__salt", salt)
-            .repartition(*columns, "__salt").select(*[F.col(f"`{c}`") for c in df.columns]))
-
-
-def _no_hash(dt) -> bool:
-    return "map<" in dt.simpleString() or "variant" in dt.simpleString()
-
-
-def write_table(df: DataFrame, path: str, *, partition_by=(), mode: str = "overwrite",
-                dynamic: bool = False, fmt: str = "parquet", rebalance: bool = True,
-                options: dict | None = None, single_file: bool = False) -> None:
-    out = df
-    if single_file:
-        out = out.repartition(1)  # what comes before still runs in parallel
-    elif partition_by and rebalance:
-        out = dealt(out, tuple(partition_by))
-    writer = out.write.mode(mode).format(fmt)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    for k, v in (options or {}).items():
-        writer = writer.option(k, v)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-
-
-def write_csv_report(df: DataFrame, path: str, *, single_file: bool = False, dynamic: bool = False,
-                     partition_by=()) -> None:
-    """K3: CSV with header; ``single_file`` reproduces a one-file report
-    (one task writes it - only for small reports)."""
-    write_table(df, path, fmt="csv", options={"header": "true"}, single_file=single_file,
-                dynamic=dynamic, partition_by=partition_by)
-
-
-def drop_partitions(spark: SparkSession, path: str, partitions: Iterable[tuple[tuple[str, str | None], ...]]) -> None:
-    """Remove partition folders (each ``((column, value), ...)``) of a table that
-    a dynamic overwrite can't empty."""
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for parts in partitions:
-        folder = "/".join(names.getPartitionPathString(c, v) for c, v in parts)
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)
+def write_csv_file(df: DataFrame, path: str) -> None:
+    """K3: the whole of a small table as one CSV file with a header (one task writes
+    it; what comes before still runs in parallel)."""
+    df.repartition(1).write.mode("overwrite").format("csv").option("header", "true").save(path)

@@ -29,6 +29,7 @@ def test_strategies_match_brute_force(spark, rows):
     want_k = brute(rows, [1])
     assert flags(spark, rows, ["k"]) == want_k
     assert flags(spark, rows, ["k"], strategy="window") == want_k
+    assert flags(spark, rows, ["k"], strategy="window", hot_key_rows=2, max_hot_keys=1) == want_k
     assert flags(spark, rows, ["k"], hot_key_rows=3) == want_k
     assert flags(spark, rows, ["k"], strategy="window", hot_key_rows=2) == want_k
     assert flags(spark, rows, ["k"], hot_key_rows=2, max_hot_keys=1) == want_k

@@ -143,3 +143,47 @@ def test_keys_are_counted_on_the_input(spark):
     rows = out.collect()
     for c, m in zip(names, (700, 900, 1100, 4)):
         assert sum(r[f"dup_{c}"] for r in rows) == sum(1 for i in range(2000) if len(range(i % m, 2000, m)) > 1)
+
+
+# --- rules that fail on a row
+
+FAILING = [("by_zero", "id / d > 0"), ("again", "id / d > 1"), ("cast", "cast(s as int) > 0"), ("index", "element_at(array(1, 2), id) > 0"),
+           ("overflow", "id * 2147483647 > 0"), ("message", "id < 3")]
+
+
+def _failing(mode, **more):
+    rules = [{"name": n, "assert": a} for n, a in FAILING]
+    rules[-1]["message"] = "{s} of {id}"
+    return {"schema": [], "business_rules": rules, **({"on_rule_error": mode} if mode else {}), **more}
+
+
+@pytest.fixture(scope="module")
+def failing_rows(spark):
+    return spark.createDataFrame([(1, 0, "x"), (2, 1, "5"), (3, None, None), (4, 3, "7")], "id int, d int, s string").repartition(2)
+
+
+def test_rules_that_fail_flag_the_row(spark, failing_rows):
+    for contract in (_failing("flag"), _failing(None, on_bad_rule="skip")):
+        got = {r.id: [(v.kind, v.rule) for v in r.violations] for r in evaluate(failing_rows, contract, as_of="2026-01-01").collect()}
+        error = lambda *names: [("rule_error", n) for n in names]
+        assert got == {1: error("by_zero", "again", "cast"), 2: error("overflow"), 3: error("index", "overflow") + [("business_rule", "message")],
+                       4: error("index", "overflow") + [("business_rule", "message")]}
+
+
+def test_rules_that_fail_pass_or_end_the_job(spark, failing_rows):
+    passed = evaluate(failing_rows, _failing("pass"), as_of="2026-01-01").collect()
+    assert {r.id: r.rejection_reasons for r in passed} == {1: "", 2: "", 3: "business_rule: message - null of 3", 4: "business_rule: message - 7 of 4"}
+    for contract in (_failing("fail"), _failing(None)):
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO|CAST_INVALID_INPUT|INVALID_ARRAY_INDEX|OVERFLOW"):
+            evaluate(failing_rows, contract, as_of="2026-01-01").collect()
+    with pytest.raises(ContractError):
+        Contract.from_dict({"on_rule_error": "maybe"})
+
+
+def test_failing_rules_in_the_catalogue(spark, failing_rows):
+    from rowgate.operators.evaluate import rule_catalog, rule_hits
+
+    contract = _failing("flag")
+    hits = rule_hits(rule_catalog(failing_rows, contract), evaluate(failing_rows, contract, as_of="2026-01-01"), errors=True).collect()
+    assert {r.rule: (r.violations, r.errors) for r in hits} == {
+        "by_zero": (0, 1), "again": (0, 1), "cast": (0, 1), "index": (0, 2), "overflow": (0, 3), "message": (2, 0)}
