@@ -36,6 +36,8 @@ def _session() -> SparkSession:
              .config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", str(max(8, CPUS * 2)))
              .config("spark.sql.adaptive.enabled", "true")
+             # methods above 8000 bytes are never compiled by the JVM; Spark splits them instead
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
