@@ -33,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(df: DataFrame) -> list[Column]:
+    """All columns of a table, whatever their names hold (dots and backticks)."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import WORD, gram_hashes, map_batches, map_rows, runs, staged, table, word_hashes, words_of
+from rowgate.llm.common import WORD, gram_hashes, map_batches, map_rows, quoted, runs, staged, table, word_hashes, words_of
 from rowgate.llm.components import components
 
 SHINGLE = 5
@@ -325,12 +325,11 @@ def first_of_each_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFr
     """The rows of ``docs`` without near-duplicates: of each class the row of
     smallest id stays (null last, then by text), and one of equal rows.  Texts
     without words all stay."""
-    names = docs.columns
     found = near_duplicates(docs, threshold)
     first = (found.where("has_words").groupBy("class_key")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
              .select(_id_key(F.col("first.doc_id")), F.col("first.text_key").alias("text_key")))
-    rows = docs.select(F.struct(*names).alias("row"), F.col("text").rlike(WORD).alias("has_words"), _id_key(F.col("doc_id")), text_key().alias("text_key"))
+    rows = docs.select(F.struct(*quoted(docs)).alias("row"), F.col("text").rlike(WORD).alias("has_words"), _id_key(F.col("doc_id")), text_key().alias("text_key"))
     kept = rows.where("has_words").join(first, ["id_key", "text_key"])
     equal = Window.partitionBy("id_key", "text_key").orderBy(F.xxhash64("row"))
     kept = kept.withColumn("nth", F.row_number().over(equal)).where("nth = 1")

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import gram_hashes, map_batches, map_rows, pieces, runs, table, word_hashes, words_of
+from rowgate.llm.common import gram_hashes, map_batches, map_rows, pieces, quoted, runs, table, word_hashes, words_of
 
 #: Words of a window, and of an anchor.
 WINDOW = 20
@@ -275,7 +275,7 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
     documents that nothing is left of go."""
     schema = docs.schema
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (docs.select(F.struct(*docs.columns).alias("row"), "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key"))
+    rows = (docs.select(F.struct(*quoted(docs)).alias("row"), "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key"))
             .withColumn("row", F.col("row").withField("text", F.lit(None).cast("string"))).repartition(parts, "key"))
     spans = repeated_spans(rows, hot)
 

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import map_batches, map_rows, table
+from rowgate.llm.common import map_batches, map_rows, quoted, table
 
 MAX_TOXIC = 2000
 MAX_CLEAN = 3000
@@ -192,17 +192,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def clean_documents(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-    schema = docs.schema
+    # one column holds the row, so that names of any kind pass through
+    rows = docs.select(F.struct(*quoted(docs)).alias("row"), F.col("text").alias("text"))
 
     def keep(batches):
         import pyarrow as pa
 
         f = Model(*shared.value).scorer()
         for batch in batches:
-            mask = [f(t)[0] < THRESHOLD for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-            yield batch.filter(pa.array(mask))
+            mask = [f(t)[0] < THRESHOLD for t in batch.column(1).to_pylist()]
+            yield batch.select(["row"]).filter(pa.array(mask, pa.bool_()))
 
-    return map_batches(docs, keep, schema)
+    return map_batches(rows, keep, rows.select("row").schema).select("row.*")
 
 
 def op4_toxicity_mil(spark, sf_dir: str) -> DataFrame:

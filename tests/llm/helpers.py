@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 SF = "/root/testdata/sf0.001"
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside, as extra columns of the input.
-CLASHES = ["id", "key", "h", "host", "row", "size", "spans", "n_words", "component", "bucket", "anchor", "words", "label", "_n", "copies", "target", "line"]
+CLASHES = ["id", "key", "h", "host", "row", "size", "spans", "n_words", "component", "bucket", "anchor", "words", "label", "_n", "copies", "target", "line", "a.b", "c`d"]
 
 
 def odd_rows() -> list[tuple]:
@@ -34,7 +34,7 @@ def docs(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
 def with_clashes(df: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
 
-    return df.select("*", *[F.lit("clash").alias(c) for c in CLASHES])
+    return df.select("*", *[F.lit("clash").alias(c) for c in CLASHES if c not in df.columns])
 
 
 def words(text: str | None) -> list[bytes]:

@@ -227,6 +227,27 @@ def test_mix(spark, odd, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none).count() == 0
 
 
+@pytest.mark.parametrize("share", [0.3, 1.6])
+def test_inclusion_probabilities(spark, share):
+    """Over many draws - sources that are made alike - short and long documents come as
+    often as their probability says."""
+    sizes = [5] * 15 + [60] * 15 + [400] * 15
+    rows = [(n * 1000 + i, " ".join(["w"] * (k - 1)) + f" n{i}", "en", f"s{n:03}", 0) for n in range(150) for i, k in enumerate(sizes)]
+    got = {}
+    for r in mixing.mix(docs(spark, rows), share=share, weights=(1.0,)).collect():
+        a = got.setdefault(r["size"], [0, 0])
+        a[0] += r.copies - int(share)
+        a[1] += 1
+        assert r.p == pytest.approx(got.setdefault(("p", r["size"]), r.p))
+    p = {k: got["p", k] for k in (5, 60, 400)}
+    assert 1 >= p[5] > 2 * p[400] > 0 and p[5] >= p[60] > p[400]
+    assert 15 * sum(k * x for k, x in p.items()) == pytest.approx((share - int(share)) * 15 * sum(p))  # the words of the rest
+    for k, x in p.items():
+        taken, n = got[k]
+        error = 4 * (x * (1 - x) / n) ** 0.5 + 1 / 15  # and one document more or less in each group
+        assert abs(taken / n - x) <= error, (k, taken / n, x)
+
+
 # 6 n-gram join
 
 def near_copies():

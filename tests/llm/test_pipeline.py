@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from rowgate.llm import toxicity as tox
-from tests.llm.helpers import SF, docs, odd_rows, plain_classes, plain_dedup, words
+from tests.llm.helpers import SF, docs, odd_rows, plain_classes, plain_dedup, with_clashes, words
 
 
 def test_stages(spark):
@@ -36,15 +36,17 @@ def test_stages(spark):
 def test_run_and_registration(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     ops = sorted(int(k[2:].split("_")[0]) for k in entry.queries() if k.startswith("op"))
-    assert ops == list(range(1, 11))
+    assert ops == list(range(1, 14))
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
 
 
 def test_odd_and_empty_tables(spark):
     for rows in (odd_rows(), []):
-        d = docs(spark, rows)
-        for _, stage in corpus_pipeline.STAGES:
+        d = with_clashes(docs(spark, rows))
+        for name, stage in corpus_pipeline.STAGES:
             got = stage(spark, d, SF)
-            n = got.count()
-            assert n > 0 if rows else n == 0
+            assert got.columns == d.columns or name == "tokens"
+            got = got.collect()
+            assert len(got) > 0 if rows else len(got) == 0
+            assert all(r["a.b"] == r["c`d"] == "clash" for r in got) or name == "tokens"
