@@ -77,8 +77,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
            .withColumn("_stopped", F.coalesce(F.sum("most").over(stops.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
            .withColumn("_sharing", F.sum("weight").over(stops.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
            .withColumn("_level", (F.col("_total") - F.col("_stopped")) / F.col("_sharing")))
-    free = F.min(F.when(F.col("_level") <= F.col("most") / F.col("weight"), F.struct(F.col("most") / F.col("weight"), F.col("_level")))).over(everything)
-    level = free["_level"]
+    # the first that doesn't stop; of sources that would stop alike, the one of the largest level
+    stop = F.col("most") / F.col("weight")
+    free = F.min(F.when(F.col("_level") <= stop, F.struct(stop.alias("stop"), (-F.col("_level")).alias("less")))).over(everything)
+    level = -free["less"]
     target = F.when(level.isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("weight") * level))
     return per.select("source", "source_size", target.alias("target"))
 
