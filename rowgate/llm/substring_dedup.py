@@ -17,14 +17,18 @@ of an anchor are indexed window by window as they are parsed: a match is
 extended along the reference fragment, and what has none is added to the index.
 
 Anchors that occur once can't match and are dropped first (a count over
-anchors, partially aggregated).  An anchor of more than ``HOT`` occurrences is
-not parsed by one task: its fragments are folded by content, their first place
-aggregated on the map side, and all later equal ones are factors; the windows of
-the different fragments are folded in the same way.  This is exact too.
+anchors).  An anchor of more than ``HOT`` occurrences is not parsed by one task:
+its fragments are folded by content, their first place aggregated on the map side,
+and so are the windows of the different fragments.  A window of a hot anchor is a
+repeat wherever it isn't the first of its kind; so what goes back to a text is
+where its hot fragments lie, and which of its windows are firsts - never a row for
+every repeat.  This is exact too.
 
 Equality is that of two 64-bit hashes, of the anchor and of the window.
 
-Defined cases: a null or empty text has no words; documents are ordered by id,
+Defined cases: a null or empty text has no words; a very long text is parsed like
+any other, its fragments by themselves; extra columns, whatever their names, are
+carried by :func:`dedup_documents` and play no part; documents are ordered by id,
 null ids last, and by a hash of their text where ids are equal; rows equal in
 both are one place, so neither is a repeat of the other; every input row gives
 one result row; an empty table gives an empty result.
@@ -82,16 +86,17 @@ def text_tie(text: str | None) -> int:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
     for batch in batches:
         for part in pieces(batch):
-            found = [(anchors(word_hashes(words_of(t)))[:2], k) for k, t in zip(part.column("key").to_pylist(), part.column("text").to_pylist())]
-            found = [(a, s, k) for (a, s), k in found if len(a)]
+            found = [(anchors(word_hashes(words_of(t))), k) for k, t in zip(part.column("key").to_pylist(), part.column("text").to_pylist())]
+            found = [(a, s, n, k) for (a, s, n), k in found if len(a)]
             if found:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([a for a, _, _ in found]).view(np.int64)),
-                    pa.array(np.concatenate([np.full(len(a), k, np.int64) for a, _, k in found])),
-                    pa.array(np.concatenate([s for _, s, _ in found]).astype(np.int32))], schema=schema)
+                    pa.array(np.concatenate([a for a, _, _, _ in found]).view(np.int64)),
+                    pa.array(np.concatenate([np.full(len(a), k, np.int64) for a, _, _, k in found])),
+                    pa.array(np.concatenate([s for _, s, _, _ in found]).astype(np.int32)),
+                    pa.array(np.concatenate([n for _, _, n, _ in found]).astype(np.int32))], schema=schema)
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,43 +189,58 @@ def place_key(doc_id: Column | str, text: Column | str) -> Column:
 
 
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """``key, spans`` of ``key, id, text`` rows: factors as (tie, start, windows).
+    """``key, spans, hot, fresh`` of ``key, id, text`` rows: factors as (tie, start,
+    windows); fragments of hot anchors as (start, windows), and the windows of these
+    that are the first of their kind as (tie, start).
 
     ``docs`` should be dealt by ``key``.  Every use of it keeps all its columns,
     so that all read one and the same shuffle.  What is gathered by key is gathered
     as a set: equal rows add nothing to it.
     """
-    found = map_batches(docs, _anchor_rows, "anchor long, key long, start int")
-    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    # dealt by anchor once: the counts and both joins read this shuffle
+    found = map_batches(docs, _anchor_rows, "anchor long, key long, start int, windows int").repartition("anchor")
+    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), *[F.max(c).alias(f"max_{c}") for c in ("key", "start", "windows")])
+    # the maxima are never null; they keep the columns of the shuffle together
+    counts = counts.where("max_key is not null and max_start is not null and max_windows is not null").select("anchor", "n")
 
-    def fragments(some: Column) -> DataFrame:
-        wanted = (found.join(counts.where(some), "anchor").groupBy("key").agg(F.collect_set("start").alias("wanted")))
-        return map_batches(docs.join(wanted, "key"), _fragments, "anchor long, id long, tie long, start int, windows binary")
+    def wanted(some: Column) -> DataFrame:
+        return found.join(counts.where(some), "anchor").groupBy("key").agg(F.collect_set(F.struct("start", "windows")).alias("wanted"))
 
-    blocks = fragments((F.col("n") > 1) & (F.col("n") <= hot)).repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
+    def fragments(of: DataFrame) -> DataFrame:
+        return map_batches(docs.join(of.select("key", F.col("wanted.start").alias("wanted")), "key"), _fragments,
+                           "anchor long, id long, tie long, start int, windows binary")
+
+    cold = wanted((F.col("n") > 1) & (F.col("n") <= hot))
+    blocks = fragments(cold).repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
     factors = map_batches(blocks, _parse_blocks, "id long, tie long, start int, windows int")
-    # of a hot anchor, equal fragments are folded: all but the first are factors ...
-    many = fragments(F.col("n") > hot)
+    key = F.xxhash64("id", "tie").alias("key")
+    factors = factors.groupBy(key).agg(F.collect_set(F.struct("tie", "start", "windows")).alias("spans"))
+    # equal fragments of a hot anchor are folded, then equal windows of the different ones
+    many = wanted(F.col("n") > hot)
     place = F.struct("id", "tie", "start")
-    firsts = many.groupBy("anchor", "windows").agg(F.min(place).alias("first"))
-    repeats = (many.join(firsts, ["anchor", "windows"]).where(place != F.col("first"))
-               .select("id", "tie", "start", (F.octet_length("windows") / 8).cast("int").alias("windows")))
-    # ... and the windows of the different ones are compared one by one
+    firsts = fragments(many).groupBy("anchor", "windows").agg(F.min(place).alias("first"))
     windows = map_batches(firsts.select("anchor", "first.id", "first.tie", "first.start", "windows"), _hot_windows,
                           "anchor long, window long, id long, tie long, start int")
-    first = windows.groupBy("anchor", "window").agg(F.min(place).alias("first"))
-    later = (windows.join(first, ["anchor", "window"]).where(place != F.col("first"))
-             .select("id", "tie", "start", F.lit(1).alias("windows")))
-    return (factors.unionByName(repeats).unionByName(later)
-            .groupBy(F.xxhash64("id", "tie").alias("key")).agg(F.collect_set(F.struct("tie", "start", "windows")).alias("spans")))
+    first = windows.groupBy("anchor", "window").agg(F.min(place).alias("first")).select("first.*")
+    fresh = first.groupBy(key).agg(F.collect_set(F.struct("tie", "start")).alias("fresh"))
+    hot_spans = many.select("key", F.col("wanted").alias("hot")).join(fresh, "key", "left")
+    return factors.join(hot_spans, "key", "full")
 
 
-def own_spans(text: str | None, spans: list[dict] | None) -> list[dict]:
+def own_spans(text: str | None, spans: list[dict] | None, hot: list[dict] | None = None, fresh: list[dict] | None = None) -> list[dict]:
     """The spans of this very text, of all that its key has."""
-    if not text or not spans:
+    if not text or not (spans or hot):
         return []
     tie = text_tie(text)
-    return [s for s in spans if s["tie"] == tie]
+    out = [s for s in spans or () if s["tie"] == tie]
+    if hot:
+        new = np.array(sorted(f["start"] for f in fresh or () if f["tie"] == tie), np.int64)
+        for s in hot:
+            # the windows between two firsts are repeats
+            a, b = s["start"], s["start"] + s["windows"]
+            edges = [a - 1, *new[np.searchsorted(new, a):np.searchsorted(new, b)].tolist(), b]
+            out += [{"start": x + 1, "windows": y - x - 1} for x, y in zip(edges, edges[1:]) if y - x > 1]
+    return out
 
 
 def kept_mask(n: int, spans: list[dict]) -> np.ndarray:
@@ -234,10 +254,10 @@ def kept_mask(n: int, spans: list[dict]) -> np.ndarray:
 
 def _digest(rows: dict[str, list]) -> dict[str, list]:
     n_words, n_removed, digests = [], [], []
-    for text, spans in zip(rows["text"], rows["spans"]):
+    for text, *known in zip(rows["text"], rows["spans"], rows["hot"], rows["fresh"]):
         words = words_of(text)
         n_words.append(len(words))
-        if spans := own_spans(text, spans):
+        if spans := own_spans(text, *known):
             words = [w for w, k in zip(words, kept_mask(len(words), spans).tolist()) if k]
         n_removed.append(n_words[-1] - len(words))
         digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
@@ -266,7 +286,7 @@ def dedup_digests(docs: DataFrame, hot: int = HOT) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key")).repartition(parts, "key")
     spans = repeated_spans(rows, hot)
-    return map_rows(rows.join(spans, "key", "left").select("doc_id", "text", "spans"), lambda: _digest,
+    return map_rows(rows.join(spans, "key", "left").select("doc_id", "text", "spans", "hot", "fresh"), lambda: _digest,
                     "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -282,8 +302,8 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
-                texts, found = part.column("text").to_pylist(), part.column("spans").to_pylist()
-                new = [cut_text(t, own) if (own := own_spans(t, s)) else t for t, s in zip(texts, found)]
+                texts, *found = (part.column(c).to_pylist() for c in ("text", "spans", "hot", "fresh"))
+                new = [cut_text(t, own) if (own := own_spans(t, *known)) else t for t, *known in zip(texts, *found)]
                 row = part.column("row")
                 columns = {n: row.field(i) for i, n in enumerate(schema.names)}
                 columns["text"] = pa.array(new, pa.string())
@@ -293,7 +313,7 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 out = pa.RecordBatch.from_arrays(list(columns.values()), names=schema.names)
                 yield out.filter(pa.array([bool(b) or a == b for a, b in zip(texts, new)], pa.bool_()))
 
-    return map_batches(rows.join(spans, "key", "left").select("row", "text", "spans"), cut, schema)
+    return map_batches(rows.join(spans, "key", "left").select("row", "text", "spans", "hot", "fresh"), cut, schema)
 
 
 def op2_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
