@@ -52,6 +52,8 @@ WINDOW = 20
 ANCHOR = 8
 #: Occurrences of an anchor above which its windows are compared by aggregation.
 HOT = 5000
+#: A fragment's place: its first window times this, and its windows (at most WINDOW - ANCHOR + 1).
+PLACE = 16
 #: Order of rows without an id: after all others.
 NO_ID = (1 << 63) - 1
 _LINE_BLANKS = b" \t\n\x0b\x0c\r"
@@ -86,7 +88,7 @@ def text_tie(text: str | None) -> int:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("at", pa.int64())])
     for batch in batches:
         for part in pieces(batch):
             found = [(anchors(word_hashes(words_of(t))), k) for k, t in zip(part.column("key").to_pylist(), part.column("text").to_pylist())]
@@ -95,8 +97,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([a for a, _, _, _ in found]).view(np.int64)),
                     pa.array(np.concatenate([np.full(len(a), k, np.int64) for a, _, _, k in found])),
-                    pa.array(np.concatenate([s for _, s, _, _ in found]).astype(np.int32)),
-                    pa.array(np.concatenate([n for _, _, n, _ in found]).astype(np.int32))], schema=schema)
+                    pa.array(np.concatenate([s * PLACE + n for _, s, n, _ in found]).astype(np.int64))], schema=schema)
 
 
 def _fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,24 +191,25 @@ def place_key(doc_id: Column | str, text: Column | str) -> Column:
 
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``key, spans, hot, fresh`` of ``key, id, text`` rows: factors as (tie, start,
-    windows); fragments of hot anchors as (start, windows), and the windows of these
+    windows); places of the fragments of hot anchors, and the windows of these
     that are the first of their kind as (tie, start).
 
     ``docs`` should be dealt by ``key``.  Every use of it keeps all its columns,
     so that all read one and the same shuffle.  What is gathered by key is gathered
     as a set: equal rows add nothing to it.
     """
-    # dealt by anchor once: the counts and both joins read this shuffle
-    found = map_batches(docs, _anchor_rows, "anchor long, key long, start int, windows int").repartition("anchor")
-    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), *[F.max(c).alias(f"max_{c}") for c in ("key", "start", "windows")])
-    # the maxima are never null; they keep the columns of the shuffle together
-    counts = counts.where("max_key is not null and max_start is not null and max_windows is not null").select("anchor", "n")
+    # dealt by anchor once: the counts and both joins read this shuffle, so all of
+    # them keep its columns (the maxima are never null) and none filters it anew
+    found = map_batches(docs, _anchor_rows, "anchor long, key long, at long").where("anchor is not null").repartition("anchor")
+    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("max_key"), F.max("at").alias("max_at"))
+    counts = counts.where("max_key is not null and max_at is not null").select("anchor", "n")
 
     def wanted(some: Column) -> DataFrame:
-        return found.join(counts.where(some), "anchor").groupBy("key").agg(F.collect_set(F.struct("start", "windows")).alias("wanted"))
+        return found.join(counts.where(some), "anchor").groupBy("key").agg(F.collect_set("at").alias("wanted"))
 
     def fragments(of: DataFrame) -> DataFrame:
-        return map_batches(docs.join(of.select("key", F.col("wanted.start").alias("wanted")), "key"), _fragments,
+        starts = F.transform("wanted", lambda at: F.floor(at / PLACE).cast("int"))
+        return map_batches(docs.join(of.select("key", starts.alias("wanted")), "key"), _fragments,
                            "anchor long, id long, tie long, start int, windows binary")
 
     cold = wanted((F.col("n") > 1) & (F.col("n") <= hot))
@@ -227,7 +229,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return factors.join(hot_spans, "key", "full")
 
 
-def own_spans(text: str | None, spans: list[dict] | None, hot: list[dict] | None = None, fresh: list[dict] | None = None) -> list[dict]:
+def own_spans(text: str | None, spans: list[dict] | None, hot: list[int] | None = None, fresh: list[dict] | None = None) -> list[dict]:
     """The spans of this very text, of all that its key has."""
     if not text or not (spans or hot):
         return []
@@ -237,7 +239,7 @@ def own_spans(text: str | None, spans: list[dict] | None, hot: list[dict] | None
         new = np.array(sorted(f["start"] for f in fresh or () if f["tie"] == tie), np.int64)
         for s in hot:
             # the windows between two firsts are repeats
-            a, b = s["start"], s["start"] + s["windows"]
+            a, b = s // PLACE, s // PLACE + s % PLACE
             edges = [a - 1, *new[np.searchsorted(new, a):np.searchsorted(new, b)].tolist(), b]
             out += [{"start": x + 1, "windows": y - x - 1} for x, y in zip(edges, edges[1:]) if y - x > 1]
     return out

@@ -100,8 +100,8 @@ def test_rows_without_id_are_gathered_by_text(spark):
     keyed = table.select("text", substring_dedup.order_id("doc_id").alias("id"), substring_dedup.place_key("doc_id", "text").alias("key"))
     assert all(r.h == substring_dedup.text_tie(r.text) for r in table.select("text", F.xxhash64("text").alias("h")).collect())
     for hot in (5000, 2):
-        spans = [r.spans or r.fresh or r.hot for r in substring_dedup.repeated_spans(keyed, hot).collect()]
-        assert len(spans) in (59, 60) and all(len({s["tie"] for s in x if "tie" in s}) <= 1 and len(set(x)) == len(x) <= (41 if hot == 5000 else 64) for x in spans)
+        spans = [r.spans or r.fresh or [] for r in substring_dedup.repeated_spans(keyed, hot).collect()]
+        assert len(spans) in (59, 60) and all(len({s.tie for s in x}) <= 1 and len(set(x)) == len(x) <= (41 if hot == 5000 else 64) for x in spans)
         want = plain_dedup([(r[0], r[1]) for r in rows])
         got = substring_dedup.dedup_digests(table, hot).collect()
         assert sorted(map(str, map(tuple, got))) == sorted(str((i, n, k, hashlib.sha256(b" ".join(x)).hexdigest())) for i, n, k, x in want)
@@ -150,7 +150,8 @@ def test_permutation_index(spark):
 def test_permutation_index_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (50, [0.0, 2.0]), (100, None), (150, [0.0, 0.0]), (200, [nan, 1.0]), (250, [inf, 1.0]), (300, [None, 1.0]),
-            (None, [1.0, 1.0]), (7, [3.0, 0.0]), (3, [2.0, 0.0]), (3, [2.0, 0.0]), (9, [1.0, 1.0]), (11, [-1.0, 0.0])]
+            (None, [1.0, 1.0]), (7, [3.0, 0.0]), (3, [2.0, 0.0]), (3, [2.0, 0.0]), (9, [1.0, 1.0]), (11, [-1.0, 0.0]),
+            (350, [1.0, 0.0, 0.0]), (12, [1.0]), (400, [])]  # of another length than most
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("*", F.lit(1).alias("block"), F.lit(1).alias("score"))
     q = v.where("vec_id % 50 = 0")
     for block in (8192, 3):
@@ -468,3 +469,21 @@ def test_notices_across_blocks():
         for n in range(license_scan.SPAN - 60, license_scan.SPAN + 60):
             (hit,) = scan("license " + "word license " * (n // 2) + "word. " * (n % 2) + wording)[1]
             assert (hit["license"], hit["missing"]) == (name, [])
+
+
+def test_compression_decides(monkeypatch):
+    """Without reductions nothing is found, and with another ranking another wording wins."""
+    seven = ("Licensed under the MIT License. Licensed under the BSD License. Licensed under the Apache License, Version 2.0. "
+             "Licensed under the Mozilla Public License, version 2.0. Licensed under the GNU Lesser General Public License, version 2.1. "
+             "Licensed under CC BY 4.0. All rights reserved.")
+    long = license_scan.TEMPLATES[1][2]
+    scan = license_scan.Scanner().scan
+    names = [x["license"] for x in scan(seven)[1]]
+    assert names == ["mit", "bsd", "apache-2.0", "mpl-2.0", "lgpl-2.1", "cc-by-4.0", "all-rights-reserved"]
+    (hit,) = scan(long)[1]
+    assert hit["missing"] == [] and hit["end"] == len(long)
+    true = license_scan.Scanner.reductions
+    monkeypatch.setattr(license_scan.Scanner, "reductions", lambda self, words: [0] * len(self.templates))
+    assert scan(seven)[1] == [] and scan(long)[1] == []
+    monkeypatch.setattr(license_scan.Scanner, "reductions", lambda self, words: [100 - x if x >= license_scan.LEAST_SAVED else 0 for x in true(self, words)])
+    assert scan(long)[1] != [hit]  # the shorter wording stands first
