@@ -3,13 +3,15 @@
 A text is a stream of words (letters and digits), so that line ends, several blanks
 and comment marks between words count for nothing.  Candidate blocks are the
 surroundings of trigger words.  The words of a block are compressed
-by themselves and with each template as a raw zstandard dictionary; what the
-dictionary saves, as a share of the bytes that a template could save, is the
-template's *reduction*.  Every template whose telling words a block holds is tried
-by exact wording: the template's words are aligned with the block's, the words
+by themselves and with every template as a raw zstandard dictionary, and templates
+are ranked by the bytes that they save.  In that order they are confirmed by exact
+wording: the template's words are aligned with the block's, the words
 missing and the words inserted are listed, and a notice counts if few words
-differ and none of them is one that tells licences apart.  The reduction only
-decides between templates that fit the same words equally well.
+differ and none of them is one that tells licences apart.  The first one confirmed is
+the winner; its words are masked, and what is left of the block is compressed anew,
+until no template that saves ``LEAST_SAVED`` bytes is confirmed.  So of two wordings
+that fit at a place, the one that explains more of the block wins, and the second of
+two notices that share words shows once the first is gone.
 
 Every text is scanned whole, in one pass without a shuffle; the templates are
 fixed values.  Blocks are bounded: a run of triggers is cut into blocks that
@@ -17,8 +19,10 @@ overlap, so each trigger is seen with more words on both sides than the longest
 template has.  What blocks confirm is weighed together, so that a notice which one
 block holds in part is found whole by the next.
 
-Defined cases: a null or empty text has no block and no licence; every input
-row gives one result row; an empty table gives an empty result.
+Defined cases: a null or empty text has no block and no licence; a very long text has
+blocks wherever its triggers are; every input row gives one result row, repeated rows
+and rows without an id too; the columns read are picked by name, whatever further
+columns there are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +41,10 @@ from rowgate.llm.license_templates import TEMPLATES, TRIGGERS
 
 #: Compression level: the search must find short matches.
 LEVEL = 15
+#: Bytes that a template must save of a block to be tried.
+LEAST_SAVED = 1
+#: Words that are taken by a notice; no template holds them.
+_MASK = "\0"
 #: Largest share of a template's words that may be missing, or inserted among them.
 MAX_DIFFERENT = 0.4
 _WORD = re.compile(r"[a-z0-9]+")
@@ -106,11 +114,33 @@ class Scanner:
         #: Words that tell licences apart.
         self.marks = set().union(*(t[1] for t in self.templates)) - {"all", "use", "copy", "source", "free", "public", "general"}
 
-    def reductions(self, words: list[str], tried: list[int]) -> list[float]:
-        """What templates save of a block."""
+    def reductions(self, words: list[str]) -> list[int]:
+        """Bytes that every template saves of a block."""
         raw = " ".join(words).encode()
         alone = len(self.plain.compress(raw))
-        return [(alone - len(self.templates[i][3].compress(raw))) / min(alone, self.templates[i][4]) for i in tried]
+        return [alone - len(t[3].compress(raw)) for t in self.templates]
+
+    def winners(self, words: list[str]) -> Iterator[tuple[int, int, int, int, list[str], list[str]]]:
+        """Notices of a block: bytes saved, template, first and end word, words missing
+        and inserted.  Every round has one winner and masks its words."""
+        while True:
+            saved = self.reductions(words)
+            held = set(words)
+            ranked = sorted(range(len(saved)), key=lambda i: (-saved[i], -len(self.templates[i][2]), i))
+            won = None
+            for i in ranked:
+                if saved[i] < LEAST_SAVED:
+                    break
+                if not self.templates[i][1] <= held:
+                    continue
+                fits = [f for f in self.placements(words, i) if self.confirmed(f[2], f[3], i)]
+                if fits:
+                    won = (saved[i], i, *min(fits, key=lambda f: (len(f[2]) + len(f[3]), f[0])))
+                    break
+            if won is None:
+                return
+            yield won
+            words[won[2]:won[3]] = [_MASK] * (won[3] - won[2])
 
     def placements(self, words: list[str], i: int) -> Iterator[tuple[int, int, list[str], list[str]]]:
         """Where a template may stand among a block's words, with the words that
@@ -140,22 +170,19 @@ class Scanner:
         """The number of candidate blocks, and the notices confirmed in them."""
         low = lowered(text or "")
         starts, ends, blocks = candidate_blocks(low)
-        winners = []
+        found = []
         for a, b in blocks:
             words = [low[x:y] for x, y in zip(starts[a:b], ends[a:b])]
-            held = set(words)
-            tried = [i for i, t in enumerate(self.templates) if t[1] <= held]
-            for i, r in zip(tried, self.reductions(words, tried) if tried else []):
-                for first, end, missing, inserted in self.placements(words, i):
-                    if self.confirmed(missing, inserted, i):
-                        winners.append((len(missing) + len(inserted), -len(self.templates[i][2]), -r, i, a + first, a + end, missing, inserted))
+            for saved, i, first, end, missing, inserted in self.winners(words):
+                found.append((len(missing) + len(inserted), -len(self.templates[i][2]), -saved, i, a + first, a + end, missing, inserted))
+        # blocks overlap: of what they say of a place, the best
         taken: set[int] = set()
         hits: list[dict] = []
-        for _, _, r, i, first, end, missing, inserted in sorted(winners):
+        for _, _, saved, i, first, end, missing, inserted in sorted(found):
             if not taken.isdisjoint(range(first, end)):
                 continue
             taken.update(range(first, end))
-            hits.append({"license": self.templates[i][0], "start": starts[first], "end": ends[end - 1], "reduction": -r,
+            hits.append({"license": self.templates[i][0], "start": starts[first], "end": ends[end - 1], "reduction": -saved / self.templates[i][4],
                          "missing": missing, "inserted": inserted})
         return len(blocks), sorted(hits, key=lambda h: h["start"])
 
