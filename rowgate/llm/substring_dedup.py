@@ -42,10 +42,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowgate.llm.common import gram_hashes, map_batches, map_rows, pieces, quoted, runs, table, word_hashes, words_of
+from rowgate.llm.common import gram_hashes, map_batches, map_rows, pieces, quoted, runs, staged, table, word_hashes, words_of
 
 #: Words of a window, and of an anchor.
 WINDOW = 20
@@ -189,43 +189,40 @@ def place_key(doc_id: Column | str, text: Column | str) -> Column:
     return F.xxhash64(order_id(doc_id), F.xxhash64(F.coalesce(text, F.lit(""))))
 
 
-def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, hot: int = HOT, dealt: DataFrame | None = None) -> DataFrame:
     """``key, spans, hot, fresh`` of ``key, id, text`` rows: factors as (tie, start,
     windows); places of the fragments of hot anchors, and the windows of these
     that are the first of their kind as (tie, start).
 
-    ``docs`` should be dealt by ``key``.  Every use of it keeps all its columns,
+    ``dealt`` are the same rows dealt by ``key``.  Every use of them keeps all their columns,
     so that all read one and the same shuffle.  What is gathered by key is gathered
     as a set: equal rows add nothing to it.
     """
-    # dealt by anchor once: the counts and both joins read this shuffle, so all of
-    # them keep its columns (the maxima are never null) and none filters it anew
-    found = map_batches(docs, _anchor_rows, "anchor long, key long, at long").where("anchor is not null").repartition("anchor")
-    counts = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("key").alias("max_key"), F.max("at").alias("max_at"))
-    counts = counts.where("max_key is not null and max_at is not null").select("anchor", "n")
-
-    def wanted(some: Column) -> DataFrame:
-        return found.join(counts.where(some), "anchor").groupBy("key").agg(F.collect_set("at").alias("wanted"))
-
-    def fragments(of: DataFrame) -> DataFrame:
-        starts = F.transform("wanted", lambda at: F.floor(at / PLACE).cast("int"))
-        return map_batches(docs.join(of.select("key", starts.alias("wanted")), "key"), _fragments,
-                           "anchor long, id long, tie long, start int, windows binary")
-
-    cold = wanted((F.col("n") > 1) & (F.col("n") <= hot))
-    blocks = fragments(cold).repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
+    dealt = docs if dealt is None else dealt
+    found = map_batches(docs, _anchor_rows, "anchor long, key long, at long")
+    # one shuffle of the anchors: each place learns how often its anchor occurs
+    n = F.count(F.lit(1)).over(Window.partitionBy("anchor"))
+    again = found.withColumn("n", n).where("n > 1")
+    wanted = staged(again.groupBy("key").agg(F.collect_set(F.when(F.col("n") <= hot, F.col("at"))).alias("cold"),
+                                             F.collect_set(F.when(F.col("n") > hot, F.col("at"))).alias("hot")), "dedup-places")
+
+    def fragments(places: str) -> DataFrame:
+        starts = F.transform(places, lambda at: F.floor(at / PLACE).cast("int"))
+        some = wanted.where(F.size(places) > 0).select("key", starts.alias("wanted"))
+        return map_batches(dealt.join(some, "key"), _fragments, "anchor long, id long, tie long, start int, windows binary")
+
+    blocks = fragments("cold").repartition("anchor").sortWithinPartitions("anchor", "id", "tie", "start")
     factors = map_batches(blocks, _parse_blocks, "id long, tie long, start int, windows int")
     key = F.xxhash64("id", "tie").alias("key")
     factors = factors.groupBy(key).agg(F.collect_set(F.struct("tie", "start", "windows")).alias("spans"))
     # equal fragments of a hot anchor are folded, then equal windows of the different ones
-    many = wanted(F.col("n") > hot)
     place = F.struct("id", "tie", "start")
-    firsts = fragments(many).groupBy("anchor", "windows").agg(F.min(place).alias("first"))
+    firsts = fragments("hot").groupBy("anchor", "windows").agg(F.min(place).alias("first"))
     windows = map_batches(firsts.select("anchor", "first.id", "first.tie", "first.start", "windows"), _hot_windows,
                           "anchor long, window long, id long, tie long, start int")
     first = windows.groupBy("anchor", "window").agg(F.min(place).alias("first")).select("first.*")
     fresh = first.groupBy(key).agg(F.collect_set(F.struct("tie", "start")).alias("fresh"))
-    hot_spans = many.select("key", F.col("wanted").alias("hot")).join(fresh, "key", "left")
+    hot_spans = wanted.where(F.size("hot") > 0).select("key", "hot").join(fresh, "key", "left")
     return factors.join(hot_spans, "key", "full")
 
 
@@ -284,11 +281,12 @@ def cut_text(text: str, spans: list[dict]) -> str:
 
 def dedup_digests(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for every row of ``docs``."""
-    # dealt by key once: the fragments and the result both read this shuffle
+    # dealt by key once: both passes over fragments and the result read this shuffle
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key")).repartition(parts, "key")
-    spans = repeated_spans(rows, hot)
-    return map_rows(rows.join(spans, "key", "left").select("doc_id", "text", "spans", "hot", "fresh"), lambda: _digest,
+    rows = docs.select("doc_id", "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key"))
+    dealt = rows.repartition(parts, "key")
+    spans = repeated_spans(rows, hot, dealt)
+    return map_rows(dealt.join(spans, "key", "left").select("doc_id", "text", "spans", "hot", "fresh"), lambda: _digest,
                     "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
@@ -298,8 +296,9 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
     schema = docs.schema
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (docs.select(F.struct(*quoted(docs)).alias("row"), "text", order_id("doc_id").alias("id"), place_key("doc_id", "text").alias("key"))
-            .withColumn("row", F.col("row").withField("text", F.lit(None).cast("string"))).repartition(parts, "key"))
-    spans = repeated_spans(rows, hot)
+            .withColumn("row", F.col("row").withField("text", F.lit(None).cast("string"))))
+    dealt = rows.repartition(parts, "key")
+    spans = repeated_spans(rows.select("text", "id", "key"), hot, dealt)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,7 +314,7 @@ def dedup_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 out = pa.RecordBatch.from_arrays(list(columns.values()), names=schema.names)
                 yield out.filter(pa.array([bool(b) or a == b for a, b in zip(texts, new)], pa.bool_()))
 
-    return map_batches(rows.join(spans, "key", "left").select("row", "text", "spans", "hot", "fresh"), cut, schema)
+    return map_batches(dealt.join(spans, "key", "left").select("row", "text", "spans", "hot", "fresh"), cut, schema)
 
 
 def op2_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
