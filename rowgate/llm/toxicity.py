@@ -7,12 +7,20 @@ of its sentences, ``1 - prod(1 - p)``.  The weights are learned from document
 labels through that noisy-or, so that they settle on the sentences that tell
 toxic documents from clean ones, and the same sentence scores locate them.
 
+In a long text many sentences that are each unlikely to offend would add up to a high
+score.  Sentences of a score below ``FAINT`` therefore count together as one sentence of at
+most ``FAINT_SUM``, so a text is rejected for sentences that stand out, never for its
+length; a document that is predicted toxic has at least one located sentence.
+
 Fitting uses a bounded sample: at most ``MAX_TOXIC`` and ``MAX_CLEAN`` labelled
 documents of at most ``MAX_CHARS`` characters, the first in the order of a hash
 of their id.  Scoring reads every text whole, in one pass without a shuffle.
 The model that is broadcast has at most ``MAX_FEATURES`` weights.
 
-Defined cases: a null or empty text has no sentence and scores 0; a document
+Defined cases: a null or empty text has no sentence and scores 0; a very long text is
+scored whole; of rows that share an id, each is scored by its own text, and the
+smallest text by hash stands for the id in fitting; extra columns, whatever their names,
+are carried by :func:`clean_documents` and play no part; a document
 with several label rows is toxic if one says so; null labels and labels of
 unknown documents are ignored; without labels of both kinds every score is 0;
 every input row gives one result row; a null id is never held out.
@@ -36,6 +44,9 @@ MAX_FEATURES = 20_000
 #: Documents of the sample that must hold a feature.
 MIN_DOCS = 3
 THRESHOLD = 0.7
+#: Score of a sentence below which it counts together with others, and what all these count at most.
+FAINT = 0.05
+FAINT_SUM = 0.2
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _TRIM = " \t\r\x0b\x0c,;:'\"()[]{}<>|*_-"
 
@@ -87,7 +98,12 @@ class Model:
             z = np.array([sum(map(weights.__getitem__, set().union(*map(words.__getitem__, text[a:b].split()))))
                           for a, b in spans]) + bias
             clean = -np.logaddexp(0.0, z)  # log(1 - p) of each sentence
-            return float(-np.expm1(clean.sum())), [spans[i] for i in np.flatnonzero(z >= 0)]
+            faint = clean > np.log1p(-FAINT)
+            total = float(-np.expm1(clean[~faint].sum() + max(clean[faint].sum(), np.log1p(-FAINT_SUM))))
+            located = np.flatnonzero(z >= 0)
+            if total >= THRESHOLD and not len(located):
+                located = np.flatnonzero(z == z.max())
+            return total, [spans[i] for i in located]
 
         return score
 
@@ -162,7 +178,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOX
     chosen = (known.where("toxic = 1").orderBy(*order).limit(max_toxic)
               .unionByName(known.where("toxic = 0").orderBy(*order).limit(max_clean)))
     texts = docs.where(F.length("text") <= MAX_CHARS).select("doc_id", "text")
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy(*order).select("text", "toxic")
+    # at most max_toxic + max_clean ids are broadcast; one text of an id, the same on every run
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    return one.orderBy(*order).select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
