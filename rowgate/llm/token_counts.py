@@ -12,9 +12,10 @@ misses is encoded with the tokenizer.  Pre-tokens are never shuffled: for the
 table, a task sends the ``SUMMARY`` most frequent of its own rows only.  The
 table decides where a length is found, never what it is.
 
-Defined cases: a null text counts as empty, with 0 bytes and 0 tokens; every
-input row gives one result row, repeated and null ids too; an empty table gives
-an empty result.
+Defined cases: a null text counts as empty, with 0 bytes and 0 tokens; a very long text
+is looked up in whole, its different pre-tokens once; every input row gives one result
+row, repeated and null ids too; the columns read are picked by name, whatever further
+columns there are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,10 +107,25 @@ def load_tokenizer(model: bytes):
 
 
 def token_lengths(tokenizer, words: list[bytes]) -> list[int]:
-    found = tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)
+    found = tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
     return [len(x.ids) for x in found]
 
 
+#: Tokenizers and caches of this worker process, by model: they outlive a task.
+_WORKERS: dict[int, tuple] = {}
+
+
+def worker(model: bytes) -> tuple:
+    """The tokenizer of this process and the lengths that it has found."""
+    import os
+
+    key = xxhash.xxh3_64_intdigest(model)
+    if key not in _WORKERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _WORKERS[key] = load_tokenizer(model), {}
+    return _WORKERS[key]
+
+
 def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT, size: int = TABLE, cache: int = CACHE) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every row of ``docs``."""
     model = vocabulary(tokenizer)
@@ -118,28 +135,28 @@ def count_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
     shared = sc.broadcast((model, lengths))
 
     def make():
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         model, lengths = shared.value
-        tok = load_tokenizer(model)
-        cached: dict[bytes, int] = {}
+        tok, cached = worker(model)
 
         def run(rows: dict[str, list]) -> dict[str, list]:
             texts = [(t or "").encode() for t in rows["text"]]
             split = [t.split() for t in texts]
             sizes = np.array([len(x) for x in split], np.int64)
             flat = [w for x in split for w in x]
-            counts, missing = lengths.find(word_hashes(flat))
-            missed = [flat[i] for i in missing.tolist()]
-            new = list({w for w in missed if w not in cached})
+            # every different pre-token is looked up once
+            words = list(dict.fromkeys(flat))
+            counts, missing = lengths.find(word_hashes(words))
+            missed = [words[i] for i in missing.tolist()]
+            new = [w for w in missed if w not in cached]
             if len(cached) + len(new) > cache:
                 cached.clear()
-                new = list(set(missed))
+                new = missed
             found = dict(zip(new, token_lengths(tok, new)))
             counts[missing] = [found[w] if w in found else cached[w] for w in missed]
             if len(cached) + len(found) <= cache:
                 cached.update((w, n) for w, n in found.items() if len(w) <= LONGEST)
+            length_of = dict(zip(words, counts.tolist()))
+            counts = np.fromiter(map(length_of.__getitem__, flat), np.int64, len(flat))
             ends = np.cumsum(sizes)
             upto = np.append(0, np.cumsum(counts))
             n = (upto[ends] - upto[ends - sizes]).tolist()
