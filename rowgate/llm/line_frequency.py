@@ -13,8 +13,10 @@ before each shuffle.  Verdicts belong to a (host, text) pair and come back by a
 join on it, so equal rows, repeated ids and null ids all get theirs.
 
 Defined cases: a null text has no words and no lines; an empty text fails the
-word rule; null is a host of its own; every input row gives one result row; an
-empty table gives an empty result.
+word rule; a very long text is judged whole, line by line; null is a host of its own;
+every input row gives one result row, repeated rows and null ids too; the columns read
+are picked by name, whatever further columns there are; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations

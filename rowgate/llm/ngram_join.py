@@ -24,8 +24,10 @@ bounded and one large group spreads over all tasks.  No pair leaves a task:
 only link counts and a spanning forest do.
 
 Defined cases: texts without words (null ones too) have no links and are
-classes of their own; every input row gives one result row; null ids are
-ignored where a class takes its smallest id; an empty table gives an empty
+classes of their own; a very long text has one signature like any other, and is compared
+whole; every input row gives one result row; null ids are
+ignored where a class takes its smallest id; extra columns, whatever their names, are
+carried by :func:`first_of_each_class` and play no part; an empty table gives an empty
 result.
 """
 

@@ -18,8 +18,9 @@ Decoding looks pieces up by id, joins byte pieces, turns the blank mark into a
 space and drops the space that encoding put in front.
 
 Defined cases: a null text is encoded as empty; begin and end ids are always
-there; every input row gives one result row; an empty table gives an empty
-result.
+there; a very long text is encoded whole; every input row gives one result row, repeated
+rows and null ids too; the columns read are picked by name, whatever further columns
+there are; an empty table gives an empty result.
 """
 
 from __future__ import annotations

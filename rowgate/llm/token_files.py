@@ -23,8 +23,10 @@ but the rank table, which is as large as the vocabulary, passes through the
 driver.
 
 Defined cases: a null text counts as empty and has the end id only; null ids
-come first, equal ids in the order of a hash of their text; every input row
-gives one result row; an empty table gives an empty result.
+come first, equal ids in the order of a hash of their text; a very long text fills as
+many ids of a block as it has; every input row
+gives one result row; the columns read are picked by name, whatever further columns
+there are; an empty table gives an empty result.
 """
 
 from __future__ import annotations

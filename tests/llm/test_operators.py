@@ -487,3 +487,56 @@ def test_compression_decides(monkeypatch):
     assert scan(seven)[1] == [] and scan(long)[1] == []
     monkeypatch.setattr(license_scan.Scanner, "reductions", lambda self, words: [100 - x if x >= license_scan.LEAST_SAVED else 0 for x in true(self, words)])
     assert scan(long)[1] != [hit]  # the shorter wording stands first
+
+
+# whole tables against the libraries and plain code
+
+def test_token_counts_of_the_whole_table(spark, small):
+    import public_tokenizers as tokenizers_files
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokenizers_files.path("word_bpe_49k.json"))
+    want = {r["doc_id"]: (len((r["text"] or "").encode()), len(tok.encode(r["text"] or "", add_special_tokens=False).ids)) for r in small}
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.op7_token_counts(spark, SF).collect()}
+    assert got == want
+
+
+def test_sentencepiece_of_the_whole_table(spark, small):
+    import public_tokenizers as tokenizers_files
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizers_files.path("piece_bpe_32k.model"))
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in sentencepiece_bpe.op8_sentencepiece(spark, SF).collect()}
+    for r in small:
+        ids = sp.encode(r["text"] or "", add_bos=True, add_eos=True)
+        assert got[r["doc_id"]] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
+
+
+def test_scores_against_a_plain_noisy_or(spark, odd):
+    """The score of every document from its sentences, one by one."""
+    import math
+
+    model = toxicity.fit(["you idiot here. fine words"] * 4 + ["fine words here. you too"] * 6, [1] * 4 + [0] * 6)
+
+    def plain(text):
+        clean, faint = 1.0, 1.0
+        for sentence in re.split(r"[.!?\n]+", text or ""):
+            if sentence and model.weights:
+                found = {f for w in sentence.split() for f in toxicity.features(w)}
+                p = 1 / (1 + math.exp(-model.bias - sum(model.weights.get(f, 0.0) for f in found)))
+                clean, faint = (clean, faint * (1 - p)) if p < toxicity.FAINT else (clean * (1 - p), faint)
+        return 1 - clean * max(faint, 1 - toxicity.FAINT_SUM)
+
+    rows = docs(spark, [(i, t, None, None, None) for i, t in enumerate(["an idiot speaks. fine words", "you idiot! you too", "fine\nfine", None, "...", "a. b. c"])])
+    for r in toxicity.score(rows, model).collect():
+        text = rows.where(F.col("doc_id") == r.doc_id).first().text
+        assert r.score == pytest.approx(plain(text), abs=1e-9)
+
+
+def test_length_alone_is_not_toxic():
+    model = toxicity.fit(["you idiot here. fine words"] * 4 + ["fine words here. you too"] * 6, [1] * 4 + [0] * 6)
+    score = model.scorer()
+    clean = "fine words here. you too. "
+    assert score(clean * 20_000)[0] <= toxicity.FAINT_SUM + 1e-9 and score(clean * 20_000)[1] == []
+    one = score(clean * 5000 + "you idiot here. " + clean * 5000)
+    assert one[0] >= toxicity.THRESHOLD and one[1]
