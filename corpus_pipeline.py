@@ -4,6 +4,13 @@
 Every stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet
 in the shared folder and read back as the next one's ``docs``.  All but the last
 return the columns of ``documents``; the mix may take a row more than once.
+
+Defined cases, in every stage: further columns, whatever their names, are carried along
+and play no part; null and empty texts score 0, are near duplicates of nothing, hold no
+passage and no words for the mix (which takes none of them); very long texts are
+processed whole; rows without an id come after all others where a smallest id is
+asked for; of rows equal in id and text one stays, and rows that share an id are told
+apart by their text; an empty table gives an empty table.
 """
 
 from __future__ import annotations
