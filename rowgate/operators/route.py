@@ -82,6 +82,43 @@ def summary_by(v: DataFrame, *by: str) -> DataFrame:
     return v.groupBy(*by).agg(*_count_exprs())
 
 
+LEVELS = ("kind", "column", "rule")
+
+
+def summary_levels(v: DataFrame, *by: str) -> DataFrame:
+    """all levels of a summary in one pass: in total, for each of the ``by``
+    columns, for each rule, and for each rule within each ``by`` column.
+
+    ``level`` names the columns that a row is grouped by (the others are null there, as
+    they may be in the data).  A row of the verdict is exploded to its violations once;
+    its first one, or none, stands for the row, so rows and violations come from the same
+    grouping sets.  Rule levels count rows that break the rule.  The results of parts of
+    a table add up: ``merge_levels``.
+    """
+    rows = v.select(*by, "is_valid", F.posexplode_outer("violations").alias("at", "v")).select(
+        *by, "is_valid", *[F.col(f"v.{c}").alias(c) for c in LEVELS], (F.coalesce("at", F.lit(0)) == 0).alias("one"), F.col("v").isNotNull().alias("hit"))
+    sets = [[], *[[b] for b in by], list(LEVELS), *[[b, *LEVELS] for b in by]]
+    names = [*by, *LEVELS]
+    grouped = rows.groupingSets([[F.col(f"`{c}`") for c in s] for s in sets], *[F.col(f"`{c}`") for c in names]).agg(
+        F.grouping_id().alias("gid"), F.count_if("one").alias("rows"), F.count_if(F.col("one") & F.col("is_valid")).alias("valid_rows"),
+        F.count_if("hit").alias("violations"))
+    # a bit of the id for each name, set where the level leaves it out
+    level = F.lit(None).cast("string")
+    for s in sets:
+        gid = int("".join("0" if c in s else "1" for c in names), 2)
+        level = F.when(F.col("gid") == gid, ",".join(s)).otherwise(level)
+    out = grouped.withColumn("level", level)
+    of_rule = F.col("level").endswith("rule")
+    return (out.where(~of_rule | F.col("kind").isNotNull())  # rows without a violation belong to no rule
+            .select("level", *names, F.when(~of_rule, F.col("rows")).alias("rows"), F.when(~of_rule, F.col("valid_rows")).alias("valid_rows"), "violations"))
+
+
+def merge_levels(parts: DataFrame) -> DataFrame:
+    """Sums of :func:`summary_levels` of several parts of a table."""
+    counts = ("rows", "valid_rows", "violations")
+    return parts.groupBy(*[c for c in parts.columns if c not in counts]).agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def stage_counts(v: DataFrame) -> DataFrame:
     """one-row totals in a single aggregation pass."""
     return v.agg(*_count_exprs(v))

@@ -87,6 +87,7 @@ def run(
     silver_partition: str | None = "business_date",
     silver_folders: bool = False,
     keys_across_runs: bool | None = None,
+    key_column: str | None = None,
     single_report_file: bool = False,
     typed_silver: bool = False,
     keep_line: bool = False,
@@ -110,7 +111,8 @@ def run(
     dataset keys among the rows of all files of all runs: rows read now against those
     of other files, and rows of other files anew where a key has got a twin or lost it
     (``corrected_rows``).  Without it, a run sees its own rows only; the default is
-    what the outputs have been kept with.  ``stage_bronze`` (text sources): write the parsed lines once as
+    what the outputs have been kept with.  ``key_column`` names the run key of a
+    DataFrame source, in place of the file column.  ``stage_bronze`` (text sources): write the parsed lines once as
     the Parquet ``bronze`` table and validate from it.  ``single_report_file``
     also writes the whole report of this run as one CSV file (``report_file``).
 
@@ -131,7 +133,7 @@ def run(
         key = FILE_DATE
     else:
         bronze = source
-        key = contract.file_column if contract.file_column in source.columns else None
+        key = key_column or (contract.file_column if contract.file_column in source.columns else None)
         if dynamic and key is None:
             raise ContractError(f"a dynamic overwrite needs the file column {contract.file_column!r} in the data")
     if bronze.isEmpty():
@@ -139,6 +141,7 @@ def run(
     drift = drift_rows(bronze.columns, contract)
     if any(kind == "missing" for _, kind in drift) and on_missing == "fail":
         raise ContractError(f"columns missing from input: {[c for c, k in drift if k == 'missing']}")
+    drift = [(c, kind) for c, kind in drift if c != key_column]
     unexpected = [c for c, kind in drift if kind == "unexpected" and c != key]
     if unexpected and on_unexpected == "drop":
         bronze = bronze.drop(*unexpected)

@@ -468,6 +468,43 @@ def _catalog() -> str:
             "AND cat.rule = hits.rule")
 
 
+SUMMARY_LEVELS = feed_checked(ALL_FEED_RULES) + """,
+exploded AS (
+  SELECT source_file, business_date, len(vs) = 0 AS is_valid, i = 1 AS one, vs[i].kind AS kind, vs[i].column AS "column", vs[i].rule AS rule
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(vs), 1))) AS i FROM checked)),
+grouped AS (
+  SELECT grouping(source_file) AS g1, grouping(business_date) AS g2, grouping(kind) AS g3, source_file, business_date, kind, "column", rule,
+         count(*) FILTER (WHERE one) AS n, count(*) FILTER (WHERE one AND is_valid) AS ok, count(*) FILTER (WHERE kind IS NOT NULL) AS violations
+  FROM exploded
+  GROUP BY GROUPING SETS ((), (source_file), (business_date), (kind, "column", rule), (source_file, kind, "column", rule), (business_date, kind, "column", rule)))
+SELECT concat_ws(',', CASE WHEN g1 = 0 THEN 'source_file' END, CASE WHEN g2 = 0 THEN 'business_date' END, CASE WHEN g3 = 0 THEN 'kind,column,rule' END) AS level,
+       source_file, business_date, kind, "column", rule, CASE WHEN g3 = 1 THEN n END AS "rows", CASE WHEN g3 = 1 THEN ok END AS valid_rows, violations
+FROM grouped WHERE g3 = 1 OR kind IS NOT NULL
+"""
+
+CONTENT_DRIFT = f"""WITH {FEED},
+long AS (
+  SELECT 'amount' AS "column", 'missing' AS drift, amount AS value FROM feed
+  UNION ALL SELECT 'source_system', 'missing', source_system FROM feed
+  UNION ALL SELECT 'country_code', 'missing', country_code FROM feed
+  UNION ALL SELECT 'total', 'unexpected', amount FROM feed
+  UNION ALL SELECT 'origin', 'unexpected', lower(source_system) FROM feed
+  UNION ALL SELECT 'region', 'unexpected', country_code FROM feed
+  UNION ALL SELECT 'batch', 'unexpected', CAST(order_key % 7 AS VARCHAR) FROM feed),
+profile AS (SELECT "column", drift, count(*) AS "rows", count(value) AS non_null, count(DISTINCT value) AS "distinct" FROM long GROUP BY ALL),
+vals AS (SELECT DISTINCT "column" AS c, drift, value FROM long WHERE value IS NOT NULL),
+pairs AS (
+  SELECT m.c AS m, u.c AS u, count(*) / (any_value(pm."distinct") + any_value(pu."distinct") - count(*)) AS similarity
+  FROM vals m JOIN vals u ON m.value = u.value AND m.drift = 'missing' AND u.drift = 'unexpected'
+  JOIN profile pm ON pm."column" = m.c JOIN profile pu ON pu."column" = u.c GROUP BY m.c, u.c),
+best AS (
+  SELECT * FROM pairs WHERE similarity >= 0.5
+  QUALIFY row_number() OVER (PARTITION BY m ORDER BY similarity DESC, u) = 1 AND row_number() OVER (PARTITION BY u ORDER BY similarity DESC, m) = 1)
+SELECT p.*, coalesce(a.u, b.m) AS renamed, coalesce(a.similarity, b.similarity) AS similarity
+FROM profile p LEFT JOIN best a ON a.m = p."column" LEFT JOIN best b ON b.u = p."column"
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rule_required": feed_report(R_REQ),
@@ -519,6 +556,10 @@ def oracle_sql() -> dict[str, str]:
         "backfill_keys": _backfill_keys(),
         "rule_runtime_errors": _runtime_errors(),
         "rule_error_counts": _error_counts(),
+        "content_drift": CONTENT_DRIFT,
+        "summary_levels": SUMMARY_LEVELS,
+        "stream_keys": (feed_checked(ALL_FEED_RULES)
+                        + "\nSELECT order_key, array_to_string(list_transform(vs, lambda x: x.message), '|') AS rejection_reasons FROM checked"),
         "run_metrics": _run_metrics(),
         "ingest_time": "SELECT count(*) AS lines, CAST(1 AS BIGINT) AS times FROM orders",
         "ingest_header_order": HEADER_ORDER,

@@ -267,6 +267,22 @@ def summary_by_file(spark, sf_dir):
     return route.summary_by(_feed_verdict(spark, sf_dir), "source_file")
 
 
+def content_drift(spark, sf_dir):
+    """The feed's files of after 1996 with three columns under other names, one of them
+    with other values, against those before."""
+    from ..operators.drift import content_drift as by_content
+
+    feed = fx.dirty_orders(spark, sf_dir)
+    now = feed.select(*[c for c in feed.columns if c not in ("amount", "source_system", "country_code")], F.col("amount").alias("total"),
+                      F.lower("source_system").alias("origin"), F.col("country_code").alias("region"), (F.col("order_key") % 7).alias("batch"))
+    return by_content(now, feed, fx.feed_contract())
+
+
+def summary_levels(spark, sf_dir):
+    """Totals, files, dates and rules, all levels from one pass."""
+    return route.summary_levels(_feed_verdict(spark, sf_dir), "source_file", "business_date")
+
+
 def stage_counts(spark, sf_dir):
     return route.stage_counts(_feed_verdict(spark, sf_dir))
 
@@ -471,6 +487,26 @@ def stream_verdict(spark, sf_dir):
     return good.unionByName(bad)
 
 
+def stream_keys(spark, sf_dir):
+    """``orders`` as a stream in several micro-batches, ids judged over all of them."""
+    from ..streaming.stream import route_stream_with_keys
+
+    # one file for each third of the orders, so that each is a micro-batch of its own
+    parts = fresh_dir(spark, "stream-parts")
+    orders = fx.table(spark, sf_dir, "orders")
+    orders.withColumn("part", F.col("o_orderkey") % 3).repartition(3, "part").write.partitionBy("part").parquet(parts)
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(parts)
+    out = fresh_dir(spark, "stream-keys")
+    query = route_stream_with_keys(fx.dirty_orders_from(stream), fx.feed_contract(), out, f"{out}-checkpoint", as_of=fx.AS_OF,
+                                   trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    outs = Outputs(spark, out)
+    good = outs.read("silver").select("order_key", F.lit("").alias("rejection_reasons"))
+    return good.unionByName(outs.read("quarantine").select("order_key", "rejection_reasons"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_required": rule_required,
     "rule_allowed_values": rule_allowed_values,
@@ -522,6 +558,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_keys": backfill_keys,
     "rule_runtime_errors": rule_runtime_errors,
     "rule_error_counts": rule_error_counts,
+    "content_drift": content_drift,
+    "summary_levels": summary_levels,
+    "stream_keys": stream_keys,
     "run_metrics": run_metrics,
     "ingest_time": ingest_time,
     "ingest_header_order": ingest_header_order,

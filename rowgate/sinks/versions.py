@@ -138,7 +138,7 @@ class Outputs:
         pending = [c["version"] for c in manifest["claims"] if name in c["outputs"]]
         if pending and out["key"]:
             claims = self.claims(pending, name)
-            hidden = F.col(out["key"]).eqNullSafe(F.col("__claimed")) & (F.col(VERSION) < F.col("__by"))
+            hidden = F.col(out["key"]).cast("string").eqNullSafe(F.col("__claimed")) & (F.col(VERSION) < F.col("__by"))
             df = df.join(claims, hidden, "left_anti")
         return df.drop(VERSION)
 

@@ -27,3 +27,41 @@ def test_stream_routes_batches(spark, scratch):
     q.awaitTermination(120)
     assert spark.read.parquet(f"{out}/silver").count() == 3
     assert spark.read.parquet(f"{out}/quarantine").count() == 2
+
+
+def test_keys_over_micro_batches_in_any_split(spark, scratch):
+    """However rows come in batches, the outputs are those of one run over all; a late
+    twin moves the earlier row to quarantine."""
+    from rowgate.plans.job import run
+    from rowgate.sinks.versions import Outputs
+    from rowgate.streaming.stream import route_stream_with_keys
+
+    contract = {"schema": [{"name": "id", "required": True, "unique": True}, {"name": "x", "type": "int", "max_value": 8}]}
+    schema = "id string, x string"
+    rows = [("a", "1"), ("b", "2"), ("c", "9"), ("a ", "3"), ("d", "4"), ("b", "5"), (None, "6"), ("e", "y"), ("f", "7")]
+    outputs = []
+    for n, split in enumerate(([3, 3, 3], [1, 7, 1])):
+        src, out = os.path.join(scratch, f"in{n}"), os.path.join(scratch, f"out{n}")
+        at = 0
+        for k, size in enumerate(split):  # one file a batch, in order of their times
+            spark.createDataFrame(rows[at:at + size], schema).coalesce(1).write.mode("append").parquet(f"{src}/p={k}")
+            at += size
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(src)
+        query = route_stream_with_keys(stream, contract, out, f"{out}-checkpoint", as_of="2026-01-01", trigger={"availableNow": True}, silver_partition=None)
+        query.awaitTermination()
+        assert query.exception() is None
+        outs = Outputs(spark, out)
+        outputs.append((sorted((r.id, r.x) for r in outs.read("silver").collect()),
+                        sorted((str(r.id), r.x, r.rejection_reasons) for r in outs.read("quarantine").collect())))
+    whole = os.path.join(scratch, "whole")
+    run(spark, spark.createDataFrame(rows, schema), whole, contract, as_of="2026-01-01", silver_partition=None)
+    outs = Outputs(spark, whole)
+    want = (sorted((r.id, r.x) for r in outs.read("silver").collect()),
+            sorted((str(r.id), r.x, r.rejection_reasons) for r in outs.read("quarantine").collect()))
+    assert outputs[0] == outputs[1] == want and [i for i, _ in want[0]] == ["d", "f"]
+    # a batch that is replayed replaces what it gave
+    out = os.path.join(scratch, "replayed")
+    batch = lambda k, *some: spark.createDataFrame([(*r, k) for r in some], schema + ", _batch long")
+    for k, some in ((0, rows[:4]), (1, rows[4:]), (1, rows[4:]), (0, rows[:4])):
+        run(spark, batch(k, *some), out, contract, as_of="2026-01-01", silver_partition=None, overwrite="dynamic", keys_across_runs=True, key_column="_batch")
+    assert sorted((r.id, r.x) for r in Outputs(spark, out).read("silver").collect()) == want[0]
