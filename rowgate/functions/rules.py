@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..contract import BusinessRule, ColumnSpec, ContractError, UniqueKey
 from . import messages as M
 from . import types as ty
+from .patterns import ambiguous_loop
 
 VIOLATION_TYPE = T.StructType([
     T.StructField("kind", T.StringType()),
@@ -122,7 +123,8 @@ def scale_check(spec: ColumnSpec, raw: Column, raw_type: T.DataType, typed: Colu
 
 
 def check_pattern(pattern: str, name: str, spark=None) -> None:
-    """Reject a pattern the engine's (Java) regex cannot compile."""
+    """Reject a pattern the engine's (Java) regex cannot compile, or that some
+    values would hold up without end."""
     jvm = getattr(spark, "_jvm", None) if spark is not None else None
     try:
         if jvm is not None:
@@ -131,6 +133,8 @@ def check_pattern(pattern: str, name: str, spark=None) -> None:
             spark.range(1).select(F.lit("").rlike(pattern)).collect()
     except Exception as exc:
         raise ContractError(f"invalid regex for column {name!r}: {pattern}") from exc
+    if reason := ambiguous_loop(pattern):
+        raise ContractError(f"regex for column {name!r} may take exponential time ({reason}): {pattern}")
 
 
 # --------------------------------------------------------------------------- R6

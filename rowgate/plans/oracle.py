@@ -392,6 +392,15 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CASE WHEN p_size % 3 = 0
 FROM part
 """
 
+SEPARATOR_BY_EVIDENCE = """
+SELECT CASE WHEN c_custkey % 2 = 0 THEN replace(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
+            WHEN c_custkey % 5 = 0 THEN c_custkey || ';x|y' ELSE '0.5' END AS balance,
+       CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_custkey % 2 = 1 AND c_custkey % 3 = 0 THEN 'a,b;' || c_mktsegment ELSE c_mktsegment END AS segment,
+       c_custkey % 2 = 0 AS _delimiter_issue, FALSE AS _malformed
+FROM customer
+"""
+
 HEADER_LIKE = """
 SELECT CAST(c_custkey AS VARCHAR) AS "ID",
        CASE WHEN c_custkey % 5 = 0 THEN 'segment' WHEN c_custkey % 7 = 0 THEN 'name' ELSE c_name END AS name,
@@ -557,6 +566,7 @@ def oracle_sql() -> dict[str, str]:
         "rule_runtime_errors": _runtime_errors(),
         "rule_error_counts": _error_counts(),
         "content_drift": CONTENT_DRIFT,
+        "ingest_separator_by_evidence": SEPARATOR_BY_EVIDENCE,
         "summary_levels": SUMMARY_LEVELS,
         "stream_keys": (feed_checked(ALL_FEED_RULES)
                         + "\nSELECT order_key, array_to_string(list_transform(vs, lambda x: x.message), '|') AS rejection_reasons FROM checked"),

@@ -428,6 +428,20 @@ def ingest_mixed_separators(spark, sf_dir):
     return read_delimited(spark, root, {"schema": [{"name": c} for c in columns]}).select(*columns, "_malformed")
 
 
+def ingest_separator_by_evidence(spark, sf_dir):
+    """Files with ``;`` and decimal commas in the first field, and comma files whose first
+    field holds a ``;`` in some lines: each file's lines decide together."""
+    c = fx.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    euro = c.where(k % 2 == 0).select(F.concat_ws(";", F.translate(F.col("c_acctbal").cast("decimal(18,2)").cast("string"), ".", ","), k.cast("string"),
+                                                  "c_mktsegment").alias("value"))
+    plain = c.where(k % 2 == 1).select(F.concat_ws(",", F.when(k % 5 == 0, F.concat(k.cast("string"), F.lit(";x|y"))).otherwise(F.lit("0.5")),
+                                                   k.cast("string"), F.when(k % 3 == 0, F.concat(F.lit('"a,b;'), "c_mktsegment", F.lit('"'))).otherwise(F.col("c_mktsegment"))).alias("value"))
+    roots = [fx.write_plain_lines(lines, fresh_dir(spark, "evidence"), header) for lines, header in ((euro, "balance;id;segment"), (plain, "balance,id,segment"))]
+    columns = ["balance", "id", "segment"]
+    return read_delimited(spark, roots, {"schema": [{"name": n} for n in columns]}, separator="evidence").select(*columns, "_delimiter_issue", "_malformed")
+
+
 def ingest_header_like_rows(spark, sf_dir):
     """Data that names columns is data: half of a line, or all of it the other way round."""
     k = F.col("c_custkey")
@@ -559,6 +573,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_runtime_errors": rule_runtime_errors,
     "rule_error_counts": rule_error_counts,
     "content_drift": content_drift,
+    "ingest_separator_by_evidence": ingest_separator_by_evidence,
     "summary_levels": summary_levels,
     "stream_keys": stream_keys,
     "run_metrics": run_metrics,

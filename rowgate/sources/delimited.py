@@ -7,6 +7,10 @@
 * a line's separator is the first of ``, | ;`` outside double quotes (so
   ``a,b;c`` stays a comma row); in a line that begins with ``|`` or ``;`` both
   separate;
+* with ``separator="evidence"`` a file's lines decide together: the separator by which
+  most of them have as many fields as the file has columns, if it is more than half and
+  no other does as well, separates all lines of the file, and others are text (decimal
+  commas, a ``;`` in a first field).  Files without such a one keep the line rule;
 * ``from_csv`` parses it (quotes honoured, short rows null-filled, extra fields
   dropped, unclosed quotes swallow the rest); lines with a wrong field count
   are flagged ``_malformed``;
@@ -139,8 +143,23 @@ def find_headers(lines: DataFrame, names: list[str]) -> list[Header]:
             for r in rows]
 
 
-def parse_lines(lines: DataFrame, names: list[str], headers: list[Header], *, ingested_at=None, keep_line: bool = False) -> DataFrame:
+def file_separators(lines: DataFrame, width: Column) -> DataFrame:
+    """``_source_path, separator``: of every file, the separator that its lines agree on,
+    by one aggregation over all lines (null where they don't)."""
+    plain = F.regexp_replace("value", '"[^"]*"', "")
+    fits = [F.count_if(F.length(plain) - F.length(F.replace(plain, F.lit(s))) + 1 == width).alias(f"n{i}") for i, s in enumerate(SEPARATORS)]
+    counted = lines.groupBy("_source_path").agg(F.count(F.lit(1)).alias("n"), *fits)
+    most = F.greatest(*[F.col(f"n{i}") for i in range(len(SEPARATORS))])
+    chosen = F.array_compact(F.array(*[F.when(F.col(f"n{i}") == most, F.lit(s)) for i, s in enumerate(SEPARATORS)]))
+    alone = (2 * most > F.col("n")) & (F.size(chosen) == 1)
+    return counted.select("_source_path", F.when(alone, F.element_at(chosen, 1)).alias("separator"))
+
+
+def parse_lines(lines: DataFrame, names: list[str], headers: list[Header], *, ingested_at=None, keep_line: bool = False,
+                separator: str = "line") -> DataFrame:
     """Detect the separator, parse by the file's header, flag, drop headers."""
+    if separator not in ("line", "evidence"):
+        raise ContractError(f"separator must be line or evidence, got {separator!r}")
     headers = headers or [Header(None, tuple(names), 0)]
     extra = list(dict.fromkeys(c for h in headers for c in h.columns if c not in names))
     numbered = lines.withColumn("__h", F.lit(0))
@@ -152,16 +171,26 @@ def parse_lines(lines: DataFrame, names: list[str], headers: list[Header], *, in
         numbered = (lines.join(others, "_source_path", "left")
                     .withColumn("__h", F.coalesce("__other", F.lit(0))).drop("__other"))
     sep = F.regexp_extract("value", _FIRST_SEPARATOR, 1)
-    line = (F.when(~sep.isin("|", ";"), F.col("value"))
+    own = F.lit(None).cast("string")
+    if separator == "evidence":
+        width = F.lit(len(headers[0].columns))
+        for i, h in enumerate(headers):
+            width = F.when(F.col("__h") == i, len(h.columns)).otherwise(width)
+        numbered = numbered.join(file_separators(numbered, width), "_source_path", "left").withColumnRenamed("separator", "__own")
+        own = F.col("__own")
+        sep = F.coalesce(own, sep)
+    line = (F.when(~sep.isin("|", ";") | own.isNotNull(), F.col("value"))
             .when(F.col("value").contains('"'), F.regexp_replace("value", _UNQUOTED_SEPARATOR, "|"))
             .otherwise(F.translate("value", ";", "|")))
-    staged = numbered.select("*", sep.alias("__sep"), line.alias("__line"))
+    staged = numbered.select("*", sep.alias("__sep"), line.alias("__line"), (own == ";").alias("__semi"))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = []
     for i, h in enumerate(headers):
         ddl = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in h.columns) + ", `_corrupt_record` STRING"
         own = F.when(F.col("__sep").isin("|", ";"), F.from_csv("__line", ddl, {**opts, "sep": "|"})).otherwise(
             F.from_csv("__line", ddl, {**opts, "sep": ","}))
+        if separator == "evidence":
+            own = F.when(F.col("__semi"), F.from_csv("__line", ddl, {**opts, "sep": ";"})).otherwise(own)
         parsed.append((own if len(headers) == 1 else F.when(F.col("__h") == i, own)).alias(f"__p{i}"))
     header_line = F.lit(None).cast("string")
     for i, h in enumerate(headers):
@@ -189,7 +218,7 @@ def parse_lines(lines: DataFrame, names: list[str], headers: list[Header], *, in
 
 
 def read_delimited(spark: SparkSession, paths, contract, *, start=None, end=None,
-                   ingested_at=None, keep_line: bool = False, header: str | list | None = "auto") -> DataFrame:
+                   ingested_at=None, keep_line: bool = False, header: str | list | None = "auto", separator: str = "line") -> DataFrame:
     """Bronze: contract columns as strings plus lineage and repair flags.
 
     ``header="auto"`` labels every file's fields by its own header (columns the
@@ -197,14 +226,15 @@ def read_delimited(spark: SparkSession, paths, contract, *, start=None, end=None
     header lacks are null, and a file without a header is in contract order).
     ``header="contract"`` labels all files in contract order and a list gives the
     order; header lines are only taken out.  ``header=None`` is for files that have
-    none: every line is data.
+    none: every line is data.  ``separator="evidence"`` lets the lines of a file decide
+    on its separator together, at the cost of reading them twice.
     """
     return read_with_headers(spark, paths, contract, start=start, end=end, ingested_at=ingested_at,
-                             keep_line=keep_line, header=header)[0]
+                             keep_line=keep_line, header=header, separator=separator)[0]
 
 
 def read_with_headers(spark: SparkSession, paths, contract, *, start=None, end=None, ingested_at=None,
-                      keep_line: bool = False, header: str | list | None = "auto") -> tuple[DataFrame, list[Header]]:
+                      keep_line: bool = False, header: str | list | None = "auto", separator: str = "line") -> tuple[DataFrame, list[Header]]:
     """As :func:`read_delimited`, with the headers found."""
     names = Contract.load(contract).column_names
     lines = read_lines(spark, paths, start=start, end=end)
@@ -213,7 +243,7 @@ def read_with_headers(spark: SparkSession, paths, contract, *, start=None, end=N
     if header not in ("auto", None):  # labels are given; headers are only taken out
         order = tuple(header) if isinstance(header, (list, tuple)) else tuple(names)
         headers = [Header(h.line, order, h.files) for h in headers]
-    return parse_lines(lines, names, headers, ingested_at=ingested_at, keep_line=keep_line), found
+    return parse_lines(lines, names, headers, ingested_at=ingested_at, keep_line=keep_line, separator=separator), found
 
 
 def header_drift(spark: SparkSession, paths, contract, *, start=None, end=None) -> DataFrame:
