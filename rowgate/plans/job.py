@@ -94,6 +94,7 @@ def run(
     stage_bronze: bool = True,
     header: str | list | None = "auto",
     separator: str = "line",
+    records: str = "line",
     **evaluate_kw,
 ) -> RunResult:
     """Validate ``source`` (path(s) of delimited text, or a DataFrame) and write
@@ -129,7 +130,8 @@ def run(
     text = not isinstance(source, DataFrame)
     if text:
         _apart(source, output_dir)
-        bronze, headers = read_with_headers(spark, source, contract, start=start, end=end, keep_line=keep_line, header=header, separator=separator)
+        bronze, headers = read_with_headers(spark, source, contract, start=start, end=end, keep_line=keep_line, header=header, separator=separator,
+                                            records=records)
         bronze = bronze.withColumn(FILE_DATE, F.coalesce(path_date(F.col("_source_path")).cast("string"), F.lit(UNDATED)))
         key = FILE_DATE
     else:

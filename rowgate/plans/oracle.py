@@ -392,6 +392,14 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CASE WHEN p_size % 3 = 0
 FROM part
 """
 
+QUOTED_RECORDS = """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+       CASE WHEN p_partkey % 3 = 0 THEN p_name || chr(10) || chr(10) || 'second, line' || chr(10) || p_brand
+            WHEN p_partkey % 5 = 0 THEN 'said "' || p_name || '";' || chr(10) || 'end' ELSE p_name END AS p_name,
+       CAST(p_size AS VARCHAR) AS p_size, FALSE AS _malformed
+FROM part
+"""
+
 SEPARATOR_BY_EVIDENCE = """
 SELECT CASE WHEN c_custkey % 2 = 0 THEN replace(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), '.', ',')
             WHEN c_custkey % 5 = 0 THEN c_custkey || ';x|y' ELSE '0.5' END AS balance,
@@ -567,6 +575,7 @@ def oracle_sql() -> dict[str, str]:
         "rule_error_counts": _error_counts(),
         "content_drift": CONTENT_DRIFT,
         "ingest_separator_by_evidence": SEPARATOR_BY_EVIDENCE,
+        "ingest_quoted_records": QUOTED_RECORDS,
         "summary_levels": SUMMARY_LEVELS,
         "stream_keys": (feed_checked(ALL_FEED_RULES)
                         + "\nSELECT order_key, array_to_string(list_transform(vs, lambda x: x.message), '|') AS rejection_reasons FROM checked"),

@@ -428,6 +428,18 @@ def ingest_mixed_separators(spark, sf_dir):
     return read_delimited(spark, root, {"schema": [{"name": c} for c in columns]}).select(*columns, "_malformed")
 
 
+def ingest_quoted_records(spark, sf_dir):
+    """Fields in quotes that go over several lines, a blank one among them."""
+    p = fx.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    name = (F.when(k % 3 == 0, F.concat(F.lit('"'), "p_name", F.lit('\n\nsecond, line\n'), "p_brand", F.lit('"')))
+            .when(k % 5 == 0, F.concat(F.lit('"said \\"'), "p_name", F.lit('\\";\nend"'))).otherwise(F.col("p_name")))
+    root = fx.write_plain_lines(p.select(F.concat_ws(",", k.cast("string"), name, F.col("p_size").cast("string")).alias("value")),
+                                fresh_dir(spark, "quoted"), None)
+    columns = ["p_partkey", "p_name", "p_size"]
+    return read_delimited(spark, root, {"schema": [{"name": n} for n in columns]}, records="quoted").select(*columns, "_malformed")
+
+
 def ingest_separator_by_evidence(spark, sf_dir):
     """Files with ``;`` and decimal commas in the first field, and comma files whose first
     field holds a ``;`` in some lines: each file's lines decide together."""
@@ -574,6 +586,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_error_counts": rule_error_counts,
     "content_drift": content_drift,
     "ingest_separator_by_evidence": ingest_separator_by_evidence,
+    "ingest_quoted_records": ingest_quoted_records,
     "summary_levels": summary_levels,
     "stream_keys": stream_keys,
     "run_metrics": run_metrics,

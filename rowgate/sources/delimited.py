@@ -7,6 +7,8 @@
 * a line's separator is the first of ``, | ;`` outside double quotes (so
   ``a,b;c`` stays a comma row); in a line that begins with ``|`` or ``;`` both
   separate;
+* a record is a line; with ``records="quoted"`` a quoted field may go over several lines
+  (:func:`join_records`);
 * with ``separator="evidence"`` a file's lines decide together: the separator by which
   most of them have as many fields as the file has columns, if it is more than half and
   no other does as well, separates all lines of the file, and others are text (decimal
@@ -29,7 +31,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contract import Contract, ContractError
@@ -74,11 +76,11 @@ def date_filter(path: Column, start=None, end=None) -> Column | None:
     return cond
 
 
-def read_lines(spark: SparkSession, paths, *, start=None, end=None) -> DataFrame:
+def read_lines(spark: SparkSession, paths, *, start=None, end=None, blank: bool = False) -> DataFrame:
     """Raw lines of one path, a directory or a list, with lineage.
 
-    Lines of blanks only are skipped.  ``_block`` is where the block that holds
-    the line starts in its file.
+    Lines of blanks only are skipped, unless ``blank``.  ``_block`` is where the block
+    that holds the line starts in its file.
     """
     if isinstance(paths, (list, tuple)):
         paths = list(paths)
@@ -86,12 +88,60 @@ def read_lines(spark: SparkSession, paths, *, start=None, end=None) -> DataFrame
     cond = date_filter(F.col("_metadata.file_path"), start, end)
     if cond is not None:
         raw = raw.where(cond)
-    return raw.select(
+    lines = raw.select(
         F.col("value"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_path").alias("_source_path"),
         F.col("_metadata.file_block_start").alias("_block"),
-    ).where(F.col("value").rlike(r"\S"))
+    )
+    return lines if blank else lines.where(F.col("value").rlike(r"\S"))
+
+
+#: Lines of one record beyond which its opening quote is taken for a stray one.
+MAX_RECORD_LINES = 10_000
+
+
+def join_records(lines: DataFrame, max_lines: int = MAX_RECORD_LINES) -> DataFrame:
+    """Lines (:func:`read_lines` with blank ones) as records: those between an opening and
+    a closing quote are one, with their line ends.
+
+    A file is still read in blocks by many tasks.  Whether a line begins inside quotes
+    depends on the number of quotes before it, odd or even.  Each block counts its own; a
+    running sum over the blocks of a file (a row each) tells where every block begins, and
+    one within the block where every line does.  Blocks without a line of an odd number
+    of quotes, begun outside of any, pass through as they are; of the others, only the
+    lines of records of several lines are brought together, across blocks too.  A file with
+    a record of more than ``max_lines`` lines has a stray quote and is read line by line.
+    """
+    names = ["value", "_source_file", "_source_path", "_block"]
+    plain = F.replace("value", F.lit('\\"'), F.lit(""))
+    odd = (F.length(plain) - F.length(F.replace(plain, F.lit('"')))) % 2
+    lines = lines.withColumn("__at", F.monotonically_increasing_id()).withColumn("__odd", odd)
+    block = ["_source_path", "_block"]
+    earlier = Window.partitionBy("_source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (lines.groupBy(*block).agg(F.sum("__odd").alias("n"))
+              .withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0)) % 2).where("n > 0 or begin = 1"))
+    whole = lines.join(blocks.select(*block), block, "left_anti")
+    before = Window.partitionBy(*block).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*block).orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = lines.join(blocks.select(*block, "begin"), block)
+    inside = inside.withColumn("__inside", (F.col("begin") + F.coalesce(F.sum("__odd").over(before), F.lit(0))) % 2 == 1)
+    inside = inside.withColumn("__no", F.sum((~F.col("__inside")).cast("int")).over(upto))
+    # a line that goes on with an earlier block's record belongs to the last one begun there
+    last = (inside.groupBy(*block).agg(F.max("__no").alias("last"))
+            .withColumn("owner", F.last(F.when(F.col("last") > 0, F.struct(F.col("_block").alias("b"), F.col("last").alias("no"))), True).over(earlier)))
+    alone = ~F.col("__inside") & (F.col("__odd") == 0)
+    single = inside.where(alone)
+    several = (inside.where(~alone).join(last.select(*block, "owner"), block)
+               .withColumn("__record", F.when(F.col("__no") > 0, F.struct(F.col("_block").alias("b"), F.col("__no").alias("no"))).otherwise(F.col("owner"))))
+    record = ["_source_path", "__record"]
+    stray = several.groupBy(*record).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines).select("_source_path").distinct()
+    joined = (several.join(stray, "_source_path", "left_anti").groupBy(*record, "_source_file")
+              .agg(F.array_sort(F.collect_list(F.struct("_block", "__at", "value"))).alias("v"))
+              .select(F.array_join("v.value", "\n").alias("value"), "_source_file", "_source_path", F.col("__record.b").alias("_block")))
+    by_line = several.join(stray, "_source_path", "left_semi")
+    out = whole.select(*names).unionByName(single.select(*names)).unionByName(joined.select(*names)).unionByName(by_line.select(*names))
+    return out.where(F.col("value").rlike(r"\S"))
 
 
 def _tokens(line: Column) -> Column:
@@ -218,7 +268,8 @@ def parse_lines(lines: DataFrame, names: list[str], headers: list[Header], *, in
 
 
 def read_delimited(spark: SparkSession, paths, contract, *, start=None, end=None,
-                   ingested_at=None, keep_line: bool = False, header: str | list | None = "auto", separator: str = "line") -> DataFrame:
+                   ingested_at=None, keep_line: bool = False, header: str | list | None = "auto", separator: str = "line",
+                   records: str = "line") -> DataFrame:
     """Bronze: contract columns as strings plus lineage and repair flags.
 
     ``header="auto"`` labels every file's fields by its own header (columns the
@@ -227,22 +278,28 @@ def read_delimited(spark: SparkSession, paths, contract, *, start=None, end=None
     ``header="contract"`` labels all files in contract order and a list gives the
     order; header lines are only taken out.  ``header=None`` is for files that have
     none: every line is data.  ``separator="evidence"`` lets the lines of a file decide
-    on its separator together, at the cost of reading them twice.
+    on its separator together, at the cost of reading them twice.  ``records="quoted"``
+    lets quoted fields go over several lines.
     """
     return read_with_headers(spark, paths, contract, start=start, end=end, ingested_at=ingested_at,
-                             keep_line=keep_line, header=header, separator=separator)[0]
+                             keep_line=keep_line, header=header, separator=separator, records=records)[0]
 
 
 def read_with_headers(spark: SparkSession, paths, contract, *, start=None, end=None, ingested_at=None,
-                      keep_line: bool = False, header: str | list | None = "auto", separator: str = "line") -> tuple[DataFrame, list[Header]]:
+                      keep_line: bool = False, header: str | list | None = "auto", separator: str = "line",
+                      records: str = "line") -> tuple[DataFrame, list[Header]]:
     """As :func:`read_delimited`, with the headers found."""
     names = Contract.load(contract).column_names
+    if records not in ("line", "quoted"):
+        raise ContractError(f"records must be line or quoted, got {records!r}")
     lines = read_lines(spark, paths, start=start, end=end)
     headers = [Header(None, tuple(names), 0)] if header is None else find_headers(lines, names)
     found = headers
     if header not in ("auto", None):  # labels are given; headers are only taken out
         order = tuple(header) if isinstance(header, (list, tuple)) else tuple(names)
         headers = [Header(h.line, order, h.files) for h in headers]
+    if records == "quoted":
+        lines = join_records(read_lines(spark, paths, start=start, end=end, blank=True))
     return parse_lines(lines, names, headers, ingested_at=ingested_at, keep_line=keep_line, separator=separator), found
 
 

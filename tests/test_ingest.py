@@ -167,3 +167,33 @@ def test_both_separators_in_one_line(spark, scratch):
     root = _files(os.path.join(scratch, "x"), a=["1|2;3|4", '5;"6|7";8|9', "p,q;r,s,t"])
     got = sorted((r.a, r.b, r.c, r.d, r._malformed) for r in read_delimited(spark, root, contract).collect())
     assert got == [("1", "2", "3", "4", False), ("5", "6|7", "8", "9", False), ("p", "q;r", "s", "t", False)]
+
+
+def test_quoted_records_as_the_multiline_reader_reads_them(spark, scratch):
+    """Many blocks of one file, records across their edges; a stray quote keeps a file to its lines."""
+    from rowgate.sources.delimited import join_records, read_delimited, read_lines
+
+    rows = []
+    for i in range(400):
+        text = f"text {i}" if i % 3 else f"first {i}\n\nsecond, \\\"{i}\\\"\n" + "x" * (i % 40) + "\nlast"
+        rows.append(f'{i},"{text}",end{i}' if i % 3 != 1 else f"{i},{text},end{i}")
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("id,text,tail\n" + "\n".join(rows) + "\n")
+    contract = {"schema": [{"name": n} for n in ("id", "text", "tail")]}
+    want = sorted(map(tuple, spark.read.option("header", "true").option("multiLine", "true").csv(src).collect()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("134217728", "700", "61"):  # blocks that hold all, some and no whole record
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            got = read_delimited(spark, src, contract, records="quoted", header="contract")
+            assert read_lines(spark, src).rdd.getNumPartitions() > (1 if size != "134217728" else 0)
+            assert sorted((r.id, r.text, r.tail) for r in got.collect()) == want and len(want) == 400
+            assert got.where("_malformed").count() == 0
+        records = join_records(read_lines(spark, src, blank=True), max_lines=3)
+        assert records.count() == read_lines(spark, src).count()  # line by line
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
