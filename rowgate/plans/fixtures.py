@@ -39,6 +39,13 @@ def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parque[t]")
 
 
+def write_orders_part(orders: DataFrame, number: int, parts: int, out_dir: str) -> None:
+    """Add one of ``parts`` parts of the orders, by their keys, to a folder: no task gets more
+    rows than the session's advisory size holds (null keys are in the first part)."""
+    part = F.coalesce(F.pmod("o_orderkey", F.lit(parts)), F.lit(0))
+    orders.where(part == number).hint("rebalance").write.mode("append").parquet(out_dir)
+
+
 def dirty_orders_from(o: DataFrame, *, with_year: bool = False) -> DataFrame:
     """The feed projection over an ``orders`` frame (batch or streaming)."""
     extra = [F.year("o_orderdate").alias("order_year")] if with_year else []

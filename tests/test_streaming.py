@@ -65,3 +65,32 @@ def test_keys_over_micro_batches_in_any_split(spark, scratch):
     for k, some in ((0, rows[:4]), (1, rows[4:]), (1, rows[4:]), (0, rows[:4])):
         run(spark, batch(k, *some), out, contract, as_of="2026-01-01", silver_partition=None, overwrite="dynamic", keys_across_runs=True, key_column="_batch")
     assert sorted((r.id, r.x) for r in Outputs(spark, out).read("silver").collect()) == want[0]
+
+
+def test_thirds_of_a_stream_come_in_files_of_bounded_size(spark, scratch):
+    """A third of the orders is one micro-batch, but not one file (and so one task)."""
+    from pyspark.sql import functions as F
+
+    from rowgate.plans import queries
+    from rowgate.session import shared_dir
+
+    k = F.when(F.col("id") < 8990, F.col("id"))  # the last ones are null
+    spark.range(9000).select(
+        k.alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.rand(1).alias("o_totalprice"),
+        F.lit("1996-05-01").cast("timestamp_ntz").alias("o_orderdate"), F.lit("2-HIGH").alias("o_orderpriority")).write.parquet(f"{scratch}/orders.parquet")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    base = shared_dir(spark)
+    before = set(os.listdir(f"{base}/rowgate")) if os.path.isdir(f"{base}/rowgate") else set()
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        out = queries.stream_keys(spark, scratch)
+        assert out.count() == 9000 and out.where("order_key is null").count() == 10
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    made = {n.rsplit("-", 1)[0]: f"{base}/rowgate/{n}" for n in set(os.listdir(f"{base}/rowgate")) - before}
+    files = spark.read.option("recursiveFileLookup", "true").parquet(made["stream-parts"]).groupBy(F.input_file_name()).count()
+    assert files.agg(F.max("count")).first()[0] < 2000
+    verdict = spark.read.parquet(f"{made['stream-keys']}/run_metrics")  # a run a micro-batch
+    assert verdict.count() == 3 and verdict.agg(F.sum("rows")).first()[0] == 9000
