@@ -146,14 +146,10 @@ EXTRA_FIELD_MODULUS = 29
 DRIFT_YEAR = 1997
 
 
-def _field(c: Column, sep: Column) -> Column:
-    text = F.coalesce(c.cast("string"), F.lit(""))
-    needs_quotes = (text.contains('"')
-                    | ((F.instr(text, ",") > 0) & (sep == ","))
-                    | ((F.instr(text, "|") > 0) & (sep == "|"))
-                    | ((F.instr(text, ";") > 0) & (sep == ";")))
+def _field(text: Column, sep: Column) -> Column:
+    """A field as it stands in a line: in quotes where it holds one, or the line's separator."""
     quoted = F.concat(F.lit('"'), F.regexp_replace(text, '"', '""'), F.lit('"'))
-    return F.when(needs_quotes, quoted).otherwise(text)
+    return F.when(F.contains(text, F.lit('"')) | F.contains(text, sep), quoted).otherwise(text)
 
 
 # Rows with keys of this modulus reach the files of the year after their own.
@@ -173,9 +169,13 @@ def feed_lines(spark: SparkSession, sf_dir: str, *, late: bool = False, other_id
                          .otherwise(F.col("record_id")))
     sep = (F.when(k % SEP_MODULUS == PIPE_RESIDUE, F.lit("|"))
            .when(k % SEP_MODULUS == SEMI_RESIDUE, F.lit(";")).otherwise(F.lit(",")))
-    d = d.withColumn("__sep", sep)
-    fields = [_field(F.col(c), F.col("__sep")) for c in FEED_COLUMNS]
-    line = F.concat_ws("", *[x for i, f in enumerate(fields) for x in ((F.col("__sep"), f) if i else (f,))])
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in FEED_COLUMNS]
+    d = d.select(*texts, k.alias("__key"), "order_year", sep.alias("__sep"))
+    k = F.col("__key")
+    # fields in an array, and one expression for all of them: spelled out for each, they make a
+    # generated method so long that the JVM doesn't compile it
+    fields = F.transform(F.array(*FEED_COLUMNS), lambda text: _field(text, F.col("__sep")))
+    line = F.call_function("concat_ws", F.col("__sep"), fields)
     line = F.when(k % EXTRA_FIELD_MODULUS == 0, F.concat(line, F.col("__sep"), F.lit("EXTRA"))).otherwise(line)
     year = F.col("order_year") + F.when((k % LATE_MODULUS == 0) & F.lit(late), 1).otherwise(0)
     return d.select(F.concat(F.lit("orders_"), year.cast("string"), F.lit("-01-01")).alias("folder"),
